@@ -1,24 +1,28 @@
 """Declarative field rules compiled to Spark SQL expressions.
 
-A rule is an ordered list of checks. Each check is a SQL condition that, when
-true, fails the field with an error code; the first failing check wins. A
-field that passes every check is valid and gets its normalised value. The
-error text comes from a message catalogue keyed by code, so the same rules
-serve the intake pipeline and the reviewer screens, whose wording differs.
-
-``rule_struct`` returns the SQL of ``STRUCT<is_valid, normalized, error>``
-(``STRUCT<is_valid, error>`` for e-mail); the same text is the body of the
-registered SQL functions, so the DataFrame path and the SQL path share one
-definition.
+A rule has named helper values (e.g. the stripped text, the phone digits),
+an ordered list of checks over them -- each check that holds fails the field
+with an error code, the first one wins -- and a normaliser for valid values.
+Error text comes from a message catalogue keyed by code, so one rule set
+serves both the intake pipeline and the reviewer screens, whose wording
+differs.
+
+Rules compile two ways from the same definition:
+
+* ``inline_*``: one SQL expression per result, helpers substituted -- the
+  bodies of the registered SQL functions;
+* staged columns (see ``operators.validate``): helpers, then the error code,
+  then the result struct, each a projection of its own so no helper is
+  evaluated twice and generated code stays small.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from . import textops as tx
-from .sqltext import format_message, ident, sql_string
+from .sqltext import fill, format_message, sql_string
 
 # ---------------------------------------------------------------------------
 # These must equal the reference's for results to match.
@@ -69,129 +73,107 @@ EMAIL_VALIDATION_TYPE = "STRUCT<is_valid: BOOLEAN, error: STRING>"
 
 @dataclass(frozen=True)
 class Check:
-    """Fail with ``code`` when ``condition`` holds; ``args`` feed the message."""
+    """Fail with ``code`` when ``condition`` holds; ``args`` feed the message.
+
+    ``condition`` and ``args`` are SQL templates over ``<<x>>`` (the input)
+    and the rule's helper names (``<<clean>>``, ...).
+    """
 
     condition: str
     code: str
-    args: Mapping[str, str]
+    args: Mapping[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
 class FieldRule:
     name: str
-    checks: Callable[[str], list[Check]]
-    normalize: Callable[[str], str] | None
-
-    def _message(self, check: Check, messages: Mapping[str, str]) -> str:
-        return format_message(messages[check.code], dict(check.args))
-
-    def code_sql(self, x: str) -> str:
+    helpers: tuple[tuple[str, str], ...]   # (name, SQL template), in order
+    checks: tuple[Check, ...]
+    normalize: str | None                  # SQL template, or no normalised value
+
+    # -- rendering ------------------------------------------------------------
+    def bindings(self, x: str, helper_sql: Mapping[str, str] | None = None) -> dict[str, str]:
+        """Template bindings: ``x`` plus each helper, either given (column
+        references of a staged plan) or inlined from its template."""
+        env = {"x": x}
+        for name, template in self.helpers:
+            env[name] = helper_sql[name] if helper_sql else f"({fill(template, env)})"
+        return env
+
+    def code_sql(self, env: Mapping[str, str]) -> str:
         """Error code of the first failing check, NULL when valid."""
-        whens = " ".join(f"WHEN {c.condition} THEN {sql_string(c.code)}"
-                         for c in self.checks(x))
+        whens = " ".join(f"WHEN {fill(c.condition, env)} THEN {sql_string(c.code)}"
+                         for c in self.checks)
         return f"CASE {whens} END"
 
-    def valid_sql(self, x: str) -> str:
-        whens = " ".join(f"WHEN {c.condition} THEN false" for c in self.checks(x))
-        return f"CASE {whens} ELSE true END"
+    def error_sql(self, code: str, env: Mapping[str, str],
+                  messages: Mapping[str, str]) -> str:
+        """Message for an error code expression ``code``."""
+        whens = " ".join(
+            f"WHEN {sql_string(c.code)} THEN "
+            f"{format_message(messages[c.code], {k: fill(v, env) for k, v in c.args.items()})}"
+            for c in self.checks)
+        return f"CASE {code} {whens} END"
 
-    def error_sql(self, x: str, messages: Mapping[str, str]) -> str:
-        whens = " ".join(f"WHEN {c.condition} THEN {self._message(c, messages)}"
-                         for c in self.checks(x))
-        return f"CASE {whens} END"
-
-    def normalized_sql(self, x: str) -> str:
+    def normalized_sql(self, code: str, env: Mapping[str, str]) -> str:
         if self.normalize is None:
             return "CAST(NULL AS STRING)"
-        return f"CASE WHEN {self.valid_sql(x)} THEN {self.normalize(x)} END"
+        return f"CASE WHEN {code} IS NULL THEN {fill(self.normalize, env)} END"
 
-    def struct_sql(self, x: str, messages: Mapping[str, str] = PIPELINE_MESSAGES) -> str:
-        fields = [f"'is_valid', {self.valid_sql(x)}"]
+    def result_sql(self, code: str, env: Mapping[str, str],
+                   messages: Mapping[str, str]) -> str:
+        """The validation struct from an error code expression."""
+        fields = [f"'is_valid', ({code} IS NULL)"]
         if self.normalize is not None:
-            fields.append(f"'normalized', {self.normalized_sql(x)}")
-        fields.append(f"'error', {self.error_sql(x, messages)}")
+            fields.append(f"'normalized', {self.normalized_sql(code, env)}")
+        fields.append(f"'error', {self.error_sql(code, env, messages)}")
         return f"named_struct({', '.join(fields)})"
 
-
-def _email_checks(x: str) -> list[Check]:
-    return [
-        Check(tx.is_blank(x), "email.empty", {}),
-        Check(f"NOT ({tx.strip(x)} RLIKE {sql_string(EMAIL_PATTERN[:-1] + r'\z')})",
-              "email.format", {"value": x}),
-    ]
-
-
-def _account_clean(x: str) -> str:
-    return f"upper({tx.strip(x)})"
-
-
-def _account_checks(x: str) -> list[Check]:
-    pattern = "(?U)^" + ACCOUNT_PREFIX + r"\d{" + str(ACCOUNT_DIGITS) + r"}\z"
-    return [
-        Check(tx.is_blank(x), "sap_id.empty", {}),
-        Check(f"NOT ({_account_clean(x)} RLIKE {sql_string(pattern)})",
-              "sap_id.format", {"value": x}),
-    ]
-
-
-def _phone_digits(x: str) -> str:
-    d = tx.digits(x)
-    return (f"CASE WHEN length({d}) = {PHONE_DIGITS + 1} AND left({d}, 1) = '1' "
-            f"THEN substring({d}, 2) ELSE {d} END")
-
-
-def _phone_checks(x: str) -> list[Check]:
-    d = _phone_digits(x)
-    return [
-        Check(tx.is_blank(x), "phone.empty", {}),
-        Check(f"length({d}) <> {PHONE_DIGITS}", "phone.length", {"n": f"length({d})"}),
-        Check(f"left({d}, 1) IN ('0', '1')", "phone.area", {}),
-    ]
-
-
-def _phone_normalize(x: str) -> str:
-    d = _phone_digits(x)
-    return (f"format_string('(%s) %s-%s', substring({d}, 1, 3), "
-            f"substring({d}, 4, 3), substring({d}, 7, 4))")
-
-
-def _name_checks(x: str) -> list[Check]:
-    c = tx.strip(x)
-    return [
-        Check(tx.is_blank(x), "name.empty", {}),
-        Check(f"length({c}) < 2", "name.short", {}),
-        Check(f"NOT {tx.has_whitespace(c)}", "name.parts", {}),
-    ]
-
-
-EMAIL = FieldRule("email", _email_checks, None)
-ACCOUNT_ID = FieldRule("sap_id", _account_checks, _account_clean)
-PHONE = FieldRule("phone", _phone_checks, _phone_normalize)
-NAME = FieldRule("name", _name_checks, lambda x: tx.title_case(tx.strip(x)))
+    # -- single-expression forms (SQL function bodies) ------------------------
+    def inline_struct(self, x: str, messages: Mapping[str, str] = PIPELINE_MESSAGES) -> str:
+        env = self.bindings(x)
+        return self.result_sql(f"({self.code_sql(env)})", env, messages)
+
+    def inline_valid(self, x: str) -> str:
+        return f"(({self.code_sql(self.bindings(x))}) IS NULL)"
+
+
+_BLANK = "(<<x>> IS NULL OR " + tx.is_blank_text("<<x>>") + ")"
+
+EMAIL = FieldRule(
+    "email",
+    helpers=(("clean", tx.strip("<<x>>")),),
+    checks=(Check(_BLANK, "email.empty"),
+            Check("NOT (<<clean>> RLIKE " + sql_string(EMAIL_PATTERN[:-1] + r"\z") + ")",
+                  "email.format", {"value": "<<x>>"})),
+    normalize=None)
+
+ACCOUNT_ID = FieldRule(
+    "sap_id",
+    helpers=(("clean", "upper(" + tx.strip("<<x>>") + ")"),),
+    checks=(Check(_BLANK, "sap_id.empty"),
+            Check("NOT (<<clean>> RLIKE " + sql_string(
+                "(?U)^" + ACCOUNT_PREFIX + r"\d{" + str(ACCOUNT_DIGITS) + r"}\z") + ")",
+                "sap_id.format", {"value": "<<x>>"})),
+    normalize="<<clean>>")
+
+PHONE = FieldRule(
+    "phone",
+    helpers=(("digits", tx.drop_country_code(tx.digits("<<x>>"), PHONE_DIGITS)),),
+    checks=(Check(_BLANK, "phone.empty"),
+            Check(f"length(<<digits>>) <> {PHONE_DIGITS}", "phone.length",
+                  {"n": "length(<<digits>>)"}),
+            Check("left(<<digits>>, 1) IN ('0', '1')", "phone.area")),
+    normalize="format_string('(%s) %s-%s', substring(<<digits>>, 1, 3), "
+              "substring(<<digits>>, 4, 3), substring(<<digits>>, 7, 4))")
+
+NAME = FieldRule(
+    "name",
+    helpers=(("clean", tx.strip("<<x>>")),),
+    checks=(Check(_BLANK, "name.empty"),
+            Check("length(<<clean>>) < 2", "name.short"),
+            Check("NOT " + tx.has_whitespace("<<clean>>"), "name.parts")),
+    normalize=tx.title_case("<<clean>>"))
 
 RULES: Mapping[str, FieldRule] = {"sap_id": ACCOUNT_ID, "name": NAME,
                                   "email": EMAIL, "phone": PHONE}
-
-
-def issues_sql(values: Mapping[str, str],
-               messages: Mapping[str, str] = REVIEWER_MESSAGES) -> str:
-    """``ARRAY<STRUCT<field, code, error>>`` of failing fields, in issue order.
-
-    ``values`` maps rule name (sap_id, name, email, phone) to SQL text.
-    """
-    items = []
-    for rule_name, label in ISSUE_FIELDS:
-        rule, x = RULES[rule_name], values[rule_name]
-        items.append(
-            f"CASE WHEN NOT {rule.valid_sql(x)} THEN named_struct("
-            f"'field', {sql_string(label)}, 'code', {rule.code_sql(x)}, "
-            f"'error', {rule.error_sql(x, messages)}) END")
-    return f"array_compact(array({', '.join(items)}))"
-
-
-def all_valid_sql(values: Mapping[str, str]) -> str:
-    return " AND ".join(f"({RULES[n].valid_sql(values[n])})" for n, _ in ISSUE_FIELDS)
-
-
-def col_sql(name: str) -> str:
-    return ident(name)

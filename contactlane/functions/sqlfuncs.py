@@ -15,6 +15,11 @@ from . import rules as R
 
 EXTRACTION_TYPE = ("STRUCT<sap_id: STRING, contact_name: STRING, contact_email: STRING, "
                    "contact_phone: STRING, request_type: STRING, raw: STRING, error: STRING>")
+# Parameter order of the packaging function (its result puts status first).
+RECORD_PARAMS = ("email_id", "sender", "sap_id", "contact_name", "contact_email", "contact_phone",
+                 "normalized_sap_id", "normalized_name", "normalized_phone", "sap_id_valid",
+                 "name_valid", "email_valid", "phone_valid", "sap_exists", "validation_status",
+                 "queue_type")
 _RECORD_TYPES = {"sap_id_valid": "BOOLEAN", "name_valid": "BOOLEAN", "email_valid": "BOOLEAN",
                  "phone_valid": "BOOLEAN", "sap_exists": "BOOLEAN"}
 
@@ -39,13 +44,13 @@ def register_functions(spark: SparkSession, directory_table: str = "contact_dire
         return f"{prefix}{fn}.{arg}"
 
     reg("validate_email", "email STRING", R.EMAIL_VALIDATION_TYPE,
-        R.EMAIL.struct_sql(p("validate_email", "email")))
+        R.EMAIL.inline_struct(p("validate_email", "email")))
     reg("validate_phone", "phone STRING", R.VALIDATION_TYPE,
-        R.PHONE.struct_sql(p("validate_phone", "phone")))
+        R.PHONE.inline_struct(p("validate_phone", "phone")))
     reg("validate_sap_id", "sap_id STRING", R.VALIDATION_TYPE,
-        R.ACCOUNT_ID.struct_sql(p("validate_sap_id", "sap_id")))
+        R.ACCOUNT_ID.inline_struct(p("validate_sap_id", "sap_id")))
     reg("validate_name", "name STRING", R.VALIDATION_TYPE,
-        R.NAME.struct_sql(p("validate_name", "name")))
+        R.NAME.inline_struct(p("validate_name", "name")))
     reg("sap_exists", "sap_id STRING", "BOOLEAN",
         f"(SELECT COUNT(*) > 0 FROM {directory_table} d "
         f"WHERE d.sap_id = UPPER({p('sap_exists', 'sap_id')}))")
@@ -56,7 +61,7 @@ def register_functions(spark: SparkSession, directory_table: str = "contact_dire
                       for a in ("sap_ok", "name_ok", "email_ok", "phone_ok", "exists")]))
     reg("extract_email", "body STRING", EXTRACTION_TYPE,
         X.extract_struct_sql(p("extract_email", "body")))
-    params = ", ".join(f"{f} {_RECORD_TYPES.get(f, 'STRING')}" for f in G.REVIEW_RECORD_FIELDS)
+    params = ", ".join(f"{f} {_RECORD_TYPES.get(f, 'STRING')}" for f in RECORD_PARAMS)
     returns = "STRUCT<" + ", ".join(f"{f}: {_RECORD_TYPES.get(f, 'STRING')}"
                                     for f in G.REVIEW_RECORD_FIELDS) + ">"
     body = "named_struct(" + ", ".join(f"'{f}', {p('build_review_record', f)}"

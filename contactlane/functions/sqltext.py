@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 
 def sql_string(value: str) -> str:
     """Quote ``value`` as a Spark SQL string literal (backslash escapes on)."""
@@ -30,3 +32,11 @@ def format_message(template: str, args: dict[str, str]) -> str:
     if not values:
         return sql_string(template)
     return f"format_string({sql_string(''.join(parts))}, {', '.join(values)})"
+
+
+_PLACEHOLDER = re.compile(r"<<(\w+)>>")
+
+
+def fill(template: str, env: dict[str, str]) -> str:
+    """Replace ``<<name>>`` placeholders of a SQL template with ``env[name]``."""
+    return _PLACEHOLDER.sub(lambda m: env[m.group(1)], template)

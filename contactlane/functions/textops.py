@@ -30,6 +30,16 @@ def is_blank(x: str) -> str:
     return f"({x} IS NULL OR {strip(x)} = '')"
 
 
+def is_blank_text(x: str) -> str:
+    """A non-NULL ``x`` that is empty or only whitespace (one regex test)."""
+    return f"({x} RLIKE {sql_string('(?U)^' + WHITESPACE_CLASS + '*' + chr(92) + 'z')})"
+
+
+def drop_country_code(d: str, n: int) -> str:
+    """Digits ``d`` without a leading ``1`` when exactly ``n`` digits follow it."""
+    return f"regexp_replace({d}, {sql_string('(?U)^1(?=' + chr(92) + 'd{' + str(n) + '}' + chr(92) + 'z)')}, '')"
+
+
 def has_whitespace(x: str) -> str:
     """True when ``x`` contains a whitespace character (Python's sense)."""
     return f"({x} RLIKE {sql_string(_HAS_WHITESPACE_RE)})"

@@ -15,7 +15,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import rules as R
 from ..functions import textops as tx
 from ..functions.sqltext import ident
 from . import validate as V
@@ -89,10 +88,10 @@ _VALUE_FIELDS = {"sap_id": "sap_value", "name": "name_value",
 
 def decide(pending_rows: DataFrame) -> DataFrame:
     """``decision`` per pending row plus the values and issues behind it."""
-    out = V.with_issues(preferred_values(pending_rows), _VALUE_FIELDS)
-    normalized = {f"final_{n}": F.expr(R.RULES[n].normalized_sql(ident(c)))
-                  for n, c in _VALUE_FIELDS.items() if n != "email"}
-    return out.withColumns(normalized).withColumn(
+    out = V.with_issues(preferred_values(pending_rows), _VALUE_FIELDS,
+                        normalized={"sap_id": "final_sap_id", "name": "final_name",
+                                    "phone": "final_phone"})
+    return out.withColumn(
         "decision",
         F.when(F.col("all_valid") & F.coalesce(F.col("sap_exists"), F.lit(False)),
                F.lit(CONFIRM)).otherwise(F.lit(FOLLOWUP)))

@@ -21,10 +21,11 @@ from ..operators import queue as Q
 from ..operators import routing as G
 from ..operators import validate as V
 from ..sources import fixtures as fx
+from ..sources import tables
 from . import composed_sql, intake
 
 ACTOR = "reviewer@example.com"
-SEARCH_TEXT = "EMAIL-0000001"
+SEARCH_TEXT = "SAP0012"
 SINCE = "2024-01-15 00:00:00"
 TOPK = 100
 
@@ -61,7 +62,9 @@ def queue_direct(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queue_extracted(spark: SparkSession, d: str) -> DataFrame:
-    return intake.queue_rows(fx.emails(spark, d), directory(spark, d), as_of())
+    """The intake's output table, as the review side reads it (written once)."""
+    return tables.materialize(
+        intake.queue_rows(fx.emails(spark, d), directory(spark, d), as_of()), "review_queue")
 
 
 def pending_extracted(spark: SparkSession, d: str) -> DataFrame:
@@ -69,7 +72,9 @@ def pending_extracted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def decided(spark: SparkSession, d: str) -> DataFrame:
-    return intake.decisions(queue_extracted(spark, d), fx.actions(spark, d), fx.emails(spark, d))
+    """Decisions feed several outputs: computed once and checkpointed."""
+    return tables.materialize(intake.decisions(queue_extracted(spark, d), fx.actions(spark, d),
+                                               fx.emails(spark, d)), "decisions")
 
 
 # -- extraction ---------------------------------------------------------------
