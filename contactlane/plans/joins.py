@@ -31,6 +31,19 @@ def null_key_salt(df: DataFrame, key: str, buckets: int) -> Column:
     return F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(buckets)) + 1).otherwise(F.lit(0))
 
 
+def key_struct(key: Column) -> Column:
+    """The key side of a salted join: ``struct(key, 0)``."""
+    return F.struct(key.alias("k"), F.lit(0).alias("s"))
+
+
+def salted_key(df: DataFrame, key: str) -> Column:
+    """Join key ``struct(key, salt)``: salt 0 for rows with a key, 1..n for
+    NULL keys. The key side uses ``struct(key, 0)``; being one struct, the
+    salt cannot be folded away from the join keys by the optimizer."""
+    buckets = salt_partitions(df)
+    return F.struct(F.col(key).alias("k"), null_key_salt(df, key, buckets).alias("s"))
+
+
 def exists_flag(left: DataFrame, keys: DataFrame, left_key: str, key: str, out: str,
                 broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """``left`` plus boolean ``out``: does ``left[left_key]`` occur in ``keys[key]``?
@@ -39,19 +52,19 @@ def exists_flag(left: DataFrame, keys: DataFrame, left_key: str, key: str, out:
     with map-side partial aggregation, so hot keys collapse before the
     shuffle). A NULL left key gives ``false``.
     """
-    hits = (keys.select(F.col(key).alias("_ex_key")).where(F.col("_ex_key").isNotNull())
-            .distinct().withColumn("_ex_hit", F.lit(True)))
+    present = keys.where(F.col(key).isNotNull())
     if broadcast_max_rows and row_count_at_most(keys.select(key), broadcast_max_rows):
-        joined = left.join(F.broadcast(hits), F.col(left_key) == F.col("_ex_key"), "left")
+        hits = present.select(F.col(key).alias("_ex_key")).distinct()
+        joined = left.join(F.broadcast(hits.withColumn("_ex_hit", F.lit(True))),
+                           F.col(left_key) == F.col("_ex_key"), "left").drop("_ex_key")
     else:
-        buckets = salt_partitions(left)
-        salted = left.withColumn("_ex_lsalt", null_key_salt(left, left_key, buckets))
-        hits = hits.withColumn("_ex_rsalt", F.lit(0))
-        joined = salted.join(hits, (F.col(left_key) == F.col("_ex_key"))
-                             & (F.col("_ex_lsalt") == F.col("_ex_rsalt")), "left")
-        joined = joined.drop("_ex_lsalt", "_ex_rsalt")
-    return (joined.withColumn(out, F.coalesce(F.col("_ex_hit"), F.lit(False)))
-            .drop("_ex_key", "_ex_hit"))
+        # distinct on the join key itself: its shuffle also serves the join
+        hits = present.select(key_struct(F.col(key)).alias("_ex_rkey")).distinct()
+        salted = left.withColumn("_ex_lkey", salted_key(left, left_key))
+        joined = salted.join(hits.withColumn("_ex_hit", F.lit(True)),
+                             F.col("_ex_lkey") == F.col("_ex_rkey"), "left")
+        joined = joined.drop("_ex_lkey", "_ex_rkey")
+    return joined.withColumn(out, F.coalesce(F.col("_ex_hit"), F.lit(False))).drop("_ex_hit")
 
 
 def anti_join(left: DataFrame, keys: DataFrame, left_key: str, key: str,
@@ -61,15 +74,14 @@ def anti_join(left: DataFrame, keys: DataFrame, left_key: str, key: str,
     The key side is de-duplicated with partial aggregation before the
     shuffle; NULL left keys are spread like in :func:`exists_flag`.
     """
-    seen = keys.select(F.col(key).alias("_aj_key")).where(F.col("_aj_key").isNotNull()).distinct()
+    present = keys.where(F.col(key).isNotNull())
     if broadcast_max_rows and row_count_at_most(keys.select(key), broadcast_max_rows):
+        seen = present.select(F.col(key).alias("_aj_key")).distinct()
         return left.join(F.broadcast(seen), F.col(left_key) == F.col("_aj_key"), "left_anti")
-    buckets = salt_partitions(left)
-    salted = left.withColumn("_aj_lsalt", null_key_salt(left, left_key, buckets))
-    seen = seen.withColumn("_aj_rsalt", F.lit(0))
-    return (salted.join(seen, (F.col(left_key) == F.col("_aj_key"))
-                        & (F.col("_aj_lsalt") == F.col("_aj_rsalt")), "left_anti")
-            .drop("_aj_lsalt"))
+    seen = present.select(key_struct(F.col(key)).alias("_aj_rkey")).distinct()
+    salted = left.withColumn("_aj_lkey", salted_key(left, left_key))
+    return (salted.join(seen, F.col("_aj_lkey") == F.col("_aj_rkey"), "left_anti")
+            .drop("_aj_lkey"))
 
 
 def one_per_key(df: DataFrame, key: str, value: str, out: str | None = None) -> DataFrame:
