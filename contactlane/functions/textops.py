@@ -17,7 +17,6 @@ _HAS_WHITESPACE_RE = r"(?U)" + WHITESPACE_CLASS
 _NON_DIGIT_RE = r"(?U)\D"
 # A "cased" character in Python's sense: upper, lower or title case letter.
 _CASED = r"\p{IsUppercase}\p{IsLowercase}\p{IsTitlecase}"
-_CASE_RUNS_RE = "([" + _CASED + "]+|[^" + _CASED + "]+)"
 
 
 def strip(x: str) -> str:
@@ -51,15 +50,16 @@ def digits(x: str) -> str:
 
 
 def title_case(x: str) -> str:
-    """``str.title()``: a cased run starts upper-case, the rest is lower-case.
+    """``str.title()``: a cased character after a non-cased one (or at the
+    start) is title-cased, every other cased character lower-cased.
 
-    The text is split into runs of cased and non-cased characters; each run
-    gets its first character upper-cased and the rest lower-cased, which
-    leaves non-cased runs unchanged.
+    Every non-cased character gets a space appended, so ``initcap`` (which
+    starts words after spaces) starts a word exactly where Python does; the
+    added spaces are then removed again.
     """
-    runs = f"regexp_extract_all({x}, {sql_string(_CASE_RUNS_RE)}, 1)"
-    return (f"CASE WHEN {x} IS NOT NULL THEN array_join(transform({runs}, "
-            f"r -> concat(upper(substring(r, 1, 1)), lower(substring(r, 2)))), '') END")
+    non_cased = "([^" + _CASED + "])"
+    marked = f"regexp_replace({x}, {sql_string(non_cased)}, '$1 ')"
+    return f"regexp_replace(initcap({marked}), {sql_string(non_cased + ' ')}, '$1')"
 
 
 def first_word(x: str) -> str:

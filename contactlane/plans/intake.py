@@ -38,6 +38,7 @@ def routed(fields: DataFrame, directory: DataFrame,
 def extracted(emails: DataFrame,
               extractor: Callable[[pd.Series], pd.DataFrame] | None = None) -> DataFrame:
     """Extraction stage: labelled-text rules, or a user batch extractor."""
+    emails = tables.spread(emails)
     if extractor is None:
         return X.extracted_view(emails)
     out = X.extract_with(emails.select("email_id", "sender", "body"), extractor)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .tables import read_table
+from .tables import read_table, spread
 
 # Fixed stamp for every run-time timestamp, so results can be compared.
 AS_OF = "2024-01-01 00:00:00"
@@ -50,7 +50,7 @@ def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
                     WHEN 4 THEN '   ' WHEN 5 THEN 'call me'
                     ELSE CAST(201 + c_custkey % 700 AS STRING) || '.555.'
                       || lpad(CAST(c_custkey % 10000 AS STRING), 4, '0') END AS contact_phone
-        FROM {customer}""", customer=read_table(spark, sf_dir, "customer"))
+        FROM {customer}""", customer=spread(read_table(spark, sf_dir, "customer")))
 
 
 def emails(spark: SparkSession, sf_dir: str) -> DataFrame:

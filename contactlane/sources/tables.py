@@ -33,6 +33,19 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when it arrives in fewer
+    partitions than that (e.g. one small file whose rows carry heavy regex
+    work). Inputs that already have enough partitions -- any large input --
+    are returned unchanged, so no shuffle is added at scale."""
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def ensure_tables(spark: SparkSession, warehouse: str,
                   tables: dict[str, T.StructType] | None = None,
                   database: str | None = None) -> None:
