@@ -72,9 +72,11 @@ def turnaround(queue: DataFrame, actions: DataFrame, tie: str = "action",
                accuracy: int = 10000) -> DataFrame:
     """R2: per status, how many items were acted on and how long after
     queueing the first action came (seconds; median approximate)."""
-    firsts = first_action(actions, tie)
-    joined = queue.select("email_id", "validation_status", "queued_at").join(
-        firsts, on="email_id", how="left")
+    from ..plans.joins import lookup
+
+    firsts = first_action(actions, tie).withColumnRenamed("email_id", "_fa_id")
+    joined = lookup(queue.select("email_id", "validation_status", "queued_at"), firsts,
+                    "email_id", "_fa_id")
     secs = (F.unix_micros(F.col("first_action_at").cast("timestamp"))
             - F.unix_micros(F.col("queued_at").cast("timestamp"))) / F.lit(1e6)
     return (joined.withColumn("_secs", secs).groupBy("validation_status").agg(
@@ -91,3 +93,11 @@ def new_since(df: DataFrame, ts: str, since: Column, by: Sequence[str]) -> DataF
     """Rows newer than ``since``, counted per group."""
     return (df.where(F.col(ts) > since).groupBy(*by)
             .agg(F.count(F.lit(1)).alias("n_new"), F.max(ts).alias("latest_at")))
+
+
+def export_audit_log(actions: DataFrame, path: str, limit: int | None = None,
+                     tie: Sequence[str] = ("email_id", "action")) -> None:
+    """The audit view (labels, newest first) as CSV with a header."""
+    from ..sources.tables import export_csv
+
+    export_csv(audit_log(actions, limit, tie), path)

@@ -207,9 +207,11 @@ def merge_corrections(records: DataFrame, edits: DataFrame, key: str = "email_id
     """Reviewer edits win where given (non-NULL, non-empty); adds
     ``changed_fields``. ``edits`` has one row per key (duplicates are merged
     field by field, largest value first)."""
-    e = edits.groupBy(key).agg(*[F.max(F.nullif(F.col(f), F.lit(""))).alias(f"_edit_{f}")
-                                 for f in fields])
-    joined = records.join(e, on=key, how="left")
+    from ..plans.joins import lookup
+
+    e = edits.groupBy(F.col(key).alias("_edit_key")).agg(
+        *[F.max(F.nullif(F.col(f), F.lit(""))).alias(f"_edit_{f}") for f in fields])
+    joined = lookup(records, e, key, "_edit_key")
     merged = {f: F.coalesce(F.col(f"_edit_{f}"), F.col(f)) for f in fields}
     changed = F.array_compact(F.array(*[
         F.when(~merged[f].eqNullSafe(F.col(f)), F.lit(f)) for f in fields]))

@@ -101,10 +101,18 @@ def auto_approve_view(queue: DataFrame) -> DataFrame:
 
 
 def with_body(rows: DataFrame, emails: DataFrame, body: str = "body",
-              out: str = "email_body") -> DataFrame:
-    """The original body per row (one body per id; NULL when unknown)."""
-    bodies = joins.one_per_key(emails.select("email_id", body), "email_id", body, out)
-    return rows.join(bodies, on="email_id", how="left")
+              out: str = "email_body",
+              broadcast_max_rows: int | None = joins.BROADCAST_MAX_ROWS) -> DataFrame:
+    """The original body per row (one body per id -- the smallest if an
+    id repeats; NULL when unknown).
+
+    Only bodies of the ids in ``rows`` are kept before they are aggregated
+    and joined, so the other messages' bodies never enter a shuffle.
+    """
+    wanted = joins.semi_join(emails.select(F.col("email_id").alias("_b_id"), body),
+                             rows, "_b_id", "email_id", broadcast_max_rows)
+    bodies = joins.one_per_key(wanted, "_b_id", body, out)
+    return joins.lookup(rows, bodies, "email_id", "_b_id", broadcast_max_rows)
 
 
 def _lookup(mapping: dict[str, str]) -> Column:

@@ -35,10 +35,16 @@ def routed(fields: DataFrame, directory: DataFrame,
     return G.route(validated_with_lookup(fields, directory, broadcast_max_rows))
 
 
+def first_n(emails: DataFrame, n: int | None) -> DataFrame:
+    """An ordered sample of ``n`` messages (by id); ``None`` keeps all."""
+    return emails if n is None else emails.orderBy("email_id").limit(n)
+
+
 def extracted(emails: DataFrame,
-              extractor: Callable[[pd.Series], pd.DataFrame] | None = None) -> DataFrame:
+              extractor: Callable[[pd.Series], pd.DataFrame] | None = None,
+              sample: int | None = None) -> DataFrame:
     """Extraction stage: labelled-text rules, or a user batch extractor."""
-    emails = tables.spread(emails)
+    emails = tables.spread(first_n(emails, sample))
     if extractor is None:
         return X.extracted_view(emails)
     out = X.extract_with(emails.select("email_id", "sender", "body"), extractor)
@@ -77,6 +83,17 @@ def run_intake(emails: DataFrame, directory: DataFrame, queue_path: str, as_of:
     return dict(obs.get)
 
 
+def run_directory_refresh(ids: DataFrame, path: str, as_of: Column,
+                          id_col: str = "sap_id") -> int:
+    """Rebuild the directory snapshot at ``path`` with its fixed schema
+    from raw ids (distinct, upper-cased, NULLs dropped); returns its size."""
+    directory = Dir.build_directory(ids, id_col, as_of)
+    obs = Observation("directory")
+    directory = directory.observe(obs, F.count(F.lit(1)).alias("rows"))
+    tables.write_snapshot(directory, path, schemas.DIRECTORY)
+    return obs.get["rows"]
+
+
 def decisions(queue: DataFrame, actions: DataFrame, emails: DataFrame) -> DataFrame:
     """Decisions for every pending queue row, with the original body."""
     pend = Q.pending(queue, actions)

@@ -1,7 +1,10 @@
 """Join strategies that stay safe when one key holds a large share of rows.
 
-* A side is broadcast only after a bounded count proves its row count is at
-  most ``max_rows`` (a ``limit(max_rows + 1)`` scan stops early).
+* A side is broadcast only after an exact count proves its row count is at
+  most ``max_rows``. The count reads no columns and combines per-partition
+  counts, so it costs one pruned scan of that side and never funnels rows
+  into one task (``limit(n).count()`` would move up to n rows per partition
+  into a single task).
 * Otherwise the join shuffles; rows whose key is NULL -- they can never match
   -- are spread over all partitions with a deterministic salt instead of all
   hashing to one partition. AQE's skew-join split stays on as a second guard.
@@ -17,8 +20,8 @@ BROADCAST_MAX_ROWS = 1_000_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows."""
+    return df.count() <= max_rows
 
 
 def salt_partitions(df: DataFrame) -> int:
@@ -84,6 +87,33 @@ def anti_join(left: DataFrame, keys: DataFrame, left_key: str, key: str,
             .drop("_aj_lkey"))
 
 
+def semi_join(left: DataFrame, keys: DataFrame, left_key: str, key: str,
+              broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Rows of ``left`` whose key occurs in ``keys[key]`` (a filter, no duplication).
+
+    With a provably small key set this is a map-side filter against a
+    broadcast set, so only matching rows reach later shuffles.
+    """
+    wanted = keys.where(F.col(key).isNotNull()).select(F.col(key).alias("_sj_key")).distinct()
+    if broadcast_max_rows and row_count_at_most(keys.select(key), broadcast_max_rows):
+        wanted = F.broadcast(wanted)
+    return left.join(wanted, F.col(left_key) == F.col("_sj_key"), "left_semi")
+
+
+def lookup(left: DataFrame, right: DataFrame, left_key: str, key: str,
+           broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Left join of ``right`` (one row per ``key``) onto ``left``: every left
+    row once, right's other columns NULL when there is no match. NULL left
+    keys are spread over partitions when the join shuffles."""
+    if broadcast_max_rows and row_count_at_most(right, broadcast_max_rows):
+        r = F.broadcast(right.withColumnRenamed(key, "_lk_key"))
+        return left.join(r, F.col(left_key) == F.col("_lk_key"), "left").drop("_lk_key")
+    r = right.withColumn("_lk_rkey", key_struct(F.col(key))).drop(key)
+    salted = left.withColumn("_lk_lkey", salted_key(left, left_key))
+    return (salted.join(r, F.col("_lk_lkey") == F.col("_lk_rkey"), "left")
+            .drop("_lk_lkey", "_lk_rkey"))
+
+
 def one_per_key(df: DataFrame, key: str, value: str, out: str | None = None) -> DataFrame:
     """One ``value`` per ``key`` (the smallest), partial-aggregated before the shuffle."""
     return df.groupBy(key).agg(F.min(value).alias(out or value))

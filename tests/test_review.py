@@ -80,3 +80,25 @@ def test_merge_corrections(spark):
     assert out["e1"]["contact_email"] == "new@y.co" and out["e1"]["contact_name"] == "a b"
     assert out["e1"]["changed_fields"] == ["contact_email"]
     assert out["e2"]["changed_fields"] == [] and out["e2"]["contact_email"] is None
+
+
+def test_directory_refresh_and_csv_export(spark, tmpdir_path):
+    from contactlane.operators import audit as A
+
+    path = os.path.join(tmpdir_path, "directory")
+    n = intake.run_directory_refresh(fx.emails(spark, SF001).select("sap_id"), path, QS.as_of())
+    d = spark.read.parquet(path)
+    assert n == d.count() and d.schema.names == schemas.DIRECTORY.names
+    assert d.where(F.col("account_status") != "ACTIVE").count() == 0
+    out = os.path.join(tmpdir_path, "audit_csv")
+    A.export_audit_log(fx.actions(spark, SF001), out, limit=20, tie=("event_id",))
+    back = spark.read.option("header", True).csv(out)
+    assert back.count() == 20 and back.columns == ["email_id", "action", "actor_email",
+                                                   "created_at", "reason"]
+    assert back.where(F.col("action").startswith("✅") | F.col("action").startswith("📤")).count() == 20
+
+
+def test_ordered_sample(spark):
+    ext = intake.extracted(fx.emails(spark, SF001), sample=10)
+    ids = [r[0] for r in ext.select("email_id").collect()]
+    assert sorted(ids) == [f"EMAIL-{i:08d}" for i in range(10)]
