@@ -75,11 +75,22 @@ def extract_struct_sql(body: str) -> str:
 
 
 def extract_labelled(df: DataFrame, body: str = "body") -> DataFrame:
-    """Add the four contact fields, ``request_type`` and ``extraction_error``."""
-    ext = F.expr(extract_struct_sql(ident(body)))
-    return df.withColumn("_extracted", ext).withColumns(
-        {f: F.col(f"_extracted.{f}") for f in EXTRACTION_FIELDS}
-        | {"extraction_error": F.col("_extracted.error")}).drop("_extracted")
+    """Add the four contact fields, ``request_type`` and ``extraction_error``.
+
+    Each label regex runs once per row: values are extracted in one
+    projection, the defaults and the outcome are derived from them in the next.
+    """
+    values = {f"_x_{f}": F.expr(labelled_value_sql(ident(body), f)) for f in EXTRACTION_FIELDS}
+    found = F.lit(False)
+    for f in FIELDS:
+        found = found | F.col(f"_x_{f}").isNotNull()
+    error = (F.when(F.col(body).isNull(), F.lit(NO_RESPONSE))
+             .when(~found, F.lit(NO_FIELDS)))
+    out = df.withColumns(values).withColumns(
+        {f: F.col(f"_x_{f}") for f in FIELDS}
+        | {"request_type": F.coalesce(F.col("_x_request_type"), F.lit(DEFAULT_REQUEST_TYPE)),
+           "extraction_error": error})
+    return out.drop(*values)
 
 
 def extracted_view(df: DataFrame, body: str = "body") -> DataFrame:

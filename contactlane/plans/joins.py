@@ -31,12 +31,22 @@ def salt_partitions(df: DataFrame) -> int:
 def null_key_salt(df: DataFrame, key: str, buckets: int) -> Column:
     """0 for rows with a key; 1..buckets, from a hash of the row, for NULL keys."""
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    return F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(buckets)) + 1).otherwise(F.lit(0))
+    return (F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(buckets)) + 1)
+            .otherwise(F.lit(0)).cast("long"))
 
 
-def key_struct(key: Column) -> Column:
-    """The key side of a salted join: ``struct(key, 0)``."""
-    return F.struct(key.alias("k"), F.lit(0).alias("s"))
+def _key_type(df: DataFrame, key: str) -> str:
+    return f"struct<k:{df.schema[key].dataType.simpleString()},s:bigint>"
+
+
+def key_struct(df: DataFrame, key: str, key_type: str) -> Column:
+    """The key side of a salted join: ``struct(key, 0)`` of type ``key_type``.
+
+    Both sides get the same explicit struct type (nullability included), so
+    the planner adds no cast -- and thus no extra exchange -- between the key
+    side's de-duplication and the join.
+    """
+    return F.struct(F.col(key).alias("k"), F.lit(0).cast("long").alias("s")).cast(key_type)
 
 
 def salted_key(df: DataFrame, key: str) -> Column:
@@ -44,7 +54,8 @@ def salted_key(df: DataFrame, key: str) -> Column:
     NULL keys. The key side uses ``struct(key, 0)``; being one struct, the
     salt cannot be folded away from the join keys by the optimizer."""
     buckets = salt_partitions(df)
-    return F.struct(F.col(key).alias("k"), null_key_salt(df, key, buckets).alias("s"))
+    return (F.struct(F.col(key).alias("k"), null_key_salt(df, key, buckets).alias("s"))
+            .cast(_key_type(df, key)))
 
 
 def exists_flag(left: DataFrame, keys: DataFrame, left_key: str, key: str, out: str,
@@ -62,7 +73,8 @@ def exists_flag(left: DataFrame, keys: DataFrame, left_key: str, key: str, out:
                            F.col(left_key) == F.col("_ex_key"), "left").drop("_ex_key")
     else:
         # distinct on the join key itself: its shuffle also serves the join
-        hits = present.select(key_struct(F.col(key)).alias("_ex_rkey")).distinct()
+        kt = _key_type(left, left_key)
+        hits = present.select(key_struct(present, key, kt).alias("_ex_rkey")).distinct()
         salted = left.withColumn("_ex_lkey", salted_key(left, left_key))
         joined = salted.join(hits.withColumn("_ex_hit", F.lit(True)),
                              F.col("_ex_lkey") == F.col("_ex_rkey"), "left")
@@ -81,7 +93,8 @@ def anti_join(left: DataFrame, keys: DataFrame, left_key: str, key: str,
     if broadcast_max_rows and row_count_at_most(keys.select(key), broadcast_max_rows):
         seen = present.select(F.col(key).alias("_aj_key")).distinct()
         return left.join(F.broadcast(seen), F.col(left_key) == F.col("_aj_key"), "left_anti")
-    seen = present.select(key_struct(F.col(key)).alias("_aj_rkey")).distinct()
+    seen = present.select(key_struct(present, key, _key_type(left, left_key))
+                          .alias("_aj_rkey")).distinct()
     salted = left.withColumn("_aj_lkey", salted_key(left, left_key))
     return (salted.join(seen, F.col("_aj_lkey") == F.col("_aj_rkey"), "left_anti")
             .drop("_aj_lkey"))
@@ -108,7 +121,7 @@ def lookup(left: DataFrame, right: DataFrame, left_key: str, key: str,
     if broadcast_max_rows and row_count_at_most(right, broadcast_max_rows):
         r = F.broadcast(right.withColumnRenamed(key, "_lk_key"))
         return left.join(r, F.col(left_key) == F.col("_lk_key"), "left").drop("_lk_key")
-    r = right.withColumn("_lk_rkey", key_struct(F.col(key))).drop(key)
+    r = right.withColumn("_lk_rkey", key_struct(right, key, _key_type(left, left_key))).drop(key)
     salted = left.withColumn("_lk_lkey", salted_key(left, left_key))
     return (salted.join(r, F.col("_lk_lkey") == F.col("_lk_rkey"), "left")
             .drop("_lk_lkey", "_lk_rkey"))
