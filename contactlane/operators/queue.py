@@ -101,13 +101,13 @@ def auto_approve_view(queue: DataFrame) -> DataFrame:
 
 
 def with_body(rows: DataFrame, emails: DataFrame, body: str = "body",
-              out: str = "email_body",
-              broadcast_max_rows: int | None = joins.BROADCAST_MAX_ROWS) -> DataFrame:
+              out: str = "email_body", broadcast_max_rows: int | None = None) -> DataFrame:
     """The original body per row (one body per id -- the smallest if an
     id repeats; NULL when unknown).
 
     Only bodies of the ids in ``rows`` are kept before they are aggregated
-    and joined, so the other messages' bodies never enter a shuffle.
+    and joined. ``rows`` is usually derived (pending rows), so its size is
+    left to AQE's runtime statistics rather than counted up front.
     """
     wanted = joins.semi_join(emails.select(F.col("email_id").alias("_b_id"), body),
                              rows, "_b_id", "email_id", broadcast_max_rows)

@@ -5,6 +5,10 @@
   counts, so it costs one pruned scan of that side and never funnels rows
   into one task (``limit(n).count()`` would move up to n rows per partition
   into a single task).
+* A pre-count is only worth it for a side that is a plain scan. For a side
+  derived by joins or aggregates (``semi_join``/``lookup`` default) counting
+  would recompute it, so the join is planned as a shuffle and AQE switches it
+  to a broadcast at run time when the side's exact shuffle size is small.
 * Otherwise the join shuffles; rows whose key is NULL -- they can never match
   -- are spread over all partitions with a deterministic salt instead of all
   hashing to one partition. AQE's skew-join split stays on as a second guard.
@@ -101,7 +105,7 @@ def anti_join(left: DataFrame, keys: DataFrame, left_key: str, key: str,
 
 
 def semi_join(left: DataFrame, keys: DataFrame, left_key: str, key: str,
-              broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+              broadcast_max_rows: int | None = None) -> DataFrame:
     """Rows of ``left`` whose key occurs in ``keys[key]`` (a filter, no duplication).
 
     With a provably small key set this is a map-side filter against a
@@ -114,7 +118,7 @@ def semi_join(left: DataFrame, keys: DataFrame, left_key: str, key: str,
 
 
 def lookup(left: DataFrame, right: DataFrame, left_key: str, key: str,
-           broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+           broadcast_max_rows: int | None = None) -> DataFrame:
     """Left join of ``right`` (one row per ``key``) onto ``left``: every left
     row once, right's other columns NULL when there is no match. NULL left
     keys are spread over partitions when the join shuffles."""

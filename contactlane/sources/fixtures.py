@@ -119,4 +119,4 @@ def corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents")
+    return spread(read_table(spark, sf_dir, "documents"))

@@ -120,3 +120,23 @@ def test_issue_list_reviewer_messages(spark):
         ("Email", "Invalid email format"), ("Phone", "Phone must have 10 digits, got 3")]
     assert rows["e1"]["all_valid"] is False
     assert rows["e2"]["issues"] == [] and rows["e2"]["all_valid"] is True
+
+
+def test_whitespace_set_is_pythons():
+    from contactlane.functions.textops import PY_WHITESPACE
+
+    assert set(PY_WHITESPACE) == {chr(c) for c in range(0x110000) if chr(c).isspace()}
+
+
+def test_strip_and_title_match_python(spark):
+    from contactlane.functions import textops as tx
+
+    vals = ["　 a b  ", "\x1cx\x1f", "\xa0\xa0", " mary-jane o'brien ", "ǆemal ß straße",
+            "İstanbul ıi", "ﬁne ﬂow", "ΣΊΣΥΦΟΣ ΌΣ", "abc def", "ABC  dEF", "3rd x1y", "", "\u0085z\u0085"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    rows = df.select("s", F.expr(tx.strip("s")).alias("st"), F.expr(tx.title_case("s")).alias("t"),
+                     F.expr(tx.first_word("s")).alias("w")).collect()
+    for r in rows:
+        assert r.st == r.s.strip(), repr(r.s)
+        assert r.t == r.s.title(), repr(r.s)
+        assert r.w == (r.s.split()[0] if r.s.split() else None), repr(r.s)
