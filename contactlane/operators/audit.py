@@ -77,8 +77,7 @@ def turnaround(queue: DataFrame, actions: DataFrame, tie: str = "action",
     firsts = first_action(actions, tie).withColumnRenamed("email_id", "_fa_id")
     joined = lookup(queue.select("email_id", "validation_status", "queued_at"), firsts,
                     "email_id", "_fa_id")
-    secs = (F.unix_micros(F.col("first_action_at").cast("timestamp"))
-            - F.unix_micros(F.col("queued_at").cast("timestamp"))) / F.lit(1e6)
+    secs = F.expr("timestampdiff(MICROSECOND, queued_at, first_action_at)") / F.lit(1e6)
     return (joined.withColumn("_secs", secs).groupBy("validation_status").agg(
         F.count(F.lit(1)).alias("n_items"),
         F.count("_secs").alias("n_actioned"),
