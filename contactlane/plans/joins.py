@@ -11,7 +11,9 @@
   to a broadcast at run time when the side's exact shuffle size is small.
 * Otherwise the join shuffles; rows whose key is NULL -- they can never match
   -- are spread over all partitions with a deterministic salt instead of all
-  hashing to one partition. AQE's skew-join split stays on as a second guard.
+  hashing to one partition. A hot non-NULL key (say a third of all rows) is
+  split by AQE's skew join: both join inputs are kept as plain shuffles,
+  which that rule needs.
 """
 
 from __future__ import annotations
@@ -76,9 +78,12 @@ def exists_flag(left: DataFrame, keys: DataFrame, left_key: str, key: str, out:
         joined = left.join(F.broadcast(hits.withColumn("_ex_hit", F.lit(True))),
                            F.col(left_key) == F.col("_ex_key"), "left").drop("_ex_key")
     else:
-        # distinct on the join key itself: its shuffle also serves the join
+        # The key side is made distinct on the raw key and then gets its own
+        # exchange into the join: AQE can only split a skewed (hot-key) left
+        # partition when both join inputs are plain shuffles.
         kt = _key_type(left, left_key)
-        hits = present.select(key_struct(present, key, kt).alias("_ex_rkey")).distinct()
+        hits = (present.select(F.col(key)).distinct()
+                .select(key_struct(present, key, kt).alias("_ex_rkey")))
         salted = left.withColumn("_ex_lkey", salted_key(left, left_key))
         joined = salted.join(hits.withColumn("_ex_hit", F.lit(True)),
                              F.col("_ex_lkey") == F.col("_ex_rkey"), "left")
@@ -97,8 +102,8 @@ def anti_join(left: DataFrame, keys: DataFrame, left_key: str, key: str,
     if broadcast_max_rows and row_count_at_most(keys.select(key), broadcast_max_rows):
         seen = present.select(F.col(key).alias("_aj_key")).distinct()
         return left.join(F.broadcast(seen), F.col(left_key) == F.col("_aj_key"), "left_anti")
-    seen = present.select(key_struct(present, key, _key_type(left, left_key))
-                          .alias("_aj_rkey")).distinct()
+    seen = (present.select(F.col(key)).distinct()
+            .select(key_struct(present, key, _key_type(left, left_key)).alias("_aj_rkey")))
     salted = left.withColumn("_aj_lkey", salted_key(left, left_key))
     return (salted.join(seen, F.col("_aj_lkey") == F.col("_aj_rkey"), "left_anti")
             .drop("_aj_lkey"))

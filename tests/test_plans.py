@@ -49,3 +49,52 @@ def test_scans_prune_and_push_down(spark):
     p = plan(QS.directory(spark, SF001))
     assert "PushedFilters: [IsNotNull(o_orderpriority), IsNotNull(o_orderstatus)" in p
     assert "ReadSchema: struct<o_custkey:bigint,o_orderstatus:string,o_orderpriority:string>" in p
+
+
+SKEW_CONF = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false",
+             "spark.sql.shuffle.partitions": "8"}
+
+
+def test_hot_key_is_split_and_results_whole(spark):
+    """One non-NULL key holds a third of the rows, another third has NULL keys:
+    AQE splits the hot partition (both join inputs are plain shuffles) and
+    every row comes out exactly once."""
+    from pyspark.sql import functions as F
+    from contactlane.plans import joins
+
+    n = 30000
+    left = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT"))
+         .when(F.col("id") % 3 == 1, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("K"), F.col("id").cast("string"))).alias("k"), "id")
+    keys = spark.range(0, n, 2).select(F.concat(F.lit("K"), F.col("id").cast("string")).alias("k")) \
+        .union(spark.createDataFrame([("HOT",), ("HOT",)], "k string"))
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    try:
+        for k, v in SKEW_CONF.items():
+            spark.conf.set(k, v)
+        flagged = joins.exists_flag(left, keys, "k", "k", "hit", broadcast_max_rows=None)
+        rows = flagged.collect()
+        assert "SortMergeJoin(skew=true)" in flagged._jdf.queryExecution().executedPlan().toString()
+        assert len(rows) == n and sum(r.hit for r in rows) == 15000
+        assert len({r.id for r in rows}) == n
+        anti = joins.anti_join(left, keys, "k", "k", broadcast_max_rows=None)
+        ids = [r.id for r in anti.collect()]
+        assert "SortMergeJoin(skew=true)" in anti._jdf.queryExecution().executedPlan().toString()
+        assert len(ids) == 15000 and len(set(ids)) == 15000   # NULL keys + odd K keys
+        right = keys.distinct().withColumn("v", F.length("k"))
+        looked = joins.lookup(left, right, "k", "k")
+        got = looked.collect()
+        assert "SortMergeJoin(skew=true)" in looked._jdf.queryExecution().executedPlan().toString()
+        assert len(got) == n and sum(1 for r in got if r.v is not None) == 15000
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
