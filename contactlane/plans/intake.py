@@ -107,21 +107,20 @@ def run_review(queue: DataFrame, emails: DataFrame, actor: str, as_of: Column,
                template: D.FollowupTemplate = D.DEFAULT_TEMPLATE) -> dict[str, int]:
     """Decide every pending item and append the results.
 
-    Pending excludes ids already present in any of the three output tables,
-    so a re-run (also after a failure between the appends) adds nothing
-    twice. The decisions are written once under the checkpoint folder and all
-    outputs are projections of that table.
+    Pending means: no audit row yet. The decisions are written once under the
+    checkpoint folder and every output is a projection of that table. Each
+    append only adds rows whose id is not yet in its target table, and the
+    audit rows go last, so a re-run -- also one after a failure between the
+    appends -- completes what is missing and duplicates nothing.
     """
     spark = queue.sparkSession
-    done = (spark.table(actions_table).select("email_id")
-            .unionByName(spark.table(approved_table).select("email_id"))
-            .unionByName(spark.table(outgoing_table).select("email_id")))
-    dec = tables.materialize(decisions(queue, done, emails), "decisions")
-    approved = D.approved_rows(dec, actor, as_of)
-    outgoing = D.outgoing_rows(dec, actor, as_of, template)
-    audit = D.audit_rows(dec, actor, as_of, template)
-    tables.append(approved, approved_table, schemas.APPROVED_CHANGES)
-    tables.append(outgoing, outgoing_table, schemas.OUTGOING_EMAILS)
-    tables.append(audit, actions_table, schemas.REVIEW_ACTIONS)
+    dec = tables.materialize(decisions(queue, spark.table(actions_table), emails), "decisions")
+    outputs = ((approved_table, D.approved_rows(dec, actor, as_of), schemas.APPROVED_CHANGES),
+               (outgoing_table, D.outgoing_rows(dec, actor, as_of, template),
+                schemas.OUTGOING_EMAILS),
+               (actions_table, D.audit_rows(dec, actor, as_of, template), schemas.REVIEW_ACTIONS))
+    for table, rows, schema in outputs:
+        fresh = joins.anti_join(rows, spark.table(table), "email_id", "email_id")
+        tables.append(fresh, table, schema)
     counts = dec.groupBy("decision").count().collect()
     return {r["decision"]: r["count"] for r in counts}

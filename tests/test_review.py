@@ -45,6 +45,7 @@ def test_run_review_is_idempotent(spark, tmpdir_path):
                                names["review_actions"])
     assert second == {}
     assert spark.table(names["review_actions"]).count() == 150
+    assert spark.table(names["approved_changes"]).count() == 34
     row = actions.where(F.col("action") == "confirmed").orderBy("email_id").first()
     assert set(json.loads(row["new_values"])) == {"sap_id", "contact_name", "contact_email",
                                                   "contact_phone"}
@@ -102,3 +103,24 @@ def test_ordered_sample(spark):
     ext = intake.extracted(fx.emails(spark, SF001), sample=10)
     ids = [r[0] for r in ext.select("email_id").collect()]
     assert sorted(ids) == [f"EMAIL-{i:08d}" for i in range(10)]
+
+
+def test_run_review_completes_after_partial_failure(spark, tmpdir_path):
+    """A run that stopped after the approved rows were appended: the re-run adds the
+    missing outgoing and audit rows and no second approved row."""
+    db = "partial_" + os.path.basename(tmpdir_path).replace("-", "_")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    tables.ensure_tables(spark, tmpdir_path, database=db)
+    names = {k: f"{db}.{k}" for k in ("approved_changes", "outgoing_emails", "review_actions")}
+    queue = QS.queue_extracted(spark, SF001)
+    emails = fx.emails(spark, SF001)
+    dec = intake.decisions(queue, spark.table(names["review_actions"]), emails)
+    tables.append(D.approved_rows(dec, "rev@example.com", QS.as_of()), names["approved_changes"],
+                  schemas.APPROVED_CHANGES)                       # ... then the run stopped
+    assert spark.table(names["approved_changes"]).count() == 34
+    intake.run_review(queue, emails, "rev@example.com", QS.as_of(), names["approved_changes"],
+                      names["outgoing_emails"], names["review_actions"])
+    approved = spark.table(names["approved_changes"])
+    assert approved.count() == 34 and approved.select("email_id").distinct().count() == 34
+    assert spark.table(names["outgoing_emails"]).count() == 116
+    assert spark.table(names["review_actions"]).count() == 150
