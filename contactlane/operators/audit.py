@@ -69,16 +69,17 @@ def first_action(actions: DataFrame, tie: str = "action") -> DataFrame:
 
 
 def turnaround(queue: DataFrame, actions: DataFrame, tie: str = "action",
-               accuracy: int = 10000) -> DataFrame:
-    """R2: per status, how many items were acted on and how long after
-    queueing the first action came (seconds; median approximate)."""
+               accuracy: int = 10000, by: Sequence[str] = ("validation_status",)) -> DataFrame:
+    """R2: per status (or ``by``, e.g. status and ``first_actor``), how many
+    items were acted on and how long after queueing the first action came
+    (seconds; median approximate)."""
     from ..plans.joins import lookup
 
     firsts = first_action(actions, tie).withColumnRenamed("email_id", "_fa_id")
     joined = lookup(queue.select("email_id", "validation_status", "queued_at"), firsts,
                     "email_id", "_fa_id")
     secs = F.expr("timestampdiff(MICROSECOND, queued_at, first_action_at)") / F.lit(1e6)
-    return (joined.withColumn("_secs", secs).groupBy("validation_status").agg(
+    return (joined.withColumn("_secs", secs).groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_items"),
         F.count("_secs").alias("n_actioned"),
         F.sum("n_actions").cast("long").alias("n_actions"),

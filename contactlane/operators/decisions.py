@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import textops as tx
+from ..functions.rules import REVIEWER_MESSAGES
 from ..functions.sqltext import ident
 from . import validate as V
 
@@ -86,11 +87,22 @@ _VALUE_FIELDS = {"sap_id": "sap_value", "name": "name_value",
                  "email": "email_value", "phone": "phone_value"}
 
 
-def decide(pending_rows: DataFrame) -> DataFrame:
-    """``decision`` per pending row plus the values and issues behind it."""
+def decide(pending_rows: DataFrame, include_lookup_issue: bool = False) -> DataFrame:
+    """``decision`` per pending row plus the values and issues behind it.
+
+    A well-formed account id missing from the directory leads to a follow-up
+    with no field issue; with ``include_lookup_issue`` the issue list then
+    also names it (code ``sap_id.unknown``).
+    """
     out = V.with_issues(preferred_values(pending_rows), _VALUE_FIELDS,
                         normalized={"sap_id": "final_sap_id", "name": "final_name",
                                     "phone": "final_phone"})
+    if include_lookup_issue:
+        missing = F.struct(F.lit("SAP ID").alias("field"), F.lit("sap_id.unknown").alias("code"),
+                           F.lit(REVIEWER_MESSAGES["sap_id.unknown"]).alias("error"))
+        unknown = F.col("final_sap_id").isNotNull() & ~F.coalesce(F.col("sap_exists"), F.lit(False))
+        out = out.withColumn("issues", F.concat(
+            F.col("issues"), F.array_compact(F.array(F.when(unknown, missing)))))
     return out.withColumn(
         "decision",
         F.when(F.col("all_valid") & F.coalesce(F.col("sap_exists"), F.lit(False)),

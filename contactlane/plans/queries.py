@@ -316,6 +316,12 @@ def turnaround(spark, d):
     return A.turnaround(queue_extracted(spark, d), fx.actions(spark, d), tie="event_id")
 
 
+@query
+def turnaround_by_actor(spark, d):
+    return A.turnaround(queue_extracted(spark, d), fx.actions(spark, d), tie="event_id",
+                        by=("validation_status", "first_actor"))
+
+
 @query
 def new_since(spark, d):
     return A.new_since(fx.actions(spark, d), "created_at",

@@ -414,6 +414,19 @@ SELECT validation_status, count(*) AS n_items, count(secs) AS n_actioned,
   round(avg(secs), 3) AS avg_seconds, round(min(secs), 3) AS min_seconds,
   round(max(secs), 3) AS max_seconds, round(quantile_disc(secs, 0.5), 3) AS p50_seconds
 FROM j GROUP BY validation_status""",
+    "turnaround_by_actor": EXTRACTED_Q.rstrip("\n") + """,
+fa AS (SELECT email_id, min(created_at) AS first_at, count(*) AS n_actions FROM fx_actions
+       WHERE email_id IS NOT NULL GROUP BY email_id),
+fx1 AS (SELECT email_id, actor_email AS first_actor FROM fx_actions WHERE email_id IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY email_id ORDER BY created_at, event_id) = 1),
+j AS (SELECT q.validation_status, fx1.first_actor, fa.n_actions,
+        (epoch_us(fa.first_at) - epoch_us(q.queued_at)) / 1e6 AS secs
+      FROM q LEFT JOIN fa ON q.email_id = fa.email_id LEFT JOIN fx1 ON q.email_id = fx1.email_id)
+SELECT validation_status, first_actor, count(*) AS n_items, count(secs) AS n_actioned,
+  CAST(sum(n_actions) AS BIGINT) AS n_actions,
+  round(avg(secs), 3) AS avg_seconds, round(min(secs), 3) AS min_seconds,
+  round(max(secs), 3) AS max_seconds, round(quantile_disc(secs, 0.5), 3) AS p50_seconds
+FROM j GROUP BY validation_status, first_actor""",
     "new_since": f"""WITH {FX_ACTIONS}
 SELECT action, count(*) AS n_new, max(created_at) AS latest_at FROM fx_actions
 WHERE created_at > TIMESTAMP '2024-01-15 00:00:00' GROUP BY action""",

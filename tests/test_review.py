@@ -124,3 +124,15 @@ def test_run_review_completes_after_partial_failure(spark, tmpdir_path):
     assert approved.count() == 34 and approved.select("email_id").distinct().count() == 34
     assert spark.table(names["outgoing_emails"]).count() == 116
     assert spark.table(names["review_actions"]).count() == 150
+
+
+def test_lookup_issue_option(spark):
+    from contactlane.operators import queue as Q
+
+    pend = Q.pending(QS.queue_extracted(spark, SF001), fx.actions(spark, SF001))
+    plain = D.decide(pend).where("validation_status = 'NEEDS_REVIEW'").collect()
+    assert plain and all(r.decision == "followup" and r.issues == [] for r in plain)
+    flagged = D.decide(pend, include_lookup_issue=True).where(
+        "validation_status = 'NEEDS_REVIEW'").collect()
+    assert all([(i.field, i.code) for i in r.issues] == [("SAP ID", "sap_id.unknown")]
+               for r in flagged)
