@@ -120,7 +120,7 @@ def main() -> None:
               .drop("_copy"))
     n_rows = emails.count() * REPLICAS
     queue = intake.queue_rows(copies, QS.directory(spark, SF_DIR), QS.as_of())
-    results[f"intake_x{REPLICAS}"] = timed(lambda: run(G_summary(queue)))
+    results[f"intake_x{REPLICAS}"] = timed(lambda: run(routing_summary(queue)))
 
     # field rules: native expressions vs row-at-a-time Python UDFs, same rows
     fields = fx.fields(spark, SF_DIR)
@@ -149,6 +149,36 @@ def main() -> None:
     results[f"validate_native_x{REPLICAS}"] = t_native
     results[f"validate_python_udf_x{REPLICAS}"] = t_python
 
+    # lookup join on the replicated fields: proven-small broadcast vs. shuffled with salted NULLs
+    from contactlane.operators import directory as Dir
+    from contactlane.operators import queue as Q
+    from contactlane.sources.tables import spread
+
+    validated = V.validate_fields(spread(fcopies))
+    directory = QS.directory(spark, SF_DIR)
+    results[f"lookup_broadcast_x{REPLICAS}"] = timed(lambda: run(
+        Dir.with_directory_flag(validated, directory).groupBy("sap_exists").count()))
+    saved = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                            "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in saved:
+        spark.conf.set(k, "-1")
+    results[f"lookup_shuffled_salted_x{REPLICAS}"] = timed(lambda: run(
+        Dir.with_directory_flag(validated, directory, broadcast_max_rows=None)
+        .groupBy("sap_exists").count()))
+    for k, v in saved.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+    # pending anti-join + KPI while the action log grows k-fold
+    queue = QS.queue_extracted(spark, SF_DIR)
+    actions = fx.actions(spark, SF_DIR)
+    grown = actions.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(REPLICAS)))).drop("_copy")
+    results["pending_kpi_actions_x1"] = timed(lambda: run(Q.kpi_counts(Q.pending(queue, actions))))
+    results[f"pending_kpi_actions_x{REPLICAS}"] = timed(
+        lambda: run(Q.kpi_counts(Q.pending(queue, grown))))
+
     headline_total = round(sum(results[n] for n in HEADLINE), 3)
     out = {
         "metric": "headline_queries_total",
@@ -169,7 +199,7 @@ def main() -> None:
     spark.stop()
 
 
-def G_summary(queue):
+def routing_summary(queue):
     from contactlane.operators import routing as G
 
     return G.routing_summary(queue)
