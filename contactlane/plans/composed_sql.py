@@ -8,42 +8,30 @@ from ..functions.sqlfuncs import register_functions
 
 
 def review_records_sql(emails_table: str, prefix: str = "fn_") -> str:
-    """extract -> validate -> look up -> route -> package, as CTEs."""
+    """One statement: each message's fields are extracted and checked, the id
+    is looked up, then the record is routed and packed; the packed record is
+    unpacked into the review columns."""
     f = prefix
     return f"""
-WITH base AS (SELECT email_id, sender, body FROM {emails_table}),
-extracted AS (SELECT email_id, sender, body, {f}extract_email(body) AS extracted FROM base),
-validated AS (
-  SELECT email_id, sender,
-         extracted.sap_id AS sap_id, extracted.contact_name AS contact_name,
-         extracted.contact_email AS contact_email, extracted.contact_phone AS contact_phone,
-         {f}validate_sap_id(extracted.sap_id) AS sap_validation,
-         {f}validate_name(extracted.contact_name) AS name_validation,
-         {f}validate_email(extracted.contact_email) AS email_validation,
-         {f}validate_phone(extracted.contact_phone) AS phone_validation
-  FROM extracted),
-shaped AS (
-  SELECT email_id, sender, sap_id, contact_name, contact_email, contact_phone,
-         sap_validation.is_valid AS sap_id_valid, sap_validation.normalized AS normalized_sap_id,
-         name_validation.is_valid AS name_valid, name_validation.normalized AS normalized_name,
-         email_validation.is_valid AS email_valid,
-         phone_validation.is_valid AS phone_valid, phone_validation.normalized AS normalized_phone,
-         {f}sap_exists(sap_validation.normalized) AS sap_exists
-  FROM validated),
-routed AS (
-  SELECT *, {f}route_validation(sap_id_valid, name_valid, email_valid, phone_valid, sap_exists)
-            AS routing
-  FROM shaped),
-final AS (
-  SELECT {f}build_review_record(email_id, sender, sap_id, contact_name, contact_email,
-           contact_phone, normalized_sap_id, normalized_name, normalized_phone, sap_id_valid,
-           name_valid, email_valid, phone_valid, sap_exists, routing.validation_status,
-           routing.queue_type) AS review_record
-  FROM routed)
-SELECT review_record.email_id, review_record.sender, review_record.validation_status,
-       review_record.queue_type, review_record.normalized_sap_id, review_record.normalized_name,
-       review_record.contact_email, review_record.normalized_phone, review_record.sap_exists
-FROM final"""
+WITH checked AS (
+  SELECT email_id, sender, x.sap_id, x.contact_name, x.contact_email, x.contact_phone,
+         {f}validate_sap_id(x.sap_id) AS v_id, {f}validate_name(x.contact_name) AS v_name,
+         {f}validate_email(x.contact_email) AS v_mail, {f}validate_phone(x.contact_phone) AS v_tel
+  FROM (SELECT email_id, sender, {f}extract_email(body) AS x FROM {emails_table})
+),
+known AS (SELECT *, {f}sap_exists(v_id.normalized) AS in_directory FROM checked)
+SELECT rec.email_id, rec.sender, rec.validation_status, rec.queue_type, rec.normalized_sap_id,
+       rec.normalized_name, rec.contact_email, rec.normalized_phone, rec.sap_exists
+FROM (
+  SELECT {f}build_review_record(
+           email_id, sender, sap_id, contact_name, contact_email, contact_phone,
+           v_id.normalized, v_name.normalized, v_tel.normalized,
+           v_id.is_valid, v_name.is_valid, v_mail.is_valid, v_tel.is_valid, in_directory,
+           route.validation_status, route.queue_type) AS rec
+  FROM (SELECT *, {f}route_validation(v_id.is_valid, v_name.is_valid, v_mail.is_valid,
+                                      v_tel.is_valid, in_directory) AS route
+        FROM known)
+)"""
 
 
 def review_records(spark: SparkSession, emails: DataFrame, directory: DataFrame,
