@@ -178,6 +178,6 @@ def document_addresses(docs: DataFrame, text: str = "text", key: str = "doc_id")
     found = F.expr(f"regexp_extract_all({ident(text)}, {sql_string(ADDRESS_PATTERN)}, 0)")
     valid = F.expr(f"size(filter(_addresses, a -> {R.EMAIL.inline_valid('a')}))")
     return (docs.select(key, found.alias("_addresses")).where(F.size("_addresses") > 0)
-            .select(key, F.size("_addresses").alias("n_addresses"),
+            .select(key, F.size("_addresses").cast("long").alias("n_addresses"),
                     F.array_join(F.array_sort(F.array_distinct("_addresses")), ";").alias("addresses"),
-                    valid.alias("n_valid")))
+                    valid.cast("long").alias("n_valid")))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions.sqltext import fill, ident, sql_string
+from ..functions.sqltext import fill, ident
 
 # Column holding each field, by rule name.
 DEFAULT_FIELDS = {"sap_id": "sap_id", "name": "contact_name",
@@ -136,14 +136,7 @@ def with_issues(df: DataFrame, fields: Mapping[str, str] = DEFAULT_FIELDS,
 def issues_long(df: DataFrame, key: str = "email_id", issues: str = "issues") -> DataFrame:
     """One row per issue: key, position (1-based), field, code, error."""
     return (df.select(key, F.posexplode(issues).alias("pos", "issue"))
-            .select(key, (F.col("pos") + 1).alias("position"),
+            .select(key, (F.col("pos") + 1).cast("long").alias("position"),
                     F.col("issue.field").alias("field"), F.col("issue.code").alias("code"),
                     F.col("issue.error").alias("error")))
 
-
-def email_valid_sql(x: str) -> str:
-    """Single-expression e-mail check (for lambdas over arrays)."""
-    return R.EMAIL.inline_valid(x)
-
-
-__all__ = ["Staged", "validate_fields", "with_issues", "issues_long", "sql_string"]

@@ -72,7 +72,7 @@ def pending_extracted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def decided(spark: SparkSession, d: str) -> DataFrame:
-    """Decisions feed several outputs: computed once and checkpointed."""
+    """Decisions feed several outputs: computed once and written under the checkpoint folder."""
     return tables.materialize(intake.decisions(queue_extracted(spark, d), fx.actions(spark, d),
                                                fx.emails(spark, d)), "decisions")
 
@@ -189,14 +189,14 @@ def review_queue(spark, d):
 @query
 def review_errors_positional(spark, d):
     return queue_direct(spark, d).select(
-        "email_id", errors_text("errors").alias("errors"), F.size("errors").alias("n_slots"))
+        "email_id", errors_text("errors").alias("errors"), F.size("errors").cast("long").alias("n_slots"))
 
 
 @query
 def review_errors_compact(spark, d):
     return G.compact_errors(queue_direct(spark, d)).select(
         "email_id", errors_text("errors_compact").alias("errors_compact"),
-        F.size("errors_compact").alias("n_errors"))
+        F.size("errors_compact").cast("long").alias("n_errors"))
 
 
 @query
@@ -252,7 +252,7 @@ def status_labels(spark, d):
 def decisions(spark, d):
     return decided(spark, d).select(
         "email_id", "decision", "all_valid", "sap_value", "name_value", "email_value",
-        "phone_value", F.size("issues").alias("n_issues"))
+        "phone_value", F.size("issues").cast("long").alias("n_issues"))
 
 
 @query

@@ -98,17 +98,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(base, "materialized", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df`` in the session's checkpoint folder.
-
-    For a result that several outputs read: it is computed once, later plans
-    start from the saved rows (no recomputation after a lost executor) and
-    filters on derived columns stop at the checkpoint instead of being
-    pushed -- with every upstream expression inlined -- into the scan.
-    """
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

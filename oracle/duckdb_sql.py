@@ -357,15 +357,15 @@ FROM pending""",
   {ACTOR} AS approved_by, {AS_OF} AS approved_at FROM dec WHERE decision = 'confirm'""",
     "confirm_actions": DECISIONS + f"""SELECT email_id, 'confirmed' AS action, {ACTOR} AS actor_email,
   CAST(NULL AS VARCHAR) AS old_values,
-  to_json({{'sap_id': final_sap_id, 'contact_name': final_name, 'contact_email': email_value,
-            'contact_phone': final_phone}}) AS new_values,
+  CAST(to_json({{'sap_id': final_sap_id, 'contact_name': final_name, 'contact_email': email_value,
+            'contact_phone': final_phone}}) AS VARCHAR) AS new_values,
   CAST(NULL AS VARCHAR) AS reason, {AS_OF} AS created_at FROM dec WHERE decision = 'confirm'""",
     "outgoing_emails": DECISIONS + f"""SELECT email_id, sender AS to_email, {SUBJECT} AS subject,
   {followup_body(ISSUE_LINES)} AS body, {ACTOR} AS created_by, {AS_OF} AS created_at, 'pending' AS status
 FROM dec WHERE decision = 'followup'""",
     "followup_actions": DECISIONS + f"""SELECT email_id, 'followup_sent' AS action, {ACTOR} AS actor_email,
-  to_json({{'missing_fields': issues}}) AS old_values,
-  to_json({{'followup_email': {{'to': sender, 'subject': {SUBJECT}}}}}) AS new_values,
+  CAST(to_json({{'missing_fields': issues}}) AS VARCHAR) AS old_values,
+  CAST(to_json({{'followup_email': {{'to': sender, 'subject': {SUBJECT}}}}}) AS VARCHAR) AS new_values,
   'Missing or invalid fields' AS reason, {AS_OF} AS created_at FROM dec WHERE decision = 'followup'""",
     "batch_approve": DECISIONS + f"""SELECT email_id, final_sap_id AS sap_id, final_name AS contact_name,
   email_value AS contact_email, final_phone AS contact_phone, coalesce(email_body, '') AS source_email_body,
