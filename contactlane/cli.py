@@ -101,7 +101,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         tables.ensure_tables(spark, args.warehouse, database=args.database)
         names = {k: _table(spark, args.database, k)
                  for k in ("approved_changes", "outgoing_emails", "review_actions")}
-        result = intake.run_review(spark.read.parquet(args.queue),
+        result = intake.run_review(tables.read_queue(spark, args.queue),
                                    tables.read_emails(spark, args.emails), args.actor, as_of,
                                    names["approved_changes"], names["outgoing_emails"],
                                    names["review_actions"])
@@ -112,16 +112,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         if args.name in ("kpi", "pending", "turnaround") and not args.queue:
             raise SystemExit(f"report {args.name} needs --queue")
         if args.name == "kpi":
-            df = Q.kpi_counts(Q.pending(spark.read.parquet(args.queue), actions))
+            df = Q.kpi_counts(Q.pending(tables.read_queue(spark, args.queue), actions))
         elif args.name == "pending":
-            df = Q.pending_items(spark.read.parquet(args.queue), actions, args.search,
+            df = Q.pending_items(tables.read_queue(spark, args.queue), actions, args.search,
                                  limit=args.limit)
         elif args.name == "audit":
             df = A.audit_log(actions, args.limit)
         elif args.name == "followups":
             df = A.followup_list(outgoing, args.limit)
         else:
-            df = A.turnaround(spark.read.parquet(args.queue), actions)
+            df = A.turnaround(tables.read_queue(spark, args.queue), actions)
         result = {"rows": _write(df, args.out, args.format)}
     out = {"command": args.command, **result}
     print(json.dumps(out))

@@ -61,9 +61,12 @@ def queue_rows(emails: DataFrame, directory: DataFrame, as_of: Column,
 
 def run_intake(emails: DataFrame, directory: DataFrame, queue_path: str, as_of: Column,
                extractor: Callable[[pd.Series], pd.DataFrame] | None = None,
-               materialize_extraction: bool = False) -> dict[str, int]:
+               materialize_extraction: bool = False,
+               partition_by: tuple[str, ...] = ("queue_type",)) -> dict[str, int]:
     """Write the queue snapshot to ``queue_path`` and return row counts per
-    status, gathered while writing (no second pass over the data).
+    status, gathered while writing (no second pass over the data). The
+    snapshot is partitioned by queue so per-queue reads prune folders; read it
+    back with ``tables.read_queue``.
 
     With ``materialize_extraction`` the extraction output is first written
     under ``spark.checkpoint.dir`` so later stages (and task retries) never
@@ -79,7 +82,7 @@ def run_intake(emails: DataFrame, directory: DataFrame, queue_path: str, as_of:
                   F.count_if(status == G.PASS).alias(G.PASS),
                   F.count_if(status == G.NEEDS_REVIEW).alias(G.NEEDS_REVIEW),
                   F.count_if(status == G.FAIL).alias(G.FAIL))
-    tables.write_snapshot(q, queue_path, schemas.REVIEW_QUEUE)
+    tables.write_snapshot(q, queue_path, schemas.REVIEW_QUEUE, list(partition_by) or None)
     return dict(obs.get)
 
 

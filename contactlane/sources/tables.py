@@ -28,6 +28,12 @@ def read_emails(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.EMAILS).parquet(path)
 
 
+def read_queue(spark: SparkSession, path: str) -> DataFrame:
+    """A queue snapshot (possibly partitioned by ``queue_type``) in its fixed
+    column order; filters on partition columns prune whole folders."""
+    return conform(spark.read.parquet(path), schemas.REVIEW_QUEUE)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select ``schema``'s columns in order, cast to its types."""
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])

@@ -17,9 +17,14 @@ def test_run_intake_writes_queue_and_counts(spark, tmpdir_path):
     counts = intake.run_intake(fx.emails(spark, SF001), QS.directory(spark, SF001), path,
                                QS.as_of(), materialize_extraction=True)
     assert counts == {"rows": 150, "PASS": 34, "NEEDS_REVIEW": 3, "FAIL": 113}
-    q = spark.read.parquet(path)
+    q = tables.read_queue(spark, path)
     assert q.schema.names == schemas.REVIEW_QUEUE.names
     assert q.count() == 150
+    assert sorted(d for d in os.listdir(path) if d.startswith("queue_type=")) == [
+        "queue_type=detailed_review", "queue_type=quick_approval", "queue_type=rejected"]
+    view = q.where("queue_type = 'quick_approval'")
+    assert "PartitionFilters: [isnotnull(queue_type" in view._jdf.queryExecution().toString()
+    assert view.count() == 34
 
 
 def test_run_review_is_idempotent(spark, tmpdir_path):
