@@ -98,3 +98,14 @@ def test_hot_key_is_split_and_results_whole(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_rules_run_in_whole_stage_codegen(spark):
+    """Every projection of the queue plan (extraction, rules, lookup, routing)
+    is codegen'd -- marked ``*(n)`` in the executed plan."""
+    df = QS.queue_direct(spark, SF001)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    nodes = [ln.strip() for ln in final.splitlines() if "Project [" in ln]
+    assert len(nodes) >= 4
+    assert all(ln.lstrip(":+- ").startswith("*(") for ln in nodes), nodes[:3]
