@@ -89,9 +89,14 @@ def turnaround(queue: DataFrame, actions: DataFrame, tie: str = "action",
         F.round(F.percentile_approx("_secs", 0.5, accuracy), 3).alias("p50_seconds")))
 
 
-def new_since(df: DataFrame, ts: str, since: Column, by: Sequence[str]) -> DataFrame:
-    """Rows newer than ``since``, counted per group."""
-    return (df.where(F.col(ts) > since).groupBy(*by)
+def new_since(df: DataFrame, ts: str, since: Column, by: Sequence[str],
+              date_partition: str | None = None) -> DataFrame:
+    """Rows newer than ``since``, counted per group. With the name of a
+    date partition column derived from ``ts``, older folders are not read."""
+    cond = F.col(ts) > since
+    if date_partition:
+        cond = cond & (F.col(date_partition) >= F.to_date(since))
+    return (df.where(cond).groupBy(*by)
             .agg(F.count(F.lit(1)).alias("n_new"), F.max(ts).alias("latest_at")))
 
 

@@ -52,21 +52,39 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target)
 
 
+# Output tables partitioned by a date derived from their stamp: the action log
+# only grows, and time-bounded reads then prune whole folders.
+DATE_PARTITIONS = {"review_actions": ("action_date", "created_at")}
+
+
 def ensure_tables(spark: SparkSession, warehouse: str,
                   tables: dict[str, T.StructType] | None = None,
                   database: str | None = None) -> None:
-    """CREATE TABLE IF NOT EXISTS for each output table, Parquet at ``warehouse``."""
+    """CREATE TABLE IF NOT EXISTS for each output table, Parquet at ``warehouse``.
+
+    ``review_actions`` gets an extra ``action_date`` partition column (the
+    date of ``created_at``); its other columns are the fixed ones.
+    """
     prefix = f"`{database}`." if database else ""
     for name, schema in (tables or schemas.REVIEW_OUTPUTS).items():
         location = os.path.join(warehouse, name)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}`{name}` ({schemas.ddl(schema)}) "
-                  f"USING parquet LOCATION '{location}'")
+        cols, part = schemas.ddl(schema), ""
+        if name in DATE_PARTITIONS:
+            cols += f", `{DATE_PARTITIONS[name][0]}` DATE"
+            part = f" PARTITIONED BY (`{DATE_PARTITIONS[name][0]}`)"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}`{name}` ({cols}) "
+                  f"USING parquet{part} LOCATION '{location}'")
 
 
 def append(df: DataFrame, table: str, schema: T.StructType | None = None) -> None:
-    """Append rows to a catalog table (bulk, one job)."""
+    """Append rows to a catalog table (bulk, one job). A date partition column
+    of the target (see ``DATE_PARTITIONS``) is derived from the row's stamp."""
     out = conform(df, schema) if schema is not None else df
-    out.write.mode("append").insertInto(table)
+    target = df.sparkSession.table(table).columns
+    for part, stamp in DATE_PARTITIONS.values():
+        if part in target and part not in out.columns:
+            out = out.withColumn(part, F.to_date(F.col(stamp)))
+    out.select(*target).write.mode("append").insertInto(table)
 
 
 def write_snapshot(df: DataFrame, path: str, schema: T.StructType | None = None,

@@ -141,3 +141,27 @@ def test_lookup_issue_option(spark):
         "validation_status = 'NEEDS_REVIEW'").collect()
     assert all([(i.field, i.code) for i in r.issues] == [("SAP ID", "sap_id.unknown")]
                for r in flagged)
+
+
+def test_action_log_partitioned_by_date(spark, tmpdir_path):
+    from contactlane.operators import audit as A
+
+    db = "dated_" + os.path.basename(tmpdir_path).replace("-", "_")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    tables.ensure_tables(spark, tmpdir_path, database=db)
+    acts = fx.actions(spark, SF001)
+    tables.append(acts.select("email_id", "action", "actor_email",
+                              F.lit(None).cast("string").alias("old_values"),
+                              F.lit(None).cast("string").alias("new_values"), "reason",
+                              "created_at"), f"{db}.review_actions", schemas.REVIEW_ACTIONS)
+    log = spark.table(f"{db}.review_actions")
+    assert log.count() == 88
+    days = [d for d in os.listdir(os.path.join(tmpdir_path, "review_actions"))
+            if d.startswith("action_date=")]
+    assert len(days) > 10
+    since = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    pruned = A.new_since(log, "created_at", since, ["action"], date_partition="action_date")
+    plan = pruned._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(action_date" in plan
+    plain = A.new_since(acts, "created_at", since, ["action"])
+    assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, plain.collect()))
