@@ -138,12 +138,15 @@ class FieldRule:
         return f"(({self.code_sql(self.bindings(x))}) IS NULL)"
 
 
+# Blank: NULL, or nothing left after stripping (tested on the stripped helper
+# where the rule has one, so the text is stripped once).
 _BLANK = "(<<x>> IS NULL OR " + tx.is_blank_text("<<x>>") + ")"
+_BLANK_CLEAN = "(<<x>> IS NULL OR <<clean>> = '')"
 
 EMAIL = FieldRule(
     "email",
     helpers=(("clean", tx.strip("<<x>>")),),
-    checks=(Check(_BLANK, "email.empty"),
+    checks=(Check(_BLANK_CLEAN, "email.empty"),
             Check("NOT (<<clean>> RLIKE " + sql_string(EMAIL_PATTERN[:-1] + r"\z") + ")",
                   "email.format", {"value": "<<x>>"})),
     normalize=None)
@@ -151,7 +154,7 @@ EMAIL = FieldRule(
 ACCOUNT_ID = FieldRule(
     "sap_id",
     helpers=(("clean", "upper(" + tx.strip("<<x>>") + ")"),),
-    checks=(Check(_BLANK, "sap_id.empty"),
+    checks=(Check(_BLANK_CLEAN, "sap_id.empty"),
             Check("NOT (<<clean>> RLIKE " + sql_string(
                 "(?U)^" + ACCOUNT_PREFIX + r"\d{" + str(ACCOUNT_DIGITS) + r"}\z") + ")",
                 "sap_id.format", {"value": "<<x>>"})),
@@ -159,7 +162,10 @@ ACCOUNT_ID = FieldRule(
 
 PHONE = FieldRule(
     "phone",
-    helpers=(("digits", tx.drop_country_code(tx.digits("<<x>>"), PHONE_DIGITS)),),
+    helpers=(("all_digits", tx.digits("<<x>>")),
+             ("digits", f"CASE WHEN length(<<all_digits>>) = {PHONE_DIGITS + 1} "
+                        f"AND left(<<all_digits>>, 1) = '1' THEN substring(<<all_digits>>, 2) "
+                        f"ELSE <<all_digits>> END")),
     checks=(Check(_BLANK, "phone.empty"),
             Check(f"length(<<digits>>) <> {PHONE_DIGITS}", "phone.length",
                   {"n": "length(<<digits>>)"}),
@@ -170,7 +176,7 @@ PHONE = FieldRule(
 NAME = FieldRule(
     "name",
     helpers=(("clean", tx.strip("<<x>>")),),
-    checks=(Check(_BLANK, "name.empty"),
+    checks=(Check(_BLANK_CLEAN, "name.empty"),
             Check("length(<<clean>>) < 2", "name.short"),
             Check("NOT " + tx.has_whitespace("<<clean>>"), "name.parts")),
     normalize=tx.title_case("<<clean>>"))

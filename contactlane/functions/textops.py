@@ -54,12 +54,6 @@ def digits(x: str) -> str:
     return f"regexp_replace({x}, {sql_string(_NON_DIGIT_RE)}, '')"
 
 
-def drop_country_code(d: str, n: int) -> str:
-    """Digits ``d`` without a leading ``1`` when exactly ``n`` digits follow it."""
-    pattern = "(?U)^1(?=" + "\\d{" + str(n) + "}" + "\\z)"
-    return f"regexp_replace({d}, {sql_string(pattern)}, '')"
-
-
 def title_case(x: str) -> str:
     """``str.title()``: a cased character after a non-cased one (or at the
     start) is title-cased, every other cased character lower-cased.
