@@ -170,8 +170,8 @@ PHONE = FieldRule(
             Check(f"length(<<digits>>) <> {PHONE_DIGITS}", "phone.length",
                   {"n": "length(<<digits>>)"}),
             Check("left(<<digits>>, 1) IN ('0', '1')", "phone.area")),
-    normalize="format_string('(%s) %s-%s', substring(<<digits>>, 1, 3), "
-              "substring(<<digits>>, 4, 3), substring(<<digits>>, 7, 4))")
+    normalize="concat('(', substring(<<digits>>, 1, 3), ') ', substring(<<digits>>, 4, 3), "
+              "'-', substring(<<digits>>, 7, 4))")
 
 NAME = FieldRule(
     "name",

@@ -18,20 +18,21 @@ def ident(name: str) -> str:
 def format_message(template: str, args: dict[str, str]) -> str:
     """SQL for a message template such as ``'got {n}'`` with SQL argument text.
 
-    Placeholders become ``%s`` slots of ``format_string``; literal ``%`` is
-    escaped. Templates without placeholders become plain literals.
+    The template's text parts and the arguments (cast to string) are
+    concatenated; the arguments are non-NULL wherever a message is built.
+    Templates without placeholders become plain literals.
     """
     import string
 
-    parts, values = [], []
+    parts = []
     for text, field, _, _ in string.Formatter().parse(template):
-        parts.append(text.replace("%", "%%"))
+        if text:
+            parts.append(sql_string(text))
         if field is not None:
-            parts.append("%s")
-            values.append(f"CAST({args[field]} AS STRING)")
-    if not values:
-        return sql_string(template)
-    return f"format_string({sql_string(''.join(parts))}, {', '.join(values)})"
+            parts.append(f"CAST({args[field]} AS STRING)")
+    if len(parts) == 1 and not any(f for _, f, _, _ in string.Formatter().parse(template)):
+        return parts[0]
+    return f"concat({', '.join(parts)})" if parts else "''"
 
 
 _PLACEHOLDER = re.compile(r"<<(\w+)>>")
