@@ -146,6 +146,8 @@ def main() -> None:
                   F.col("n.normalized").alias("normalized_name"),
                   F.col("p.normalized").alias("normalized_phone"),
                   F.array("s.error", "n.error", "e.error", "p.error").alias("error_list")))
+    run(native)  # warm-up: JIT of the generated code / start of the Python workers
+    run(py)
     t_native = min(timed(lambda: run(native)), timed(lambda: run(native)))
     t_python = min(timed(lambda: run(py)), timed(lambda: run(py)))
     n_fields = fields.count() * REPLICAS
