@@ -1,7 +1,8 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Prints one JSON line: {"metric", "value" (sum of headline seconds, best of a
-cold and a warm run each), "unit", "queries": {name: sec}, "sf", ...}. Every query is run to completion into
+cold and a warm run each), "unit", "queries": {name: sec}, "sf", ...}.
+``BENCH_EVENT_LOG=1`` also writes Spark's event log to a scratch folder. Every query is run to completion into
 the ``noop`` sink, so nothing is collected to the driver. Besides the
 registered queries it measures the end-to-end intake on the fixture e-mails
 replicated ``k`` times, and the same field rules as row-at-a-time Python
@@ -96,10 +97,15 @@ def main() -> None:
     from contactlane.operators import validate as V
 
     scratch = tempfile.mkdtemp(prefix="bench-")
+    extra = {"spark.driver.memory": "16g",
+             "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)}
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times without the UI
+        os.makedirs(os.path.join(scratch, "events"))
+        extra |= {"spark.eventLog.enabled": "true",
+                  "spark.eventLog.dir": os.path.join(scratch, "events")}
+        print(f"event log: {scratch}/events", file=sys.stderr)
     spark = build_session(f"local[{CPUS}]", app_name="contactlane-bench",
-                          shuffle_partitions=max(2 * CPUS, 8),
-                          extra={"spark.driver.memory": "16g",
-                                 "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)})
+                          shuffle_partitions=max(2 * CPUS, 8), extra=extra)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(os.path.join(scratch, "ckpt"))
 

@@ -35,12 +35,13 @@ def start_intake_stream(spark: SparkSession, emails_dir: str, directory: DataFra
                         as_of: Column | None = None, available_now: bool = True,
                         processing_time: str | None = None,
                         max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the stream; queue rows land under ``queue_path/batch_id=<n>``."""
+    """Start the stream; queue rows land under ``queue_path/batch_id=<n>/queue_type=<q>``
+    (read them with ``tables.read_queue``)."""
     rows = intake_stream(spark, emails_dir, directory, as_of, max_files_per_trigger)
     location = checkpoint_location or os.path.join(ensure_checkpoint_dir(spark), "intake-stream")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.write.mode("overwrite")
+        (batch.write.mode("overwrite").partitionBy("queue_type")
          .parquet(os.path.join(queue_path, f"batch_id={batch_id}")))
 
     writer = rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", location)

@@ -18,7 +18,9 @@ def test_stream_equals_batch(spark, tmpdir_path):
                             os.path.join(tmpdir_path, "ckpt"), as_of=QS.as_of(),
                             max_files_per_trigger=1)
     q.awaitTermination(300)
-    streamed = spark.read.parquet(out).drop("batch_id")
+    from contactlane.sources import tables
+
+    streamed = tables.read_queue(spark, out)
     batch = QS.queue_extracted(spark, SF001)
     cols = [c for c in batch.columns if c != "errors"]
     a = sorted(tuple(r) for r in streamed.select(*cols).collect())
