@@ -102,3 +102,16 @@ def test_search_semantics(spark):
     assert ids("SAP1_", "like") == ["EMAIL-2"]
     assert ids("sap") == ["EMAIL-3"]                           # case-sensitive
     assert ids("EMAIL-1") == ["EMAIL-1"]                       # NULL columns don't hide a hit
+
+
+def test_labels_fall_back_under_ansi(spark):
+    from contactlane.operators import audit as A
+
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    df = spark.createDataFrame([("PASS",), ("WEIRD",)], "validation_status string")
+    got = {r.validation_status: r for r in Q.status_labels(df).collect()}
+    assert got["PASS"].status_display == "✅ PASS" and got["PASS"].badge_title == "Complete"
+    assert got["WEIRD"].status_display == " WEIRD" and got["WEIRD"].badge_title == "Incomplete"
+    acts = spark.createDataFrame([("confirmed",), ("followup_sent",), ("other",)], "action string")
+    labels = [r.a for r in acts.select(A.action_label(F.col("action")).alias("a")).collect()]
+    assert labels == ["✅ Confirmed", "📤 Follow-up Sent", "other"]

@@ -37,3 +37,16 @@ def test_composed_statement_equals_dataframe_path(spark):
     a = sorted(tuple(r) for r in sql_rows.collect())
     b = sorted(tuple(r) for r in df_rows.collect())
     assert a == b and len(a) == 150
+
+
+def test_sql_validators_on_null_and_blank(spark):
+    spark.createDataFrame([("SAP000001",)], "sap_id string").createOrReplaceTempView("t_dir2")
+    register_functions(spark, "t_dir2", prefix="u_")
+    r = spark.sql("""SELECT u_validate_email(NULL) AS e, u_validate_phone('   ') AS p,
+                            u_validate_sap_id('') AS s, u_validate_name(NULL) AS n,
+                            u_extract_email(NULL) AS x""").collect()[0]
+    assert (r.e.is_valid, r.e.error) == (False, "Email is empty")
+    assert (r.p.is_valid, r.p.normalized, r.p.error) == (False, None, "Phone is empty")
+    assert (r.s.is_valid, r.s.error) == (False, "SAP ID is empty")
+    assert (r.n.is_valid, r.n.error) == (False, "Name is empty")
+    assert r.x.error == "no_response" and r.x.request_type == "account_update"
