@@ -57,7 +57,26 @@ def label_pattern(field: str) -> str:
     return "(?s)" + LABELS[field] + r"[ \t]*(.*?)(?:\s*(?:" + _STOP + r")|[\n\r]|$)"
 
 
+# Labels whose first match always starts at the first occurrence of a fixed
+# text (an optional "Contact " before it does not change the value).
+LABEL_TEXT = {"contact_name": "Name:", "contact_email": "Email:",
+              "contact_phone": "Phone:", "request_type": "Request Type:"}
+_VALUE_AFTER_LABEL = r"(?s)^[ \t]*(.*?)(?:\s*(?:" + _STOP + r")|[\n\r]|$)"
+
+
 def labelled_value_sql(body: str, field: str) -> str:
+    """The stripped value after ``field``'s first label, NULL when absent or empty.
+
+    For a label with a fixed text, ``instr`` finds it and an anchored regex
+    reads only the value after it (same result as the full pattern, without
+    a regex scan of the whole body); the account-id label uses the full
+    pattern, since its suffix can occur in other text.
+    """
+    if field in LABEL_TEXT:
+        text = sql_string(LABEL_TEXT[field])
+        tail = f"substring({body}, instr({body}, {text}) + {len(LABEL_TEXT[field])})"
+        raw = f"regexp_extract({tail}, {sql_string(_VALUE_AFTER_LABEL)}, 1)"
+        return f"nullif(CASE WHEN instr({body}, {text}) > 0 THEN {tx.strip(raw)} END, '')"
     raw = f"regexp_extract({body}, {sql_string(label_pattern(field))}, 1)"
     return f"nullif({tx.strip(raw)}, '')"
 
