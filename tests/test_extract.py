@@ -90,3 +90,35 @@ def test_run_intake_with_batch_extractor(spark, tmpdir_path):
                                QS.as_of(), extractor=labelled, materialize_extraction=True)
     assert counts["rows"] == 150 and counts["PASS"] == 0      # no names etc. from this extractor
     assert spark.read.parquet(path).where("sap_id_valid").count() > 0
+
+
+PIECES = ["Name:", "Contact Name:", "SAP ID:", "SAP Account ID:", "Email:", "Contact Email:",
+          "Phone:", "Request Type:", "Thank you", "ID:", "UserName:", "ann lee", "SAP000001",
+          "a@b.co", "555-123-4567", "x", " ", "  ", "\n", "\t", "\r\n", ": "]
+
+
+def _py_value(body, field):
+    import re
+
+    m = re.search(X.label_pattern(field), body)
+    if not m:
+        return None
+    return m.group(1).strip() or None
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.sampled_from(PIECES), min_size=1, max_size=14).map("".join),
+                min_size=40, max_size=80))
+def test_labelled_extraction_matches_full_pattern(spark, bodies):
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i long, body string")
+    rows = X.extract_labelled(df).orderBy("i").collect()
+    for r, body in zip(rows, bodies):
+        for f in X.EXTRACTION_FIELDS:
+            want = _py_value(body, f)
+            if f == "request_type" and want is None:
+                want = X.DEFAULT_REQUEST_TYPE
+            assert r[f] == want, (f, repr(body))
