@@ -1,5 +1,65 @@
-"""DuckDB SQL for the registered queries that SQL can express."""
+"""DuckDB SQL for the registered queries that SQL can express.
+
+Not expressible: op7 (mined rules), op9 (merges of a vocabulary file), op10 (a
+fitted model), op3 and op4 (a searched graph, a trained model); their tests
+hold them against brute force, an exact round trip or held-out accuracy.
+"""
 
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+# Water-filling in closed form: sources in order of size/weight are capped until
+# the shared unit lies below the next one's cap. Documents in md5 order.
+ORACLE["op2_mixing"] = r"""
+WITH docs AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents),
+sources AS (
+  SELECT source, n, CASE (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3
+                      WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS n FROM docs GROUP BY source)),
+ordered AS (
+  SELECT *, 3 * n AS cap, row_number() OVER (ORDER BY n / w, source IS NULL, source) AS k FROM sources),
+capped AS (
+  SELECT k, n, w, cap,
+         coalesce(sum(cap) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cap_before,
+         coalesce(sum(w) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS w_before
+  FROM ordered),
+units AS (
+  SELECT k, CAST((SELECT sum(n) FROM sources) - cap_before AS DOUBLE)
+            / CAST((SELECT sum(w) FROM sources) - w_before AS DOUBLE) AS unit, w, cap FROM capped),
+firsts AS (SELECT k, unit FROM units WHERE w * unit <= cap ORDER BY k LIMIT 1),
+targets AS (
+  SELECT o.source, o.n AS source_size,
+         CASE WHEN o.k < f.k THEN CAST(o.cap AS DOUBLE) ELSE o.w * f.unit END AS target
+  FROM ordered o, firsts f),
+plan AS (
+  SELECT source, source_size, target, CAST(floor(target + 0.5) AS BIGINT) AS quota FROM targets),
+lined AS (
+  SELECT d.doc_id, d.size, p.source_size, p.target, p.quota,
+         CASE WHEN p.source_size > 0 THEN p.quota // p.source_size ELSE 0 END AS passes,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source
+           ORDER BY md5('mix-1:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), d.doc_id, d.size
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target,
+       CAST(size * passes + greatest(0, least(size, quota - passes * source_size - before)) AS BIGINT) AS taken
+FROM lined"""
+
+ORACLE["op6_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations),
+prefixes AS (
+  SELECT conv_id, pos, max(pos) OVER (PARTITION BY conv_id) AS n,
+         string_agg(md5(role || chr(31) || text), ',') OVER (PARTITION BY conv_id ORDER BY pos
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM turns),
+whole AS (SELECT min(conv_id) AS conv_id, n, upto FROM prefixes WHERE pos = n GROUP BY n, upto),
+kept AS (SELECT w.* FROM whole w ANTI JOIN (SELECT pos, upto FROM prefixes WHERE pos < n) p
+         ON w.n = p.pos AND w.upto = p.upto)
+SELECT t.conv_id, CAST(0 AS BIGINT) AS part, CAST(max(k.n) AS BIGINT) AS n_turns,
+       string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY pos) AS rendered
+FROM turns t JOIN kept k USING (conv_id) GROUP BY t.conv_id"""

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, url_filter
+from . import bpe, chat, mixing, pii, quality, store, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -32,6 +34,32 @@ URL_RULES = (
 )
 
 
+# The mix's weights, dealt to the sources in turn.
+MIX_WEIGHTS = (5, 2, 1)
+
+
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from every document."""
+    sizes = store.stored(table(spark, sf_dir, "documents").select(
+        "doc_id", "source", mixing.word_count(F.col("text")).alias("size")), "mix-sizes")
+    sources = mixing.source_sizes(sizes)
+    weights = [MIX_WEIGHTS[i % len(MIX_WEIGHTS)] for i in range(len(sources))]
+    targets = mixing.share_targets([n for _, n in sources], weights)
+    quotas = {s: math.floor(t + 0.5) for (s, _), t in zip(sources, targets)}
+    taken = mixing.mix(sizes.withColumn("sources", F.array("source")), quotas)
+    known = spark.createDataFrame([(s, n, t) for (s, n), t in zip(sources, targets)],
+                                  "name string, source_size long, target double")
+    return taken.join(known, taken["source"].eqNullSafe(known["name"])).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations in the chat format."""
+    return chat.format_conversations(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, explicit rule and verdict of every page."""
@@ -55,3 +83,39 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in pii.BASE_KINDS],
                         F.sha2(pii.spans_text(base), 256).alias("base_sha256"),
                         pii.spans_text(spans).alias("spans"))
+
+
+@query
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the text decoded from them."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary,
+                         keep_text=False)
+    return bpe.decode(encoded, vocabulary).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+PREDICT_AT = 0.7
+
+
+def crc_remainder(column: str, parts: int):
+    """crc32 of an id's text modulo ``parts`` (a NULL id counts as empty text)."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % parts
+
+
+def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, label``: one label per id (the lower one, if they differ)."""
+    return table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("label"))
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; a quarter of the ids is held out."""
+    stats = store.stored(quality.with_stats(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False), "quality-stats")
+    held_out = crc_remainder("doc_id", 4) == 2
+    model = quality.fit(stats.where(~held_out).join(quality_labels(spark, sf_dir), "doc_id"))
+    return stats.select("doc_id", held_out.alias("held_out"), model.score().alias("score")).withColumn(
+        "predicted", F.when(F.col("score") >= PREDICT_AT, 1).otherwise(0))

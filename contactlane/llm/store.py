@@ -8,12 +8,33 @@ was running. The folder of a session is removed when the driver exits.
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 _ROOTS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application
+    (Spark's own file distribution; the zip itself is read by the driver only)."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    name = os.path.join(tempfile.mkdtemp(prefix="contactlane-zip-"), "contactlane_llm.zip")
+    with zipfile.ZipFile(name, "w") as out:
+        for folder, _, files in os.walk(package):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    out.write(full, os.path.relpath(full, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(name)
+    _SHIPPED.add(app)
 
 
 def shared_dir(spark: SparkSession) -> str:
