@@ -157,6 +157,13 @@ def bounded_rows(df: DataFrame, what: str) -> list:
     return rows
 
 
+def repeated(taken: DataFrame, size: str = "size") -> DataFrame:
+    """Whole rows as often as the mix takes them (a part counts from half up)."""
+    times = F.when(F.col(size) > 0, F.round(F.col("taken") / F.col(size)).cast("int")).otherwise(0)
+    return taken.withColumn("__times", times).where("__times > 0").withColumn(
+        "__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).drop("__times", "__copy")
+
+
 def source_sizes(docs: DataFrame, source: str = "source", size: str = "size") -> list[tuple[str | None, int]]:
     """``(source, size)`` by code point of the source, NULL last."""
     rows = bounded_rows(docs.groupBy(source).agg(F.sum(size).alias("n")), "sources")

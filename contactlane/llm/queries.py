@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, mixing, pii, quality, store, url_filter
+from . import ann, bpe, chat, lm, mixing, ngram_join, pii, quality, store, topk, url_filter, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -24,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def crc_remainder(column: str, parts: int):
+    """crc32 of an id's text modulo ``parts`` (a NULL id counts as empty text)."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % parts
+
+
 # The explicit URL rules (verdict, host, path).
 URL_RULES = (
     ("allow", "com", "/"),
@@ -34,6 +39,13 @@ URL_RULES = (
 )
 
 
+@query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's shingle set and its component by similarity."""
+    return ngram_join.classes(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                              n=4, num=85, den=100)
+
+
 # The mix's weights, dealt to the sources in turn.
 MIX_WEIGHTS = (5, 2, 1)
 
@@ -54,6 +66,28 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 near vectors of every 20th vector."""
+    return ann.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"),
+                       F.col("id") % 20 == 0, k=20)
+
+
+@query
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and attention-model log probabilities of every document."""
+    return lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                    crc_remainder("doc_id", 7) == 2, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 largest integer inner products of every 50th vector."""
+    rows = table(spark, sf_dir, "embeddings").where(vectors.usable(F.col("embedding")))
+    return topk.top_k(rows.select("vec_id", topk.scaled(F.col("embedding")).alias("vec")),
+                      F.col("vec_id") % 50 == 0, k=5)
+
+
 @query
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Maximal conversations in the chat format."""
@@ -100,11 +134,6 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 PREDICT_AT = 0.7
 
 
-def crc_remainder(column: str, parts: int):
-    """crc32 of an id's text modulo ``parts`` (a NULL id counts as empty text)."""
-    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % parts
-
-
 def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, label``: one label per id (the lower one, if they differ)."""
     return table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("label"))

@@ -1,0 +1,82 @@
+"""Targets, flow and selection of the mix."""
+import itertools
+
+import duckdb
+import pytest
+
+from contactlane.llm import mixing
+from contactlane.llm.oracle import ORACLE
+from contactlane.llm.queries import REGISTRY
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_targets_share_the_whole_and_respect_caps():
+    sizes, weights = [10, 1000, 500, 3], [5, 2, 1, 5]
+    t = mixing.share_targets(sizes, weights)
+    assert abs(sum(t) - sum(sizes)) < 1e-9 and t[0] == 30 and t[3] == 9
+    assert abs(t[1] / t[2] - 2) < 1e-9
+    assert mixing.share_targets([0, 0], [5, 2]) == [0.0, 0.0] and mixing.share_targets([], []) == []
+
+
+def cost(passes_used, size):
+    total, left = 0, passes_used
+    for k in (1, 2, 3):
+        total += k * min(size, left)
+        left -= min(size, left)
+    return total
+
+
+def test_flow_is_cheapest_on_small_graphs():
+    patterns = [(("a",), 3), (("a", "b"), 4), (("b",), 1)]
+    quotas = {"a": 9, "b": 6}
+    got = mixing.route(patterns, quotas)
+    best = None
+    for f in itertools.product(*[range(3 * n + 1) for _, n in patterns]):
+        # feasible when each source can be filled: check the cuts
+        reach = min(9, f[0] + f[1]) + min(6, f[1] + f[2])
+        flow = min(sum(f), reach, 15)
+        if sum(f) == flow == 15 and f[0] <= 9 and f[2] <= 6:
+            c = sum(cost(x, n) for x, (_, n) in zip(f, patterns))
+            best = c if best is None else min(best, c)
+    assert sum(got) == 15
+    assert sum(cost(x, n) for x, (_, n) in zip(got, patterns)) == best
+
+
+def test_mix_of_overlapping_sources(spark):
+    rows = [(i, ["a"] if i % 3 else ["a", "b"], 5 + i % 4) for i in range(60)] + [(100, [], 7), (101, None, 7),
+            (102, ["c"], 0), (3, ["a", "b"], 8), (None, ["a"], 6)]
+    df = spark.createDataFrame(rows, "doc_id long, sources array<string>, size long")
+    out = mixing.mix(df, {"a": 100, "b": 90, "c": 5}).collect()
+    again = mixing.mix(df.repartition(3), {"a": 100, "b": 90, "c": 5}).collect()
+    key = lambda r: (r["doc_id"] is None, r["doc_id"], r["size"], r["taken"])
+    assert sorted(map(tuple, out), key=str) == sorted(map(tuple, again), key=str) and len(out) == len(rows)
+    assert sum(r["taken"] for r in out) == 190
+    assert all(0 <= r["taken"] <= 3 * r["size"] for r in out)
+    assert all(r["taken"] == 0 for r in out if r["doc_id"] in (100, 101, 102))
+    assert mixing.mix(df.limit(0), {"a": 5}).count() == 0
+    assert sorted(out, key=key)
+
+
+def test_too_many_patterns_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_PATTERNS", 2)
+    df = spark.createDataFrame([(i, [str(i)], 1) for i in range(3)], "doc_id long, sources array<string>, size long")
+    with pytest.raises(ValueError):
+        mixing.mix(df, {})
+
+
+def test_query_with_null_sources_and_texts(spark, tmp_path):
+    rows = [(1, "a b c", "s1"), (2, None, "s1"), (3, "x " * 50, None), (4, "", None), (5, "q w e r", "s2"),
+            (5, "q w e r", "s2"), (6, "\u00a0 \u2003", "s3"), (None, "k", "s2")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(str, (tuple(r) for r in REGISTRY["op2_mixing"](spark, str(tmp_path)).collect())))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(map(str, con.execute(ORACLE["op2_mixing"]).fetchall()))
+
+
+def test_query_equals_sql(spark):
+    rows = REGISTRY["op2_mixing"](spark, SF).collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    assert sorted(map(tuple, rows)) == sorted(con.execute(ORACLE["op2_mixing"]).fetchall())
