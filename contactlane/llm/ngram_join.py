@@ -38,6 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import store
 from .components import components
@@ -231,7 +232,7 @@ def keyed_sets(docs: DataFrame, text: str, n: int, num: int, den: int,
     names = [f.name for f in keep]
     schema = docs.select(*names).schema.add("n_shingles", "long").add("set_key", "long")
     if frequent is not None:
-        schema = schema.add("lead", "array<long>")
+        schema = schema.add("lead", T.ArrayType(T.LongType()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)

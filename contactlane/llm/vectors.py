@@ -27,10 +27,10 @@ def matrix(column: pa.Array) -> list[np.ndarray]:
     return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
-def pick_pivots(vectors: DataFrame, vec: str, count: int) -> dict[int, np.ndarray]:
-    """At most ``count`` (and ``MAX_PIVOTS``) vectors in hash order, as one
-    matrix for each length of vector."""
-    rows = vectors.select(vec).distinct().orderBy(F.xxhash64(vec), vec).limit(
+def pick_pivots(vectors: DataFrame, vec: str, count: int, seed: int = 0) -> dict[int, np.ndarray]:
+    """At most ``count`` (and ``MAX_PIVOTS``) vectors in seeded hash order, as
+    one matrix for each length of vector."""
+    rows = vectors.select(vec).distinct().orderBy(F.xxhash64(F.lit(seed), vec), vec).limit(
         min(count, MAX_PIVOTS)).collect()
     by_dim: dict[int, list] = {}
     for r in rows:
@@ -42,7 +42,7 @@ def with_pivot(vectors: DataFrame, vec: str, pivots: dict[int, np.ndarray]) -> D
     """Add ``dim`` and ``pivot``: the pivot with the smallest distance (-1 where
     no pivot has the vector's length)."""
     names = [c for c in vectors.columns if c not in ("dim", "pivot")]
-    schema = vectors.select(*names).schema.add("dim", "int").add("pivot", "int")
+    schema = vectors.select(*names).schema.add("dim", "integer").add("pivot", "integer")
     half_norm = {d: (p * p).sum(axis=1) / 2 for d, p in pivots.items()}
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
