@@ -35,61 +35,27 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import store
+from . import shingles, store
 from .components import components
 
-# Hash buckets whose load tells frequent n-grams, and when a task reports one.
-LOAD_BITS, LOAD_FLOOR, LOAD_FACTOR = 20, 8, 4
+# Buckets of word hashes whose loads tell frequent words from rare ones.
+WORD_BUCKETS = 1 << 18
+# One more leading n-gram for every so many of a set, and one more required.
+EXTRA = 20
+# How often sets that share too few leading n-grams are taken out.
+SIEVES = 2
 # Bits of the bitmap of wanted keys (512 KB at most reach each task).
 BITMAP_BITS = 22
 # Sets and n-grams in one chunk of a shard.
 CHUNK_SETS, CHUNK_GRAMS = 256, 1_000_000
-WORD_CACHE = 1_000_000
 # Weight of a binary probe against a heap step when lists are split.
 PROBE_WEIGHT = 0.01
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        code = self[word] = xxhash.xxh3_64_intdigest(word)
-        return code
-
-
-class Shingler:
-    """Sorted distinct 64-bit hashes of a text's word n-grams."""
-
-    def __init__(self, n: int):
-        self.n = n
-        odd = np.random.default_rng(n).integers(1, 1 << 63, size=64, dtype=np.uint64)
-        self.factors = odd * np.uint64(2) + np.uint64(1)
-        self.words = _Words()
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().lower().split()  # bytes: ASCII case and white space alone
-        if not words:
-            return np.empty(0, dtype=np.uint64)
-        if len(self.words) > WORD_CACHE:
-            self.words.clear()
-        codes = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
-        n = min(self.n, len(words))
-        grams = np.full(len(words) - n + 1, n, dtype=np.uint64)
-        for i in range(n):
-            grams += codes[i: len(words) - n + 1 + i] * self.factors[i]
-        grams ^= grams >> np.uint64(31)
-        grams *= np.uint64(0xBF58476D1CE4E5B9)
-        grams ^= grams >> np.uint64(29)
-        return np.unique(grams)
-
-
-def set_key(grams: np.ndarray) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes())).view(np.int64))
-
-
 def least_overlap(a: int, b: int, num: int, den: int) -> int:
     """Smallest overlap at which sets of these sizes link."""
     return -(-num * (a + b) // (num + den))
@@ -199,53 +165,50 @@ def chunk_links(keys: list[int], sets: list[np.ndarray], queries: list[int], gro
 
 # -- Spark side ---------------------------------------------------------------
 
-def frequent_buckets(docs: DataFrame, text: str, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of n-gram hashes that stand out in some task, and how much (a
-    power of two). At most ``2 ** LOAD_BITS`` rows reach the driver."""
+def word_levels(docs: DataFrame, text: str) -> np.ndarray:
+    """How frequent the words of each hash bucket are (powers of two), counted
+    over all texts; ``WORD_BUCKETS`` rows reach the driver."""
     def load(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(n)
-        total = np.zeros(1 << LOAD_BITS, dtype=np.int64)
-        seen: set[int] = set()
+        total = np.zeros(WORD_BUCKETS, dtype=np.int64)
+        shift = np.uint64(64 - WORD_BUCKETS.bit_length() + 1)
         for batch in batches:
-            for value in batch.column(0):
-                grams = shingler(value.as_py())
-                key = set_key(grams)
-                if len(grams) and key not in seen:
-                    seen.add(key)
-                    np.add.at(total, (grams >> np.uint64(64 - LOAD_BITS)).astype(np.int64), 1)
-        hot = np.flatnonzero(total >= max(LOAD_FLOOR, LOAD_FACTOR * total.mean()))
-        yield pa.RecordBatch.from_arrays([pa.array(hot), pa.array(total[hot])], names=["bucket", "n"])
+            for _, words, _ in shingles.batch_words(batch.column(0)):
+                total += np.bincount((words >> shift).astype(np.int64), minlength=WORD_BUCKETS)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["bucket", "n"])
 
     store.ship(docs.sparkSession)
     rows = docs.select(text).mapInArrow(load, "bucket long, n long").groupBy("bucket").agg(
-        F.sum("n").alias("n")).collect()
-    rows.sort()
-    buckets = np.array([r[0] for r in rows], dtype=np.int64)
-    return buckets, np.array([1 + int(r[1]).bit_length() for r in rows], dtype=np.int64)
+        F.sum("n").alias("n")).toArrow()
+    levels = np.zeros(WORD_BUCKETS, np.uint8)
+    levels[rows["bucket"].to_numpy()] = np.log2(rows["n"].to_numpy() + 1.0).astype(np.uint8) + 1
+    return levels
 
 
 def keyed_sets(docs: DataFrame, text: str, n: int, num: int, den: int,
-               frequent: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+               levels: np.ndarray | None = None) -> DataFrame:
     """``docs`` without its ``text`` column, with ``n_shingles``, ``set_key`` and (given
-    ``frequent``) ``lead``, the leading n-grams in the global order."""
+    ``levels``) ``lead``, the leading n-grams in the global order (empty for a set
+    that the same task has met before)."""
     keep = [f for f in docs.schema.fields if f.name not in (text, "n_shingles", "set_key", "lead")]
     names = [f.name for f in keep]
     schema = docs.select(*names).schema.add("n_shingles", "long").add("set_key", "long")
-    if frequent is not None:
+    if levels is not None:
         schema = schema.add("lead", T.ArrayType(T.LongType()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(n)
+        sent: set[int] = set()
         for batch in batches:
             sizes, keys, leads = [], [], []
-            for value in batch.column(text):
-                grams = shingler(value.as_py())
+            for grams, level in shingles.batch_sets(batch.column(text), n, levels):
                 sizes.append(len(grams))
-                keys.append(set_key(grams))
-                if frequent is not None:
-                    leads.append(leading(grams, frequent, num, den).view(np.int64))
+                keys.append(shingles.set_key(grams))
+                if levels is not None:
+                    own = grams if keys[-1] not in sent else grams[:0]
+                    leads.append(leading(own, level, num, den).view(np.int64))
+                    sent.add(keys[-1])
             columns = [batch.column(c) for c in names] + [pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())]
-            if frequent is not None:
+            if levels is not None:
                 ends = np.cumsum([0] + [len(x) for x in leads])
                 flat = np.concatenate(leads) if leads else np.empty(0, np.int64)
                 columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64())))
@@ -255,20 +218,11 @@ def keyed_sets(docs: DataFrame, text: str, n: int, num: int, den: int,
     return docs.select(*names, text).mapInArrow(run, schema)
 
 
-def leading(grams: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], num: int, den: int) -> np.ndarray:
-    """The n-grams of a set that a linked set must share one of: its first ones,
-    rare before frequent, then by hash."""
+def leading(grams: np.ndarray, level: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The n-grams of a set that a linked set must share one of: its first ones
+    by their rarest word, then by hash (``grams`` are sorted)."""
     n = len(grams)
-    if not n:
-        return grams
-    buckets, loads = frequent
-    level = np.zeros(n, dtype=np.int64)
-    if len(buckets):
-        own = (grams >> np.uint64(64 - LOAD_BITS)).astype(np.int64)
-        i = np.minimum(np.searchsorted(buckets, own), len(buckets) - 1)
-        level = np.where(buckets[i] == own, loads[i], 0)
-    order = np.argsort(level, kind="stable")  # grams are sorted by hash already
-    return grams[order[: n - -(-num * n // den) + 1]]
+    return grams[np.argsort(level, kind="stable")[: n - -(-num * n // den) + 1 + n // EXTRA]] if n else grams
 
 
 def wanted_bitmap(keys: DataFrame) -> np.ndarray:
@@ -289,14 +243,12 @@ def wanted_sets(docs: DataFrame, text: str, n: int, wanted: DataFrame) -> DataFr
     bitmap = wanted_bitmap(wanted)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(n)
         bits = np.unpackbits(bitmap).view(bool)
         sent: set[int] = set()
         for batch in batches:
             keys, sets = [], []
-            for value in batch.column(0):
-                grams = shingler(value.as_py())
-                key = set_key(grams)
+            for grams, _ in shingles.batch_sets(batch.column(0), n):
+                key = shingles.set_key(grams)
                 if bits[(key & (1 << 64) - 1) >> (64 - BITMAP_BITS)] and key not in sent:
                     sent.add(key)
                     keys.append(key)
@@ -371,6 +323,8 @@ def shard_links(docs: DataFrame, text: str, n: int, num: int, den: int, members:
     links = store.stored(search_chunks(inside.join(sets, "k"), num, den), "links")
     # Across chunks: sets that aren't connected with their leader ask the other chunks.
     large = chunked.where("chunks > 1")
+    if large.isEmpty():
+        return links
     now = components(links.union(labels.select("node", "label")))
     now = large.join(now.withColumnRenamed("node", "k"), "k", "left").withColumn(
         "part", F.coalesce("label", "part")).drop("label")
@@ -388,26 +342,42 @@ def shard_links(docs: DataFrame, text: str, n: int, num: int, den: int, members:
     return links.union(search_chunks(both.join(sets, "k"), num, den))
 
 
+def shard_members(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """``leader, k, n``: the shards, from ``rows`` (``set_key, n_shingles, lead``)."""
+    posted = rows.select(F.col("set_key").alias("k"), F.explode("lead").alias("gram"))
+    many = posted.groupBy("gram").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo < hi").select("gram")
+    shared, path = store.stored_at(posted.join(many, "gram").distinct(), "shared-grams")
+    sizes = rows.where(F.size("lead") > 0).select(F.col("set_key").alias("k"), F.col("n_shingles").alias("n"))
+    sizes = sizes.dropDuplicates(["k"])
+    need = 1 + F.floor(F.ceil(F.col("n") * num / den) / EXTRA)
+    for i in range(SIEVES):
+        fit = shared.groupBy("k").agg(F.count(F.lit(1)).alias("shares")).join(sizes, "k").where(
+            F.col("shares") >= need).select("k")
+        kept = shared.join(fit, "k")
+        many = kept.groupBy("gram").agg(F.min("k").alias("leader"), F.max("k").alias("hi")).where("leader < hi")
+        joined = kept.join(many, "gram")
+        if i < SIEVES - 1:
+            shared, new_path = store.stored_at(joined.select("gram", "k"), "shared-grams")
+            store.remove(rows.sparkSession, path)
+            path = new_path
+    members = joined.select("leader", "k").distinct()
+    out = store.stored(members.join(sizes, "k").select("leader", "k", "n"), "members")
+    store.remove(rows.sparkSession, path)
+    return out
+
+
 def join_classes(docs: DataFrame, text: str, key: str, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """``(rows, labels)``: ``key, n_shingles, set_key`` of every row, and the
     component ``node, label`` of every set key that links with another one."""
     slim = docs.select(key, text)
-    rows = store.stored(keyed_sets(slim, text, n, num, den, frequent_buckets(slim, text, n)), "set-keys")
-    reps = rows.where("n_shingles > 0").select(
-        F.col("set_key").alias("k"), F.col("n_shingles").alias("n"), "lead").dropDuplicates(["k"])
-    posted = reps.select("k", "n", F.explode("lead").alias("gram"))
-    leaders = posted.groupBy("gram").agg(F.min("k").alias("leader"), F.count(F.lit(1)).alias("df")).where(
-        "df > 1").select("gram", "leader")
-    members = store.stored(posted.join(leaders.hint("shuffle_hash"), "gram").groupBy("leader", "k").agg(
-        F.first("n").alias("n")), "members")
+    rows = store.stored(keyed_sets(slim, text, n, num, den, word_levels(slim, text)), "set-keys")
+    members = shard_members(rows, num, den)
     # First the shard of each set's smallest leader, and the leaders themselves.
     first = members.groupBy("k").agg(F.min("leader").alias("leader"), F.first("n").alias("n"))
-    heads = first.select("leader").distinct().join(
-        members.where("k = leader").select("leader", "k", "n"), "leader")
+    heads = first.select("leader").distinct().join(members.where("k = leader"), "leader")
     first = store.stored(first.select("leader", "k", "n").union(heads.select("leader", "k", "n")).distinct(),
                          "first-shards")
-    spark = docs.sparkSession
-    none = spark.createDataFrame([], "node long, label long")
+    none = docs.sparkSession.createDataFrame([], "node long, label long")
     links = store.stored(shard_links(docs, text, n, num, den, first, none), "links")
     labels = store.stored(components(links), "labels")
     # Then shards whose sets are of several components by now.
@@ -420,8 +390,11 @@ def join_classes(docs: DataFrame, text: str, key: str, n: int, num: int, den: in
     done = searched.join(whole, "leader").where("had = has").select("leader")
     rest = store.stored(members.join(open_shards, "leader", "left_semi").join(done, "leader", "left_anti"),
                         "open-shards")
-    more = shard_links(docs, text, n, num, den, rest, labels)
-    return rows.drop("lead"), store.stored(components(more.union(labels.select("node", "label"))), "labels")
+    if not rest.isEmpty():
+        more = store.stored(shard_links(docs, text, n, num, den, rest, labels), "links")
+        if not more.isEmpty():
+            labels = store.stored(components(more.union(labels.select("node", "label"))), "labels")
+    return rows.drop("lead"), labels
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 5, num: int = 80,
