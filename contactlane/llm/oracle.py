@@ -1,6 +1,6 @@
 """DuckDB SQL for the registered queries that SQL can express.
 
-Not expressible: op7 (mined rules), op9 (merges of a vocabulary file), op10 (a
+Not expressible: op7 (mined rules), op8 (spans added in context), op9 (merges of a vocabulary file), op10 (a
 fitted model), op3 and op4 (a searched graph, a trained model); their tests
 hold them against brute force, an exact round trip or held-out accuracy.
 """
@@ -63,3 +63,38 @@ kept AS (SELECT w.* FROM whole w ANTI JOIN (SELECT pos, upto FROM prefixes WHERE
 SELECT t.conv_id, CAST(0 AS BIGINT) AS part, CAST(max(k.n) AS BIGINT) AS n_turns,
        string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY pos) AS rendered
 FROM turns t JOIN kept k USING (conv_id) GROUP BY t.conv_id"""
+
+# Sets of distinct 4-word shingles, pairs that share any, and the smallest id
+# reachable over links.
+ORACLE["op1_ngram_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(list_transform(range(1, greatest(2, len(w) - 2)),
+                                              lambda i: array_to_string(w[i:i + 3], ' '))) AS s
+  FROM words WHERE len(w) > 0),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+grams AS (SELECT doc_id, md5(unnest(s)) AS g FROM sets),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_have
+          FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+          WHERE 100 * both_have >= 85 * (x.n + y.n - both_have)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a AS doc_id, a AS other FROM (SELECT DISTINCT a FROM edges)
+          UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON r.other = e.a)
+SELECT w.doc_id, CAST(coalesce(z.n, 0) AS BIGINT) AS n_shingles, coalesce(c.least, w.doc_id) AS component_id
+FROM words w LEFT JOIN sizes z USING (doc_id)
+LEFT JOIN (SELECT doc_id, min(other) AS least FROM reach GROUP BY 1) c USING (doc_id)"""
+
+ORACLE["op5_topk"] = r"""
+WITH vecs AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM vecs q JOIN vecs c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM scored QUALIFY rank <= 5"""
