@@ -172,7 +172,7 @@ def word_levels(docs: DataFrame, text: str) -> np.ndarray:
         total = np.zeros(WORD_BUCKETS, dtype=np.int64)
         shift = np.uint64(64 - WORD_BUCKETS.bit_length() + 1)
         for batch in batches:
-            for _, words, _ in shingles.batch_words(batch.column(0)):
+            for words, _, _ in shingles.batch_words(batch.column(0)):
                 total += np.bincount((words >> shift).astype(np.int64), minlength=WORD_BUCKETS)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["bucket", "n"])
@@ -404,9 +404,10 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 5
     rows, labels = join_classes(docs, text, key, n, num, den)
     placed = rows.join(labels, rows["set_key"] == labels["node"], "left").select(
         key, "n_shingles", F.coalesce("label", "set_key").alias("__class"))
-    least = placed.where("n_shingles > 0").groupBy(F.col("__class").alias("__of")).agg(
-        F.min(key).alias("component_id"))
-    linked = placed.join(least, (placed["__class"] == least["__of"]) & (F.col("n_shingles") > 0), "left")
+    least = placed.where("n_shingles > 0").groupBy("__class").agg(F.min(key).alias("component_id"))
+    # joined by another form of the key: an exchange of its own lets Spark split a large class
+    least = least.select(F.struct("__class").alias("__of"), "component_id")
+    linked = placed.join(least, (F.struct("__class") == F.col("__of")) & (F.col("n_shingles") > 0), "left")
     return linked.select(key, "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id"))
                          .otherwise(F.col(key)).alias("component_id"))
 
@@ -423,9 +424,11 @@ def representatives(docs: DataFrame, text: str = "text", key: str = "doc_id", n:
         "__row", "n_shingles", F.coalesce("label", "set_key").alias("__class"))
     named = grouped.where("n_shingles > 0").withColumn("__key", F.col("__row")[key])
     counts = named.groupBy("__class", "__key").agg(F.count(F.lit(1)).alias("__n"))
-    least = counts.groupBy(F.col("__class").alias("__of")).agg(F.min(F.struct(
+    least = counts.groupBy("__class").agg(F.min(F.struct(
         F.col("__key").isNull().alias("none"), F.col("__key").alias("key"), F.col("__n").alias("n"))).alias("__best"))
-    first = named.join(least, (F.col("__class") == F.col("__of"))
+    # joined by another form of the key: an exchange of its own lets Spark split a large class
+    least = least.select(F.struct("__class").alias("__of"), "__best")
+    first = named.join(least, (F.struct("__class") == F.col("__of"))
                        & F.col("__key").eqNullSafe(F.col("__best.key")))
     single = first.where("__best.n = 1").select("__row")
     several = first.where("__best.n > 1").groupBy("__class").agg(

@@ -77,7 +77,7 @@ def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram and attention-model log probabilities of every document."""
     return lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"),
-                    crc_remainder("doc_id", 7) == 2, public_tokenizers.path("byte_bpe_50k.json"))
+                    crc_remainder("doc_id", 7) == 2, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 @query

@@ -47,11 +47,11 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def word_hashes(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words in ``data`` (bytes) and where each begins; no word
-    goes on over a place in ``breaks``."""
+def word_hashes(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words in ``data`` (bytes) and where each begins and ends; no
+    word goes on over a place in ``breaks``."""
     if not len(data):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     space = _SPACE[data]
     begins, ends = ~space, ~space
     begins[1:] &= space[:-1]
@@ -63,7 +63,7 @@ def word_hashes(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.nd
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_VALUE[data] * _powers(_BASE, len(data)), out=sums[1:])
     h = (sums[end] - sums[begin]) * _powers(_INVERSE, len(data))[begin]
-    return _mixed(h + (end - begin).astype(np.uint64) * _FACTORS[-1]), begin
+    return _mixed(h + (end - begin).astype(np.uint64) * _FACTORS[-1]), begin, end
 
 
 def _pieces(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -76,8 +76,8 @@ def _pieces(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def _long_text(data: np.ndarray) -> np.ndarray:
-    """Word hashes of one long text, cut at white space."""
+def _long_text(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes, begins and ends of one long text, cut at white space."""
     parts, a = [], 0
     while a < len(data):
         b = a + PIECE
@@ -89,14 +89,15 @@ def _long_text(data: np.ndarray) -> np.ndarray:
                     b += int(found[0])
                     break
                 b += step
-        parts.append(word_hashes(data[a:b], np.empty(0, np.int64))[0])
+        hashes, begin, end = word_hashes(data[a:b], np.empty(0, np.int64))
+        parts.append((hashes, begin + a, end + a))
         a = b
-    return np.concatenate(parts)
+    return tuple(np.concatenate(p) for p in zip(*parts))
 
 
-def batch_words(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``(first row, word hashes, words of each row)`` for runs of rows; a NULL
-    text has no words."""
+def batch_words(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, tuple]]:
+    """``(word hashes, words of each row, (bytes, begins, ends))`` for runs of rows
+    in order; a NULL text has no words."""
     column = column.fill_null("").cast(pa.large_string())
     n = len(column)
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset: column.offset + n + 1] if n else \
@@ -106,12 +107,12 @@ def batch_words(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
     for a, b in _pieces(offsets):
         own = data[offsets[a]: offsets[b]]
         if b == a + 1 and len(own) > PIECE:
-            hashes = _long_text(own)
-            yield a, hashes, np.array([len(hashes)])
+            hashes, begin, end = _long_text(own)
+            yield hashes, np.array([len(hashes)]), (own, begin, end)
             continue
         starts = offsets[a: b + 1] - offsets[a]
-        hashes, begin = word_hashes(own, starts[:-1])
-        yield a, hashes, np.diff(np.searchsorted(begin, starts))
+        hashes, begin, end = word_hashes(own, starts[:-1])
+        yield hashes, np.diff(np.searchsorted(begin, starts)), (own, begin, end)
 
 
 def _grams(words: np.ndarray, n: int) -> np.ndarray:
@@ -128,7 +129,7 @@ def batch_sets(column: pa.Array, n: int, word_level: np.ndarray | None = None
     """For each row its sorted distinct n-gram hashes and, given a level for each
     bucket of word hashes, each n-gram's least word level."""
     empty = np.empty(0, np.uint64)
-    for _, words, sizes in batch_words(column):
+    for words, sizes, _ in batch_words(column):
         grams = _grams(words, n) if len(words) else empty
         level = None
         if word_level is not None and len(words):
