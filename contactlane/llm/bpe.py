@@ -185,8 +185,10 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in batches:
-            texts = [own.decode(row.values.to_pylist() if row.is_valid else ())
-                     for row in batch.column(ids)]
+            rows = batch.column(ids)
+            flat = rows.flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum([0] + [len(row) if row.is_valid else 0 for row in rows])
+            texts = [own.decode(flat[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])]
             yield _with_column(batch, text, pa.array(texts, pa.string()), ())
 
     store.ship(df.sparkSession)

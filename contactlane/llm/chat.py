@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import store
+
 SECTION = 4096
 # The markers of the chat format.
 START, END = "<|im_start|>", "<|im_end|>"
@@ -68,7 +70,7 @@ def prefix_hashes(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", r
 def maximal(turns: DataFrame, **names: str) -> DataFrame:
     """``conv, n_turns`` of the conversations that are no proper prefix of
     another one; of equal conversations the smallest id (NULL before others)."""
-    prefixes = prefix_hashes(turns, **names)
+    prefixes = store.stored(prefix_hashes(turns, **names), "chat-prefixes")
     ends = prefixes.groupBy("conv").agg(F.max("pos").alias("pos"))
     whole = prefixes.join(ends.withColumnRenamed("conv", "conv2"),
                           F.col("conv").eqNullSafe(F.col("conv2")) & (prefixes["pos"] == ends["pos"])
