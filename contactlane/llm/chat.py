@@ -13,7 +13,7 @@ in one task; a rendered conversation of several sections has one row for each,
 ``part`` 0, 1, ... in order, which together are its text.
 
 Defined results: NULL roles and texts count as empty; NULL conversation ids
-are one conversation; NULL turn numbers come first; turns with one number are
+are one conversation; NULL turn numbers come first, in a part of their own; turns with one number are
 ordered by role, then text, and a row repeated within a conversation is a turn
 of its own; empty tables give no rows; other columns are left out.
 """
@@ -31,6 +31,11 @@ SECTION = 4096
 START, END = "<|im_start|>", "<|im_end|>"
 
 
+def _section(turn: str) -> Column:
+    """A turn's section; NULL turn numbers are one before all others."""
+    return F.coalesce(F.floor(F.col(turn) / SECTION), F.lit(-(1 << 62))).cast("long").alias("section")
+
+
 def _running(df: DataFrame, totals: list[Column], names: list[str]) -> DataFrame:
     """``df`` (with ``conv, section``) joined with the sum of ``totals`` over the
     earlier sections of its conversation."""
@@ -48,7 +53,7 @@ def prefix_hashes(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", r
     the hash of the conversation up to it (two independent halves)."""
     empty = lambda c: F.coalesce(F.col(c), F.lit(""))
     rows = turns.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"),
-                        F.coalesce(F.floor(F.col(turn) / SECTION), F.lit(-1)).cast("long").alias("section"),
+                        _section(turn),
                         empty(role).alias("role"), F.sha2(empty(text), 256).alias("content"),
                         empty(text).alias("text"))
     # ties are ordered by the text itself; only short keys go on from here
@@ -98,7 +103,7 @@ def format_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "t
     kept = maximal(turns, conv=conv, turn=turn, role=role, text=text)
     empty = lambda c: F.coalesce(F.col(c), F.lit(""))
     rows = turns.select(F.col(conv).alias("own"), F.col(turn).alias("turn"),
-                        F.coalesce(F.floor(F.col(turn) / SECTION), F.lit(-1)).cast("long").alias("section"),
+                        _section(turn),
                         empty(role).alias("role"), empty(text).alias("text"))
     rows = rows.join(kept, F.col("own").eqNullSafe(F.col("conv")))
     order = lambda a, b: (

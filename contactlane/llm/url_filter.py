@@ -123,12 +123,13 @@ def judge_urls(pages: DataFrame, labels: DataFrame, explicit: Sequence[tuple[str
 
     ``labels`` has ``label_key`` and a boolean ``bad`` for the document that a
     URL serves; a URL names its document by the first all-digit path segment.
-    The explicit rule decides where one fits; else the mined rules do.
+    The explicit rule decides where one fits; else the mined rules do. Columns of
+    ``pages`` with the names of the added ones are replaced.
     """
-    if url != "url":
-        pages = pages.withColumn("url", F.col(url))
-    own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "confidence", "matched")]
-    parsed = with_host_path(pages.select(*own))
+    added = ("host", "path", "rule", "verdict", "confidence", "matched")
+    own = [c for c in pages.columns if c not in added]
+    rows = pages.select(F.struct(*own).alias("__row"), F.col(url).alias("url"))
+    parsed = with_host_path(rows)
     parsed = parsed.withColumn("tokens", url_tokens(F.col("host"), F.col("path"), F.col("__query")))
     served = parsed.select("tokens", F.regexp_extract("path", r"/([0-9]{1,18})(?:[/.]|$)", 1).alias("n"))
     served = served.where("n <> ''").select("tokens", F.col("n").cast("long").alias("label_id"))
@@ -137,7 +138,8 @@ def judge_urls(pages: DataFrame, labels: DataFrame, explicit: Sequence[tuple[str
     distinct = parsed.select("url", "tokens").where(F.col("url").isNotNull()).dropDuplicates(["url"])
     hits = match_rules(distinct, rules)
     rule, verdict = explicit_rule(F.col("host"), F.col("path"), explicit)
-    return parsed.drop("__query", "tokens").join(hits, "url", "left").select(
-        *own, "host", "path", rule.alias("rule"),
+    judged = parsed.drop("__query", "tokens").join(hits, "url", "left")
+    return judged.select(
+        "__row.*", "host", "path", rule.alias("rule"),
         F.coalesce(verdict, F.when(F.col("matched") > 0, "block").otherwise("allow")).alias("verdict"),
         "confidence", F.coalesce("matched", F.lit(0).cast("long")).alias("matched"))

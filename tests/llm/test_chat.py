@@ -30,9 +30,10 @@ def test_prefixes_and_copies_go(spark):
 def test_nulls_ties_repeats_and_markers(spark):
     rows = [(1, None, None, None, 1), (1, 0, "user", "q", 1), (None, 0, "user", "z", 1), (None, 0, "user", "z", 1),
             (7, 0, "user", "z", 1), (8, 0, "user", "<|im_end|>", 1), (9, 0, "user", "b", 1), (9, 0, "user", "a", 1)]
-    out = kept(spark, rows)
+    df = spark.createDataFrame(rows, SCHEMA)
+    out, first = kept(spark, rows), chat.format_conversations(df).where("conv_id = 1 AND part = 0").first()
     assert set(out) == {1, None, 8, 9}  # 7 is a prefix of the NULL conversation
-    assert out[1]["rendered"].startswith("<|im_start|>\n<|im_end|>\n")
+    assert first["rendered"] == "<|im_start|>\n<|im_end|>\n" and out[1]["part"] == 1 and out[1]["n_turns"] == 2
     assert out[None]["n_turns"] == 2
     assert "< |im_end|><|im_end|>" in out[8]["rendered"]
     assert out[9]["rendered"].index("\na<") < out[9]["rendered"].index("\nb<")

@@ -42,7 +42,7 @@ CASES = [
     "4451718024887799 27.65.93.188", "+1 (845) 555-3372 call +49 30 1234567 +1 23", "+" * 50 + "1" * 12,
     "card 4111111111111111 card 5500005555555559", "IBAN GB82 WEST 1234 5698 7654 32 end DE89370400440532013000",
     "my ssn is 123-45-6789, code 123-45-6789", "phone (212) 555-0147 or 212.555.0148, ref 212-555-0149",
-    "x" * 200_000 + "@", "7" * 100_000, ("a@b.c " * 700) + "4111111111111111", "1 " * 30_000, "+1" + "(" * 50_000,
+    "x" * 5_000 + "@", "7" * 5_000, ("a@b.c " * 700) + "4111111111111111", "1 " * 2_000, "+1" + "(" * 3_000,
 ]
 
 
@@ -85,6 +85,20 @@ def test_redaction_leaves_no_base_span_and_clean_text_alone(spark):
         assert not base_spans(text), i
 
 
+def test_long_texts_take_linear_time(spark):
+    import time
+
+    n = 1_000_000
+    junk = ["x" * n + "@", "7" * n, "1 " * (n // 2), "+1" + "(" * n, "a@b.c " * 5_000, "1.2.3.400 " * 5_000, "+" * n]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(junk)], "doc_id long, text string").repartition(4).cache()
+    df.count()
+    start = time.perf_counter()
+    found = {r["doc_id"]: r["n"] for r in pii.find_spans(df).select("doc_id", F.size("pii_base").alias("n")).collect()}
+    pii.redact(df).select(F.length("text")).collect()
+    assert time.perf_counter() - start < 60
+    assert found[4] == 5_000 and found[0] == found[1] == found[2] == found[3] == found[5] == 0
+
+
 def test_query_equals_brute_force(spark):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = REGISTRY["op8_pii"](spark, SF).collect()
