@@ -33,10 +33,12 @@ def _table(spark: SparkSession, database: str | None, name: str) -> str:
 def _write(df: DataFrame, path: str, fmt: str) -> int:
     from pyspark.sql import Observation
 
+    from .sources.tables import CSV_STAMPS
+
     obs = Observation("report")
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if fmt == "csv":
-        df.write.mode("overwrite").option("header", True).csv(path)
+        df.write.mode("overwrite").options(header=True, **CSV_STAMPS).csv(path)
     else:
         df.write.mode("overwrite").parquet(path)
     return obs.get["rows"]

@@ -20,19 +20,34 @@ from ..functions.rules import REVIEWER_MESSAGES
 from ..functions.sqltext import ident
 from ..plans.joins import lookup
 from . import validate as V
+from .extract import LABELS
 
 CONFIRM, FOLLOWUP = "confirm", "followup"
 # Audit action names, follow-up reason and outgoing status.
 ACTION_CONFIRMED = "confirmed"
 ACTION_FOLLOWUP = "followup_sent"
+ACTION_AUTO = "auto_approved"
+AUTO_REASON = "Passed all checks"
 FOLLOWUP_REASON = "Missing or invalid fields"
 OUTGOING_STATUS = "pending"
 
 
+# One example value for each field of the reply form.
+REPLY_EXAMPLES = {"sap_id": "SAP004711", "contact_name": "Robin Vale",
+                  "contact_email": "robin.vale@mail.example", "contact_phone": "(303) 555-0188"}
+
+
+def reply_form() -> str:
+    """A line per field, labelled as the extraction reads it (the longest label)."""
+    def label(field: str) -> str:
+        return LABELS[field].replace("(?:", "").replace(")?", "")
+    return "\n".join(f"{label(f)} {v}" for f, v in REPLY_EXAMPLES.items())
+
+
 @dataclass(frozen=True)
 class FollowupTemplate:
     """Wording of follow-up messages. ``body`` may use ``{first_name}``,
-    ``{account}`` and ``{issues}``; ``issue_line`` may use ``{field}`` and
+    ``{account}``, ``{issues}`` and ``{reply_form}``; ``issue_line`` may use ``{field}`` and
     ``{error}``."""
 
     subject: str = "More details needed for your account update request"
@@ -42,10 +57,7 @@ class FollowupTemplate:
         "Before we can make the change, please check the following:\n\n"
         "{issues}\n\n"
         "You can reply to this message with the details laid out like this:\n\n"
-        "SAP Account ID: SAP123456\n"
-        "Contact Name: First Last\n"
-        "Contact Email: name@example.com\n"
-        "Contact Phone: (555) 123-4567\n\n"
+        "{reply_form}\n\n"
         "We will finish the update as soon as we have them.\n\n"
         "Kind regards,\n"
         "Customer Service")
@@ -110,17 +122,38 @@ def decide(pending_rows: DataFrame, include_lookup_issue: bool = False) -> DataF
                F.lit(CONFIRM)).otherwise(F.lit(FOLLOWUP)))
 
 
+def with_choices(pending_rows: DataFrame, chosen: DataFrame | None) -> DataFrame:
+    """``pending_rows`` (one per id) with ``chosen_actor``, ``chosen_subject`` and
+    ``chosen_body``. Given ``chosen`` (``email_id`` and any of ``actor``,
+    ``subject``, ``body``), only the ids in it stay; of several choices for one
+    id the largest counts. Without it all rows stay, with no choices."""
+    names = ("actor", "subject", "body")
+    if chosen is None:
+        return pending_rows.withColumns({f"chosen_{n}": F.lit(None).cast("string") for n in names})
+    picked = chosen.where(F.col("email_id").isNotNull()).select(
+        F.col("email_id").alias("_ch_id"),
+        *[(F.nullif(F.col(n), F.lit("")) if n in chosen.columns else F.lit(None)).cast("string")
+          .alias(f"chosen_{n}") for n in names])
+    picked = picked.groupBy("_ch_id").agg(F.max(F.struct(*[f"chosen_{n}" for n in names])).alias("_ch"))
+    picked = picked.select("_ch_id", "_ch.*", F.lit(True).alias("_ch_hit"))
+    return lookup(pending_rows, picked, "email_id", "_ch_id").where("_ch_hit").drop("_ch_hit")
+
+
+def _chosen(df: DataFrame, name: str, default: Column) -> Column:
+    return F.coalesce(F.col(f"chosen_{name}"), default) if f"chosen_{name}" in df.columns else default
+
+
 def approved_rows(decisions: DataFrame, actor: str, as_of: Column,
                   body: str = "email_body") -> DataFrame:
     """One approved change per confirmed record (normalised id, name and
-    phone; the e-mail as given)."""
+    phone; the e-mail as given). ``decisions`` has the message bodies in ``body``."""
     return (decisions.where(F.col("decision") == CONFIRM)
             .select("email_id", F.col("final_sap_id").alias("sap_id"),
                     F.col("final_name").alias("contact_name"),
                     F.col("email_value").alias("contact_email"),
                     F.col("final_phone").alias("contact_phone"),
                     F.coalesce(F.col(body), F.lit("")).alias("source_email_body"),
-                    F.lit(actor).alias("approved_by"), as_of.alias("approved_at")))
+                    _chosen(decisions, "actor", F.lit(actor)).alias("approved_by"), as_of.alias("approved_at")))
 
 
 def confirm_actions(decisions: DataFrame, actor: str, as_of: Column) -> DataFrame:
@@ -132,7 +165,7 @@ def confirm_actions(decisions: DataFrame, actor: str, as_of: Column) -> DataFram
                            {"ignoreNullFields": "false"})
     return (decisions.where(F.col("decision") == CONFIRM)
             .select("email_id", F.lit(ACTION_CONFIRMED).alias("action"),
-                    F.lit(actor).alias("actor_email"),
+                    _chosen(decisions, "actor", F.lit(actor)).alias("actor_email"),
                     F.lit(None).cast("string").alias("old_values"),
                     new_values.alias("new_values"),
                     F.lit(None).cast("string").alias("reason"), as_of.alias("created_at")))
@@ -159,7 +192,8 @@ def followup_message(df: DataFrame, template: FollowupTemplate = DEFAULT_TEMPLAT
     """``subject`` and ``body`` from the issue list (field + error)."""
     lines = _lines(F.col(issues), template.issue_line, {"field": "field", "error": "error"})
     body = render(template.body, {"first_name": _greeting_name(template),
-                                  "account": _account_ref(template), "issues": lines})
+                                  "account": _account_ref(template), "issues": lines,
+                                  "reply_form": F.lit(reply_form())})
     return df.withColumns({"subject": F.lit(template.subject), "message_body": body})
 
 
@@ -167,8 +201,10 @@ def outgoing_rows(decisions: DataFrame, actor: str, as_of: Column,
                   template: FollowupTemplate = DEFAULT_TEMPLATE) -> DataFrame:
     """One outgoing message per follow-up, addressed to the sender."""
     return (followup_message(decisions.where(F.col("decision") == FOLLOWUP), template)
-            .select("email_id", F.col("sender").alias("to_email"), "subject",
-                    F.col("message_body").alias("body"), F.lit(actor).alias("created_by"),
+            .select("email_id", F.col("sender").alias("to_email"),
+                    _chosen(decisions, "subject", F.col("subject")).alias("subject"),
+                    _chosen(decisions, "body", F.col("message_body")).alias("body"),
+                    _chosen(decisions, "actor", F.lit(actor)).alias("created_by"),
                     as_of.alias("created_at"), F.lit(OUTGOING_STATUS).alias("status")))
 
 
@@ -180,11 +216,12 @@ def followup_actions(decisions: DataFrame, actor: str, as_of: Column,
                           lambda i: F.struct(i["field"].alias("field"), i["error"].alias("error")))
     old_values = F.to_json(F.struct(missing.alias("missing_fields")))
     new_values = F.to_json(F.struct(F.struct(F.col("sender").alias("to"),
-                                             F.lit(template.subject).alias("subject"))
+                                             _chosen(decisions, "subject", F.lit(template.subject))
+                                             .alias("subject"))
                                     .alias("followup_email")), {"ignoreNullFields": "false"})
     return (decisions.where(F.col("decision") == FOLLOWUP)
             .select("email_id", F.lit(ACTION_FOLLOWUP).alias("action"),
-                    F.lit(actor).alias("actor_email"), old_values.alias("old_values"),
+                    _chosen(decisions, "actor", F.lit(actor)).alias("actor_email"), old_values.alias("old_values"),
                     new_values.alias("new_values"), F.lit(FOLLOWUP_REASON).alias("reason"),
                     as_of.alias("created_at")))
 
@@ -202,12 +239,25 @@ def batch_approve(decisions: DataFrame, actor: str, as_of: Column,
     return approved_rows(decisions.where(F.col("validation_status") == "PASS"), actor, as_of, body)
 
 
+def auto_approvable(decisions: DataFrame) -> DataFrame:
+    """Decisions that need no reviewer: confirmed records whose pipeline checks
+    all passed (status PASS)."""
+    return decisions.where((F.col("decision") == CONFIRM) & (F.col("validation_status") == "PASS"))
+
+
+def auto_actions(decisions: DataFrame, actor: str, as_of: Column) -> DataFrame:
+    """Audit rows ``auto_approved``, with the approved values as JSON."""
+    return confirm_actions(auto_approvable(decisions), actor, as_of).withColumns(
+        {"action": F.lit(ACTION_AUTO), "reason": F.lit(AUTO_REASON)})
+
+
 def followup_from_errors(queue_rows: DataFrame, template: FollowupTemplate = DEFAULT_TEMPLATE,
                          errors: str = "errors") -> DataFrame:
     """Follow-up text from the queue's error array (NULL slots skipped)."""
     lines = _lines(F.array_compact(F.col(errors)), template.error_line, {"error": ""})
     body = render(template.body, {"first_name": _greeting_name(template),
-                                  "account": _account_ref(template), "issues": lines})
+                                  "account": _account_ref(template), "issues": lines,
+                                  "reply_form": F.lit(reply_form())})
     return queue_rows.select("email_id", F.col("sender").alias("to_email"),
                              F.lit(template.subject).alias("subject"), body.alias("body"))
 
@@ -216,12 +266,17 @@ CORRECTABLE = ("sap_id", "contact_name", "contact_email", "contact_phone")
 
 
 def merge_corrections(records: DataFrame, edits: DataFrame, key: str = "email_id",
-                      fields: tuple[str, ...] = CORRECTABLE) -> DataFrame:
+                      fields: tuple[str, ...] = CORRECTABLE, ts: str | None = None) -> DataFrame:
     """Reviewer edits win where given (non-NULL, non-empty); adds
-    ``changed_fields``. ``edits`` has one row per key (duplicates are merged
-    field by field, largest value first)."""
-    e = edits.groupBy(F.col(key).alias("_edit_key")).agg(
-        *[F.max(F.nullif(F.col(f), F.lit(""))).alias(f"_edit_{f}") for f in fields])
+    ``changed_fields``. Of several edits of one field the latest by ``ts``
+    counts (the largest text, without ``ts`` or at the same time)."""
+    def latest(f: str) -> Column:
+        value = F.nullif(F.col(f), F.lit(""))
+        if ts is None:
+            return F.max(value)
+        return F.max(F.when(value.isNotNull(), F.struct(F.col(ts), value.alias("v"))))["v"]
+
+    e = edits.groupBy(F.col(key).alias("_edit_key")).agg(*[latest(f).alias(f"_edit_{f}") for f in fields])
     joined = lookup(records, e, key, "_edit_key")
     merged = {f: F.coalesce(F.col(f"_edit_{f}"), F.col(f)) for f in fields}
     changed = F.array_compact(F.array(*[

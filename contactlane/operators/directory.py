@@ -24,8 +24,7 @@ def build_directory(ids: DataFrame, id_col: str = "sap_id", as_of=None) -> DataF
 
 def with_directory_flag(df: DataFrame, directory: DataFrame,
                         key: str = "normalized_sap_id", out: str = "sap_exists",
-                        directory_key: str = "sap_id",
-                        broadcast_max_rows: int | None = joins.BROADCAST_MAX_ROWS) -> DataFrame:
+                        directory_key: str = "sap_id") -> DataFrame:
     """``df`` plus ``out``: the (normalised) id is in the directory. Row count
     is preserved; a NULL id gives ``false``."""
-    return joins.exists_flag(df, directory, key, directory_key, out, broadcast_max_rows)
+    return joins.exists_flag(df, directory, key, directory_key, out)

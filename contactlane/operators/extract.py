@@ -2,7 +2,7 @@
 
 Three ways in, one output shape (``EXTRACTED`` plus ``request_type``):
 
-* :func:`extract_labelled` -- native ``regexp_extract`` over labelled text
+* :func:`extract_labelled` -- native cuts of labelled text
   (inline ``Name: ... SAP ID: ...`` or one label per line);
 * :func:`extract_with` -- any user batch extractor (e.g. a model client) run
   through ``mapInPandas``; a failing row yields an error, never a failed task;
@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from ..functions import rules as R
 from ..functions import textops as tx
 from ..functions.sqltext import ident, sql_string
+from ..session import ship_package
 
 # ---------------------------------------------------------------------------
 # Field labels recognised in message bodies, and what ends a
@@ -34,6 +35,7 @@ LABELS = {
     "request_type": r"Request Type:",
 }
 CLOSING_PHRASE = r"Thank you"
+LINE_BREAK = r"[\n\r]"
 DEFAULT_REQUEST_TYPE = "account_update"
 # ---------------------------------------------------------------------------
 
@@ -47,38 +49,17 @@ BAD_RESPONSE = "unparseable_response"
 _STOP = "|".join(LABELS.values()) + "|" + CLOSING_PHRASE
 
 
-def label_pattern(field: str) -> str:
-    """Regex whose group 1 is the value after ``field``'s label.
-
-    The value is taken lazily up to optional whitespace and the next label,
-    or up to a line break or the end; ``\\s*`` (not ``\\s+``) before the
-    next label keeps an empty field from swallowing its neighbour.
-    """
-    return "(?s)" + LABELS[field] + r"[ \t]*(.*?)(?:\s*(?:" + _STOP + r")|[\n\r]|$)"
-
-
-# Labels whose first match always starts at the first occurrence of a fixed
-# text (an optional "Contact " before it does not change the value).
-LABEL_TEXT = {"contact_name": "Name:", "contact_email": "Email:",
-              "contact_phone": "Phone:", "request_type": "Request Type:"}
-_VALUE_AFTER_LABEL = r"(?s)^[ \t]*(.*?)(?:\s*(?:" + _STOP + r")|[\n\r]|$)"
-
-
 def labelled_value_sql(body: str, field: str) -> str:
     """The stripped value after ``field``'s first label, NULL when absent or empty.
 
-    For a label with a fixed text, ``instr`` finds it and an anchored regex
-    reads only the value after it (same result as the full pattern, without
-    a regex scan of the whole body); the account-id label uses the full
-    pattern, since its suffix can occur in other text.
+    Two cuts, each one pass over the text: the text after the first label, then
+    what stands before the next label, the closing phrase or a line break.
+    Nothing is retried, so long runs of blanks or half labels cost no more than
+    other text.
     """
-    if field in LABEL_TEXT:
-        text = sql_string(LABEL_TEXT[field])
-        tail = f"substring({body}, instr({body}, {text}) + {len(LABEL_TEXT[field])})"
-        raw = f"regexp_extract({tail}, {sql_string(_VALUE_AFTER_LABEL)}, 1)"
-        return f"nullif(CASE WHEN instr({body}, {text}) > 0 THEN {tx.strip(raw)} END, '')"
-    raw = f"regexp_extract({body}, {sql_string(label_pattern(field))}, 1)"
-    return f"nullif({tx.strip(raw)}, '')"
+    after = f"get(split({body}, {sql_string(LABELS[field])}, 2), 1)"
+    value = f"get(split({after}, {sql_string(_STOP + '|' + LINE_BREAK)}, 2), 0)"
+    return f"nullif({tx.strip(value)}, '')"
 
 
 def extract_struct_sql(body: str) -> str:
@@ -126,14 +107,20 @@ def extraction_outcome(extracted: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_emails")))
 
 
-def parse_responses(df: DataFrame, response: str = "response") -> DataFrame:
-    """Fields of a JSON response; bad or missing JSON gives NULL fields
-    and an error, never a failed query. JSON numbers come back as text."""
-    parsed = F.try_parse_json(F.col(response))
+def parse_responses(df: DataFrame, response: str = "response",
+                    error_message: str | None = None) -> DataFrame:
+    """Fields of a response, JSON text or VARIANT; bad or missing JSON gives
+    NULL fields and an error, never a failed query. JSON numbers come back as
+    text. ``error_message`` names a column with the extractor's own error per
+    row, which is kept as ``extraction_error`` where it is given."""
+    variant = isinstance(df.schema[response].dataType, T.VariantType)
+    parsed = F.col(response) if variant else F.try_parse_json(F.col(response))
     fields = {f: F.try_variant_get(parsed, f"$.{f}", "string") for f in EXTRACTION_FIELDS}
     fields["request_type"] = F.coalesce(fields["request_type"], F.lit(DEFAULT_REQUEST_TYPE))
     error = (F.when(F.col(response).isNull(), F.lit(NO_RESPONSE))
              .when(parsed.isNull(), F.lit(BAD_RESPONSE)))
+    if error_message:
+        error = F.coalesce(F.nullif(F.col(error_message), F.lit("")), error)
     return df.withColumns(fields | {"extraction_error": error})
 
 
@@ -141,45 +128,59 @@ _EXTRACTOR_OUT = T.StructType([T.StructField(f, T.StringType(), True) for f in E
                               + [T.StructField("extraction_error", T.StringType(), True)])
 
 
+def _aligned(result: pd.DataFrame, bodies: pd.Series) -> pd.DataFrame:
+    """The extractor's rows in the order of ``bodies``: one row for each body,
+    matched by the input's index; anything else is an error of the call."""
+    if len(result) != len(bodies):
+        raise ValueError(f"extractor returned {len(result)} rows for {len(bodies)} bodies")
+    if not result.index.equals(bodies.index):
+        if not result.index.is_unique or len(result.index.difference(bodies.index)):
+            raise ValueError("extractor returned rows with another index than its input")
+        result = result.reindex(bodies.index)
+    out = pd.DataFrame({f: result[f] if f in result else None for f in EXTRACTION_FIELDS}, index=bodies.index)
+    out["extraction_error"] = result["extraction_error"] if "extraction_error" in result else None
+    out["request_type"] = out["request_type"].where(out["request_type"].notna(), DEFAULT_REQUEST_TYPE)
+    return out.astype(object).where(out.notna(), None)
+
+
+def _extracted(extractor: Callable[[pd.Series], pd.DataFrame], bodies: pd.Series) -> pd.DataFrame:
+    """Run the extractor; a failing call is halved until the failing rows are alone."""
+    try:
+        return _aligned(extractor(bodies), bodies)
+    except Exception as exc:  # noqa: BLE001 - reported per row
+        if len(bodies) > 1:
+            half = len(bodies) // 2
+            return pd.concat([_extracted(extractor, bodies.iloc[:half].reset_index(drop=True)),
+                              _extracted(extractor, bodies.iloc[half:].reset_index(drop=True))],
+                             ignore_index=True)
+        row = {f: None for f in EXTRACTION_FIELDS} | {"extraction_error": f"{type(exc).__name__}: {exc}"}
+        return pd.DataFrame([row], dtype=object)
+
+
 def extract_with(df: DataFrame, extractor: Callable[[pd.Series], pd.DataFrame],
                  body: str = "body") -> DataFrame:
     """X1(b): run a batch ``extractor`` (Series of bodies -> DataFrame with
     the extraction fields) over Arrow batches of each partition.
 
-    When a batch fails, its rows are retried one by one so only the failing
-    rows get ``extraction_error`` (the exception text) and NULL fields.
+    The extractor answers with one row per body, under the body's index (in any
+    order); an ``extraction_error`` it gives for a row is kept. A call that
+    fails, or answers with too few, too many or foreign rows, is repeated in
+    halves, so only the rows at fault get ``extraction_error`` (the exception
+    text) and NULL fields.
     """
     out_schema = T.StructType(df.schema.fields + [f for f in _EXTRACTOR_OUT.fields
                                                   if f.name not in df.columns])
-    field_names = list(EXTRACTION_FIELDS)
-
-    def shape(result: pd.DataFrame, n: int) -> pd.DataFrame:
-        result = result.reset_index(drop=True)
-        out = pd.DataFrame({f: result[f] if f in result else [None] * n for f in field_names})
-        out["request_type"] = out["request_type"].where(out["request_type"].notna(),
-                                                        DEFAULT_REQUEST_TYPE)
-        return out.astype(object).where(out.notna(), None)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            bodies = pdf[body].reset_index(drop=True)
-            try:
-                fields = shape(extractor(bodies), len(bodies))
-                fields["extraction_error"] = None
-            except Exception:  # isolate the failing rows
-                rows = []
-                for one in bodies:
-                    try:
-                        r = shape(extractor(pd.Series([one])), 1).iloc[0].to_dict()
-                        r["extraction_error"] = None
-                    except Exception as exc:  # noqa: BLE001 - reported per row
-                        r = {f: None for f in field_names}
-                        r["extraction_error"] = f"{type(exc).__name__}: {exc}"
-                    rows.append(r)
-                fields = pd.DataFrame(rows, columns=field_names + ["extraction_error"])
-            base = pdf.drop(columns=[c for c in fields.columns if c in pdf.columns])
-            yield pd.concat([base.reset_index(drop=True), fields], axis=1)[out_schema.names]
-
+            base = pdf.reset_index(drop=True)
+            if base.empty:
+                continue
+            fields = _extracted(extractor, base[body])
+            yield pd.concat([base.drop(columns=[c for c in fields if c in base]), fields],
+                            axis=1)[out_schema.names]
+
+    ship_package(df.sparkSession)
     return df.mapInPandas(run, out_schema)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..plans import joins
 from .routing import FAIL, NEEDS_REVIEW, PASS
 
+# Fixed value: the columns of the pending list, in order.
 PENDING_COLUMNS = ("email_id", "sender", "validation_status", "sap_id", "contact_name",
                    "contact_email", "contact_phone", "normalized_sap_id", "normalized_name",
                    "normalized_phone", "sap_id_valid", "name_valid", "email_valid",
@@ -25,14 +26,13 @@ STATUS_BADGES = {
 # ---------------------------------------------------------------------------
 
 
-def pending(queue: DataFrame, actions: DataFrame,
-            broadcast_max_rows: int | None = joins.BROADCAST_MAX_ROWS) -> DataFrame:
+def pending(queue: DataFrame, actions: DataFrame) -> DataFrame:
     """Queue rows no action has been taken on (anti-join on ``email_id``).
 
     The action log is reduced to distinct ids with partial aggregation before
     the shuffle; a queue row with a NULL id is kept.
     """
-    return joins.anti_join(queue, actions, "email_id", "email_id", broadcast_max_rows)
+    return joins.anti_join(queue, actions, "email_id", "email_id")
 
 
 def search_filter(query: str | None, mode: str = "contains",
@@ -101,18 +101,17 @@ def auto_approve_view(queue: DataFrame) -> DataFrame:
 
 
 def with_body(rows: DataFrame, emails: DataFrame, body: str = "body",
-              out: str = "email_body", broadcast_max_rows: int | None = None) -> DataFrame:
+              out: str = "email_body") -> DataFrame:
     """The original body per row (one body per id -- the smallest if an
     id repeats; NULL when unknown).
 
     Only bodies of the ids in ``rows`` are kept before they are aggregated
-    and joined. ``rows`` is usually derived (pending rows), so its size is
-    left to AQE's runtime statistics rather than counted up front.
+    and joined, so call it on the rows that need a body, not on all.
     """
     wanted = joins.semi_join(emails.select(F.col("email_id").alias("_b_id"), body),
-                             rows, "_b_id", "email_id", broadcast_max_rows)
+                             rows, "_b_id", "email_id")
     bodies = joins.one_per_key(wanted, "_b_id", body, out)
-    return joins.lookup(rows, bodies, "email_id", "_b_id", broadcast_max_rows)
+    return joins.lookup(rows, bodies, "email_id", "_b_id")
 
 
 def _lookup(mapping: dict[str, str]) -> Column:

@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.sqlfuncs import register_functions
 
 
-def review_records_sql(emails_table: str, prefix: str = "fn_") -> str:
+def review_records_sql(emails_table: str, directory_table: str, prefix: str = "fn_") -> str:
     """One statement: each message's fields are extracted and checked, the id
     is looked up, then the record is routed and packed; the packed record is
-    unpacked into the review columns."""
+    unpacked into the review columns. The lookup is a join with the distinct
+    ids; a message without a valid id gets a key of its own that no account
+    has, so that such messages spread over all partitions."""
     f = prefix
     return f"""
 WITH checked AS (
@@ -19,7 +21,10 @@ WITH checked AS (
          {f}validate_email(x.contact_email) AS v_mail, {f}validate_phone(x.contact_phone) AS v_tel
   FROM (SELECT email_id, sender, {f}extract_email(body) AS x FROM {emails_table})
 ),
-known AS (SELECT *, {f}sap_exists(v_id.normalized) AS in_directory FROM checked)
+accounts AS (SELECT DISTINCT upper(sap_id) AS account FROM {directory_table} WHERE sap_id IS NOT NULL),
+known AS (SELECT c.*, account IS NOT NULL AS in_directory
+          FROM checked c LEFT JOIN accounts
+            ON account = coalesce(upper(v_id.normalized), concat('no id ', xxhash64(email_id, sender))))
 SELECT rec.email_id, rec.sender, rec.validation_status, rec.queue_type, rec.normalized_sap_id,
        rec.normalized_name, rec.contact_email, rec.normalized_phone, rec.sap_exists
 FROM (
@@ -40,4 +45,4 @@ def review_records(spark: SparkSession, emails: DataFrame, directory: DataFrame,
     emails.createOrReplaceTempView("_cl_emails")
     directory.createOrReplaceTempView("_cl_directory")
     register_functions(spark, "_cl_directory", prefix)
-    return spark.sql(review_records_sql("_cl_emails", prefix))
+    return spark.sql(review_records_sql("_cl_emails", "_cl_directory", prefix))

@@ -1,33 +1,25 @@
 """Join strategies that stay safe when one key holds a large share of rows.
 
-* A side is broadcast only after an exact count proves its row count is at
-  most ``max_rows``. The count reads no columns and combines per-partition
-  counts, so it costs one pruned scan of that side and never funnels rows
-  into one task (``limit(n).count()`` would move up to n rows per partition
-  into a single task).
-* A pre-count is only worth it for a side that is a plain scan. For a side
-  derived by joins or aggregates (``semi_join``/``lookup`` default) counting
-  would recompute it, so the join is planned as a shuffle and AQE switches it
-  to a broadcast at run time when the side's exact shuffle size is small.
-* Otherwise the join shuffles; rows whose key is NULL -- they can never match
-  -- are spread over all partitions with a deterministic salt instead of all
-  hashing to one partition. A hot non-NULL key (say a third of all rows) is
-  split by AQE's skew join: both join inputs are kept as plain shuffles,
-  which that rule needs.
+Nothing is counted and nothing runs while a plan is built: joins are planned as
+shuffles, and AQE turns one into a broadcast at run time when the exact size of
+a side's shuffle is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``
+(scans are judged by their size in bytes). Beyond that:
+
+* rows whose key is NULL -- they can never match -- are spread over all
+  partitions with a deterministic salt instead of all hashing to one partition;
+* a hot non-NULL key (say a third of all rows) is split by AQE's skew join: both
+  join inputs are kept as plain shuffles, which that rule needs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest number of key rows broadcast to every executor (a few tens of MB).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows."""
-    return df.count() <= max_rows
+# Columns that may hold long texts; the salt of a NULL key never reads them.
+LONG_COLUMNS = ("body", "email_body", "message_body", "source_email_body", "raw", "response", "text")
+SALT_COLUMNS = 4
 
 
 def salt_partitions(df: DataFrame) -> int:
@@ -35,10 +27,14 @@ def salt_partitions(df: DataFrame) -> int:
 
 
 def null_key_salt(df: DataFrame, key: str, buckets: int) -> Column:
-    """0 for rows with a key; 1..buckets, from a hash of the row, for NULL keys."""
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    return (F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(buckets)) + 1)
-            .otherwise(F.lit(0)).cast("long"))
+    """0 for rows with a key; 1..buckets, from a hash of a few short columns of
+    the row, for NULL keys."""
+    short = [f.name for f in df.schema.fields
+             if f.name != key and f.name not in LONG_COLUMNS
+             and isinstance(f.dataType, (T.StringType, T.NumericType, T.BooleanType, T.DateType,
+                                         T.TimestampType, T.TimestampNTZType))]
+    salt = F.pmod(F.xxhash64(*short[:SALT_COLUMNS]), F.lit(buckets)) + 1 if short else F.lit(1)
+    return F.when(F.col(key).isNull(), salt).otherwise(F.lit(0)).cast("long")
 
 
 def _key_type(df: DataFrame, key: str) -> str:
@@ -64,72 +60,43 @@ def salted_key(df: DataFrame, key: str) -> Column:
             .cast(_key_type(df, key)))
 
 
-def exists_flag(left: DataFrame, keys: DataFrame, left_key: str, key: str, out: str,
-                broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+def _distinct_keys(left: DataFrame, keys: DataFrame, left_key: str, key: str, out: str) -> DataFrame:
+    """The key side: distinct raw keys (map-side first, so hot keys collapse
+    before the shuffle), then an exchange of its own into the join, which is
+    what AQE needs to split a hot key of the left side."""
+    present = keys.where(F.col(key).isNotNull())
+    return present.select(F.col(key)).distinct().select(
+        key_struct(present, key, _key_type(left, left_key)).alias(out))
+
+
+def exists_flag(left: DataFrame, keys: DataFrame, left_key: str, key: str, out: str) -> DataFrame:
     """``left`` plus boolean ``out``: does ``left[left_key]`` occur in ``keys[key]``?
 
-    Keeps every left row exactly once (the key side is made distinct first,
-    with map-side partial aggregation, so hot keys collapse before the
-    shuffle). A NULL left key gives ``false``.
+    Keeps every left row exactly once. A NULL left key gives ``false``.
     """
-    present = keys.where(F.col(key).isNotNull())
-    if broadcast_max_rows and row_count_at_most(keys.select(key), broadcast_max_rows):
-        hits = present.select(F.col(key).alias("_ex_key")).distinct()
-        joined = left.join(F.broadcast(hits.withColumn("_ex_hit", F.lit(True))),
-                           F.col(left_key) == F.col("_ex_key"), "left").drop("_ex_key")
-    else:
-        # The key side is made distinct on the raw key and then gets its own
-        # exchange into the join: AQE can only split a skewed (hot-key) left
-        # partition when both join inputs are plain shuffles.
-        kt = _key_type(left, left_key)
-        hits = (present.select(F.col(key)).distinct()
-                .select(key_struct(present, key, kt).alias("_ex_rkey")))
-        salted = left.withColumn("_ex_lkey", salted_key(left, left_key))
-        joined = salted.join(hits.withColumn("_ex_hit", F.lit(True)),
-                             F.col("_ex_lkey") == F.col("_ex_rkey"), "left")
-        joined = joined.drop("_ex_lkey", "_ex_rkey")
+    hits = _distinct_keys(left, keys, left_key, key, "_ex_rkey").withColumn("_ex_hit", F.lit(True))
+    salted = left.withColumn("_ex_lkey", salted_key(left, left_key))
+    joined = salted.join(hits, F.col("_ex_lkey") == F.col("_ex_rkey"), "left").drop("_ex_lkey", "_ex_rkey")
     return joined.withColumn(out, F.coalesce(F.col("_ex_hit"), F.lit(False))).drop("_ex_hit")
 
 
-def anti_join(left: DataFrame, keys: DataFrame, left_key: str, key: str,
-              broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Rows of ``left`` whose key is not among ``keys[key]`` (NULL keys are kept).
-
-    The key side is de-duplicated with partial aggregation before the
-    shuffle; NULL left keys are spread like in :func:`exists_flag`.
-    """
-    present = keys.where(F.col(key).isNotNull())
-    if broadcast_max_rows and row_count_at_most(keys.select(key), broadcast_max_rows):
-        seen = present.select(F.col(key).alias("_aj_key")).distinct()
-        return left.join(F.broadcast(seen), F.col(left_key) == F.col("_aj_key"), "left_anti")
-    seen = (present.select(F.col(key)).distinct()
-            .select(key_struct(present, key, _key_type(left, left_key)).alias("_aj_rkey")))
+def anti_join(left: DataFrame, keys: DataFrame, left_key: str, key: str) -> DataFrame:
+    """Rows of ``left`` whose key is not among ``keys[key]`` (NULL keys are kept)."""
+    seen = _distinct_keys(left, keys, left_key, key, "_aj_rkey")
     salted = left.withColumn("_aj_lkey", salted_key(left, left_key))
-    return (salted.join(seen, F.col("_aj_lkey") == F.col("_aj_rkey"), "left_anti")
-            .drop("_aj_lkey"))
-
+    return salted.join(seen, F.col("_aj_lkey") == F.col("_aj_rkey"), "left_anti").drop("_aj_lkey")
 
-def semi_join(left: DataFrame, keys: DataFrame, left_key: str, key: str,
-              broadcast_max_rows: int | None = None) -> DataFrame:
-    """Rows of ``left`` whose key occurs in ``keys[key]`` (a filter, no duplication).
 
-    With a provably small key set this is a map-side filter against a
-    broadcast set, so only matching rows reach later shuffles.
-    """
-    wanted = keys.where(F.col(key).isNotNull()).select(F.col(key).alias("_sj_key")).distinct()
-    if broadcast_max_rows and row_count_at_most(keys.select(key), broadcast_max_rows):
-        wanted = F.broadcast(wanted)
-    return left.join(wanted, F.col(left_key) == F.col("_sj_key"), "left_semi")
+def semi_join(left: DataFrame, keys: DataFrame, left_key: str, key: str) -> DataFrame:
+    """Rows of ``left`` whose key occurs in ``keys[key]`` (a filter, no duplication)."""
+    wanted = _distinct_keys(left, keys, left_key, key, "_sj_rkey")
+    salted = left.where(F.col(left_key).isNotNull()).withColumn("_sj_lkey", salted_key(left, left_key))
+    return salted.join(wanted, F.col("_sj_lkey") == F.col("_sj_rkey"), "left_semi").drop("_sj_lkey")
 
 
-def lookup(left: DataFrame, right: DataFrame, left_key: str, key: str,
-           broadcast_max_rows: int | None = None) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, left_key: str, key: str) -> DataFrame:
     """Left join of ``right`` (one row per ``key``) onto ``left``: every left
-    row once, right's other columns NULL when there is no match. NULL left
-    keys are spread over partitions when the join shuffles."""
-    if broadcast_max_rows and row_count_at_most(right, broadcast_max_rows):
-        r = F.broadcast(right.withColumnRenamed(key, "_lk_key"))
-        return left.join(r, F.col(left_key) == F.col("_lk_key"), "left").drop("_lk_key")
+    row once, right's other columns NULL when there is no match."""
     r = right.withColumn("_lk_rkey", key_struct(right, key, _key_type(left, left_key))).drop(key)
     salted = left.withColumn("_lk_lkey", salted_key(left, left_key))
     return (salted.join(r, F.col("_lk_lkey") == F.col("_lk_rkey"), "left")
@@ -139,3 +106,13 @@ def lookup(left: DataFrame, right: DataFrame, left_key: str, key: str,
 def one_per_key(df: DataFrame, key: str, value: str, out: str | None = None) -> DataFrame:
     """One ``value`` per ``key`` (the smallest), partial-aggregated before the shuffle."""
     return df.groupBy(key).agg(F.min(value).alias(out or value))
+
+
+def one_row_per_key(df: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
+    """One row per non-NULL ``key``: the largest by ``order``, then by the other
+    columns in their order. A plain aggregate (max of a struct)."""
+    first = [c for c in order if c in df.columns]
+    rest = [c for c in df.columns if c not in first and c != key]
+    best = F.max(F.struct(*first, *rest)).alias("_best")
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(best).select(
+        *[F.col(key) if c == key else F.col(f"_best.{c}").alias(c) for c in df.columns])

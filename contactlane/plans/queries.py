@@ -7,8 +7,10 @@ engines can compare them; timestamps are the fixed run stamp or data times.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from ..operators import routing as G
 from ..operators import validate as V
 from ..sources import fixtures as fx
 from ..sources import tables
+from ..streaming.intake_stream import start_intake_stream
 from . import composed_sql, intake
 
 ACTOR = "reviewer@example.com"
@@ -62,9 +65,8 @@ def queue_direct(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queue_extracted(spark: SparkSession, d: str) -> DataFrame:
-    """The intake's output table, as the review side reads it (written once)."""
-    return tables.materialize(
-        intake.queue_rows(fx.emails(spark, d), directory(spark, d), as_of()), "review_queue")
+    """The intake's queue of the fixture e-mails (lazy; one consumer)."""
+    return intake.queue_rows(fx.emails(spark, d), directory(spark, d), as_of())
 
 
 def pending_extracted(spark: SparkSession, d: str) -> DataFrame:
@@ -72,9 +74,33 @@ def pending_extracted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def decided(spark: SparkSession, d: str) -> DataFrame:
-    """Decisions feed several outputs: computed once and written under the checkpoint folder."""
-    return tables.materialize(intake.decisions(queue_extracted(spark, d), fx.actions(spark, d),
-                                               fx.emails(spark, d)), "decisions")
+    """Decisions on every pending id, without message bodies."""
+    return intake.decisions(queue_extracted(spark, d), fx.actions(spark, d))
+
+
+def decided_once(spark: SparkSession, d: str) -> DataFrame:
+    """Decisions that two parts of one plan read: written under the checkpoint folder."""
+    return tables.materialize(decided(spark, d), "decisions")
+
+
+def corrected_decisions(spark: SparkSession, d: str) -> DataFrame:
+    """Decisions on the pending records after the reviewers' corrections."""
+    merged = D.merge_corrections(pending_extracted(spark, d), fx.corrections(spark, d))
+    return tables.materialize(D.decide(merged.drop("changed_fields")), "corrected-decisions")
+
+
+def field_reader(bodies: pd.Series) -> pd.DataFrame:
+    """A stand-in for a model client: finds values by their shape, answers in
+    reverse order under its input's index, reports its own errors, and fails as
+    a whole on a body that it can't read."""
+    if bodies.str.contains("Cher", regex=False).any():
+        raise ValueError("unreadable body")
+    late = bodies.str.contains("no form attached", regex=False)
+    shapes = {"sap_id": r"(SAP[0-9]{6})", "contact_email": r"(user[0-9]+@example\.org)",
+              "contact_phone": r"([0-9]{3}\.555\.[0-9]{4})"}
+    out = pd.DataFrame({f: bodies.str.extract(p)[0].where(~late) for f, p in shapes.items()}, index=bodies.index)
+    out["extraction_error"] = late.map({True: "model timeout", False: None})
+    return out.iloc[::-1]
 
 
 # -- extraction ---------------------------------------------------------------
@@ -95,6 +121,18 @@ def variant_response_fields(spark, d):
         "email_id", *X.EXTRACTION_FIELDS, "extraction_error")
 
 
+@query
+def extractor_fields(spark, d):
+    return X.extract_with(fx.emails(spark, d).select("email_id", "sender", "body"), field_reader).select(
+        "email_id", *X.EXTRACTION_FIELDS, "extraction_error")
+
+
+@query
+def variant_column_fields(spark, d):
+    rows = fx.responses(spark, d).withColumn("response", F.try_parse_json("response"))
+    return X.parse_responses(rows).select("email_id", *X.EXTRACTION_FIELDS, "extraction_error")
+
+
 # -- field rules --------------------------------------------------------------
 
 def _single(df: DataFrame, column: str, normalized: bool) -> DataFrame:
@@ -168,6 +206,15 @@ def directory_exists_sqlfunc(spark, d):
               FROM _q_fields)""")
 
 
+@query
+def null_flag_routing(spark, d):
+    rows = routed_direct(spark, d)
+    gone = {f: F.when(F.expr(f"c_custkey % 5 = {i}"), F.lit(None)).otherwise(F.col(f))
+            for i, f in enumerate((*G.FLAGS, "sap_exists"))}
+    return G.route(rows.drop("validation_status", "queue_type").withColumns(gone)).select(
+        "email_id", *G.FLAGS, "sap_exists", "validation_status", "queue_type")
+
+
 # -- routing and queue --------------------------------------------------------
 
 @query
@@ -186,6 +233,11 @@ def review_queue(spark, d):
     return queue_direct(spark, d).withColumn("errors", errors_text("errors"))
 
 
+@query
+def review_record_packed(spark, d):
+    return G.review_record(queue_direct(spark, d)).select("review_record.*")
+
+
 @query
 def review_errors_positional(spark, d):
     return queue_direct(spark, d).select(
@@ -257,7 +309,7 @@ def decisions(spark, d):
 
 @query
 def approved_changes(spark, d):
-    return D.approved_rows(decided(spark, d), ACTOR, as_of())
+    return intake.approved(decided_once(spark, d), fx.emails(spark, d), ACTOR, as_of())
 
 
 @query
@@ -277,7 +329,36 @@ def followup_actions(spark, d):
 
 @query
 def batch_approve(spark, d):
-    return D.batch_approve(decided(spark, d), ACTOR, as_of())
+    dec = D.auto_approvable(decided_once(spark, d))
+    return intake.approved(dec, fx.emails(spark, d), ACTOR, as_of())
+
+
+@query
+def chosen_decisions(spark, d):
+    dec = intake.decisions(queue_extracted(spark, d), fx.actions(spark, d), fx.choices(spark, d))
+    return dec.select("email_id", "decision", F.coalesce("chosen_actor", F.lit(ACTOR)).alias("actor"))
+
+
+@query
+def edited_followups(spark, d):
+    dec = intake.decisions(queue_extracted(spark, d), fx.actions(spark, d), fx.choices(spark, d))
+    return D.outgoing_rows(dec, ACTOR, as_of())
+
+
+@query
+def corrected_approvals(spark, d):
+    return intake.approved(corrected_decisions(spark, d), fx.emails(spark, d), ACTOR, as_of())
+
+
+@query
+def auto_approved(spark, d):
+    dec = D.auto_approvable(corrected_decisions(spark, d))
+    return intake.approved(dec, fx.emails(spark, d), ACTOR, as_of())
+
+
+@query
+def auto_approved_actions(spark, d):
+    return D.auto_actions(corrected_decisions(spark, d), ACTOR, as_of())
 
 
 @query
@@ -311,6 +392,16 @@ def latest_followup(spark, d):
     return A.latest_per_key(acts, "email_id", "created_at", ["actor_email"], tie=("event_id",))
 
 
+@query
+def latest_followup_text(spark, d):
+    return A.latest_followup(fx.outgoing(spark, d)).select("email_id", "created_at", "subject", "body")
+
+
+@query
+def followup_list_timed(spark, d):
+    return A.followup_list(fx.outgoing(spark, d), limit=TOPK, tie=("email_id", "subject", "created_by"))
+
+
 @query
 def turnaround(spark, d):
     return A.turnaround(queue_extracted(spark, d), fx.actions(spark, d), tie="event_id")
@@ -328,6 +419,85 @@ def new_since(spark, d):
                        F.expr(f"TIMESTAMP_NTZ '{SINCE}'"), ["action"])
 
 
+# -- jobs that write, read back ---------------------------------------------------
+
+def sink_folder(spark: SparkSession, name: str) -> str:
+    return f"{tables.materialized_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def reviewed_table(spark: SparkSession, d: str, table: str) -> DataFrame:
+    """One of the review's output tables after two runs over an empty log (the
+    second adds nothing)."""
+    db = f"sink_{uuid.uuid4().hex[:12]}"
+    path = sink_folder(spark, "review")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{path}/db'")
+    tables.ensure_tables(spark, path, database=db)
+    names = [f"{db}.{t}" for t in ("approved_changes", "outgoing_emails", "review_actions")]
+    queue = tables.materialize(queue_extracted(spark, d), "review_queue")
+    for _ in range(2):
+        intake.run_review(queue, fx.emails(spark, d), ACTOR, as_of(), *names)
+    return spark.table(f"{db}.{table}")
+
+
+@query
+def sink_directory(spark, d):
+    path = sink_folder(spark, "directory")
+    intake.run_directory_refresh(fx.emails(spark, d).select("sap_id"), path, as_of())
+    return spark.read.parquet(path)
+
+
+@query
+def sink_review_queue(spark, d):
+    path = sink_folder(spark, "queue")
+    intake.run_intake(fx.emails(spark, d), directory(spark, d), path, as_of())
+    return tables.read_queue(spark, path).withColumn("errors", errors_text("errors"))
+
+
+@query
+def sink_catalog_queue(spark, d):
+    name = f"queue_{uuid.uuid4().hex[:12]}"
+    tables.save_table(queue_extracted(spark, d), name, sink_folder(spark, name))
+    return spark.table(name).withColumn("errors", errors_text("errors"))
+
+
+@query
+def intake_counts(spark, d):
+    counts = intake.run_intake(fx.emails(spark, d), directory(spark, d), sink_folder(spark, "queue"), as_of())
+    return spark.createDataFrame(sorted(counts.items()), "measure string, n long")
+
+
+@query
+def sink_approved_changes(spark, d):
+    return reviewed_table(spark, d, "approved_changes")
+
+
+@query
+def sink_outgoing_emails(spark, d):
+    return reviewed_table(spark, d, "outgoing_emails")
+
+
+@query
+def sink_review_actions(spark, d):
+    return reviewed_table(spark, d, "review_actions").drop("action_date")
+
+
+@query
+def sink_audit_csv(spark, d):
+    path = sink_folder(spark, "audit-csv")
+    A.export_audit_log(fx.actions(spark, d), path, tie=("event_id",))
+    return spark.read.options(header=True, **tables.CSV_STAMPS).schema(
+        "email_id string, action string, actor_email string, created_at timestamp_ntz, reason string").csv(path)
+
+
+@query
+def stream_queue(spark, d):
+    source, out = sink_folder(spark, "incoming"), sink_folder(spark, "stream-queue")
+    fx.emails(spark, d).select("email_id", "sender", "body", "sap_id").repartition(3, "email_id").write.parquet(source)
+    start_intake_stream(spark, source, directory(spark, d), out, sink_folder(spark, "stream-state"),
+                        as_of=as_of(), max_files_per_trigger=1).awaitTermination()
+    return tables.read_queue(spark, out).withColumn("errors", errors_text("errors"))
+
+
 # -- documents ------------------------------------------------------------------
 
 @query

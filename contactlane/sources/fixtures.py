@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .tables import read_table, spread
+from .tables import read_table
 
 # Fixed stamp for every run-time timestamp, so results can be compared.
 AS_OF = "2024-01-01 00:00:00"
@@ -50,7 +50,7 @@ def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
                     WHEN 4 THEN '   ' WHEN 5 THEN 'call me'
                     ELSE CAST(201 + c_custkey % 700 AS STRING) || '.555.'
                       || lpad(CAST(c_custkey % 10000 AS STRING), 4, '0') END AS contact_phone
-        FROM {customer}""", customer=spread(read_table(spark, sf_dir, "customer")))
+        FROM {customer}""", customer=read_table(spark, sf_dir, "customer"))
 
 
 def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("""
         SELECT email_id, sender, sap_id, contact_name, contact_email, contact_phone, c_custkey,
           CASE c_custkey % 3
-            WHEN 0 THEN 'Hello, Please update my account information.'
+            WHEN 0 THEN 'Good day, these are my new contact details.'
                  || coalesce(' Name: ' || contact_name, '') || coalesce(' SAP ID: ' || sap_id, '')
                  || coalesce(' Email: ' || contact_email, '')
                  || coalesce(' Phone: ' || contact_phone, '') || ' Thank you!'
@@ -72,24 +72,25 @@ def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def directory_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw account ids known to the directory (some customers left out)."""
+    """Raw account ids known to the directory: customers with a finished order
+    (the one rule, which leaves some customers out)."""
     return spark.sql("""
         SELECT 'SAP' || lpad(CAST(o_custkey AS STRING), 6, '0') AS sap_id
-        FROM {orders} WHERE o_orderpriority <> '5-LOW' AND o_orderstatus = 'F'""",
+        FROM {orders} WHERE o_orderstatus = 'F'""",
                      orders=read_table(spark, sf_dir, "orders"))
 
 
 def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``fx_actions``: the review action log (many rows per e-mail)."""
+    """``fx_actions``: the review action log (many rows per e-mail), one row for
+    each event. Customers without events have no action yet."""
     return spark.sql("""
         SELECT 'EMAIL-' || lpad(CAST(user_id AS STRING), 8, '0') AS email_id,
-               CASE WHEN event_type = 'purchase' THEN 'confirmed' ELSE 'followup_sent' END AS action,
+               CASE event_type WHEN 'purchase' THEN 'confirmed' WHEN 'error' THEN 'followup_sent'
+                    ELSE event_type END AS action,
                'reviewer' || CAST(event_id % 7 AS STRING) || '@example.com' AS actor_email,
-               CASE WHEN event_type = 'purchase' THEN NULL
-                    ELSE 'Missing or invalid fields' END AS reason,
+               CASE WHEN event_type = 'error' THEN 'Missing or invalid fields' END AS reason,
                ts AS created_at, event_id
-        FROM {events} WHERE event_type IN ('purchase', 'error') AND event_id % 5 = 0""",
-                     events=read_table(spark, sf_dir, "events"))
+        FROM {events}""", events=read_table(spark, sf_dir, "events"))
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,5 +119,28 @@ def corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM {customer} WHERE c_custkey % 7 = 0""", customer=read_table(spark, sf_dir, "customer"))
 
 
+def choices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reviewer's picks: two e-mails in three, some with an edited message."""
+    return spark.sql("""
+        SELECT 'EMAIL-' || lpad(CAST(c_custkey AS STRING), 8, '0') AS email_id,
+               CASE WHEN c_custkey % 4 <> 0
+                    THEN 'picker' || CAST(c_nationkey AS STRING) || '@example.com' END AS actor,
+               CASE WHEN c_custkey % 5 = 1 THEN 'About account ' || CAST(c_custkey AS STRING) END AS subject,
+               CASE WHEN c_custkey % 5 IN (1, 2) THEN 'Please call us, ' || lower(c_mktsegment) END AS body
+        FROM {customer} WHERE c_custkey % 3 <> 0""", customer=read_table(spark, sf_dir, "customer"))
+
+
+def outgoing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_outgoing``: follow-up messages sent over time, several per e-mail."""
+    return spark.sql("""
+        SELECT 'EMAIL-' || lpad(CAST(user_id AS STRING), 8, '0') AS email_id,
+               'sender' || CAST(user_id AS STRING) || '@example.net' AS to_email,
+               'Reminder ' || CAST(event_id % 5 AS STRING) AS subject,
+               'Message ' || CAST(event_id AS STRING) AS body,
+               'reviewer' || CAST(event_id % 7 AS STRING) || '@example.com' AS created_by,
+               ts AS created_at, 'pending' AS status
+        FROM {events}""", events=read_table(spark, sf_dir, "events"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "documents"))
+    return read_table(spark, sf_dir, "documents")

@@ -47,6 +47,7 @@ ISSUE = _struct(("field", S), ("code", S), ("error", S))
 # Output tables of the review side, created when missing.
 REVIEW_OUTPUTS = {"review_actions": REVIEW_ACTIONS,
                   "approved_changes": APPROVED_CHANGES,
+                  "auto_approved": APPROVED_CHANGES,
                   "outgoing_emails": OUTGOING_EMAILS}
 
 

@@ -8,6 +8,7 @@ only ever take appends.
 
 from __future__ import annotations
 
+import atexit
 import os
 import uuid
 
@@ -40,19 +41,6 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when it arrives in fewer
-    partitions than that (e.g. one small file whose rows carry heavy regex
-    work). Inputs that already have enough partitions -- any large input --
-    are returned unchanged, so no shuffle is added at scale."""
-    if df.isStreaming:
-        return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
 # Output tables partitioned by a date derived from their stamp: the action log
 # only grows, and time-bounded reads then prune whole folders.
 DATE_PARTITIONS = {"review_actions": ("action_date", "created_at")}
@@ -98,9 +86,25 @@ def write_snapshot(df: DataFrame, path: str, schema: T.StructType | None = None,
     writer.parquet(path)
 
 
+def save_table(df: DataFrame, table: str, location: str, schema: T.StructType | None = None,
+               partition_by: list[str] | None = None) -> None:
+    """Write a full snapshot as the catalog table ``table`` with its files at the
+    new ``location`` (an older table of that name is replaced in the catalog)."""
+    out = conform(df, schema) if schema is not None else df
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+    writer = out.write.mode("errorifexists").option("path", location)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(table)
+
+
+# Stamps in CSV files keep their microseconds.
+CSV_STAMPS = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """CSV export with a header line (one file per partition)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, **CSV_STAMPS).csv(path)
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
@@ -109,15 +113,44 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
             or spark.sparkContext.getCheckpointDir())
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage by writing ``df`` under the session's checkpoint folder.
+_ROOTS: dict[str, str] = {}
+
 
-    Used for the costly, possibly non-deterministic extraction stage: later
-    stages re-read the written table instead of recomputing it, also after an
-    executor is lost.
+def materialized_root(spark: SparkSession) -> str:
+    """One folder per application under the checkpoint folder, removed when the
+    driver exits."""
+    app = spark.sparkContext.applicationId
+    if app not in _ROOTS:
+        _ROOTS[app] = os.path.join(ensure_checkpoint_dir(spark), f"materialized-{app}")
+        atexit.register(_remove_at_exit, spark, _ROOTS[app])
+    return _ROOTS[app]
+
+
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None:  # the session may be stopped already
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder written by :func:`materialize_at` that no plan reads any more."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def materialize_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Cut lineage by writing ``df`` under the session's checkpoint folder; also
+    gives the folder, so that the caller can remove it after use.
+
+    Later stages re-read the written table instead of recomputing it, also
+    after an executor is lost.
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base, "materialized", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(materialized_root(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """:func:`materialize_at` for a table whose last reader is not known; its
+    folder goes when the driver exits."""
+    return materialize_at(df, name)[0]

@@ -1,7 +1,8 @@
 """The intake as a Structured Streaming job over a folder of e-mail files.
 
 The same stateless transforms as the batch intake run on each micro-batch;
-the directory is a static DataFrame joined to the stream. Each micro-batch
+the directory is a static DataFrame joined to the stream, read and planned anew
+by its current size in every micro-batch. Each micro-batch
 is written to its own ``batch_id=<n>`` folder with overwrite, so a batch
 replayed after a failure replaces its earlier output instead of adding
 duplicates; the query's checkpoint records which files were consumed.

@@ -27,6 +27,7 @@ def title(x: str) -> str:
 
 EMAIL_RE = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 
+# The wording of the checks' messages.
 PIPELINE = {
     "sap_id.empty": "'SAP ID is empty'",
     "sap_id.format": "'Invalid SAP ID format (expected SAPXXXXXX): ' || {x}",
@@ -116,7 +117,7 @@ FROM customer)"""
 FX_EMAILS = """fx_emails AS (
 SELECT email_id, sender, sap_id, contact_name, contact_email, contact_phone, c_custkey,
  CASE c_custkey % 3
-  WHEN 0 THEN 'Hello, Please update my account information.' || coalesce(' Name: ' || contact_name, '') || coalesce(' SAP ID: ' || sap_id, '')
+  WHEN 0 THEN 'Good day, these are my new contact details.' || coalesce(' Name: ' || contact_name, '') || coalesce(' SAP ID: ' || sap_id, '')
        || coalesce(' Email: ' || contact_email, '') || coalesce(' Phone: ' || contact_phone, '') || ' Thank you!'
   WHEN 1 THEN 'Hi team,' || chr(10) || coalesce('SAP Account ID: ' || sap_id || chr(10), '') || coalesce('Contact Name: ' || contact_name || chr(10), '')
        || coalesce('Contact Email: ' || contact_email || chr(10), '') || coalesce('Contact Phone: ' || contact_phone || chr(10), '') || 'Regards'
@@ -126,25 +127,46 @@ FROM fx_fields)"""
 FX_DIRECTORY = """fx_directory AS (
 SELECT DISTINCT upper(sap_id) AS sap_id FROM (
   SELECT 'SAP' || lpad(CAST(o_custkey AS STRING), 6, '0') AS sap_id
-  FROM orders WHERE o_orderpriority <> '5-LOW' AND o_orderstatus = 'F') WHERE sap_id IS NOT NULL)"""
+  FROM orders WHERE o_orderstatus = 'F') WHERE sap_id IS NOT NULL)"""
 
 FX_ACTIONS = """fx_actions AS (
 SELECT 'EMAIL-' || lpad(CAST(user_id AS STRING), 8, '0') AS email_id,
- CASE WHEN event_type = 'purchase' THEN 'confirmed' ELSE 'followup_sent' END AS action,
+ CASE event_type WHEN 'purchase' THEN 'confirmed' WHEN 'error' THEN 'followup_sent' ELSE event_type END AS action,
  'reviewer' || CAST(event_id % 7 AS STRING) || '@example.com' AS actor_email,
- CASE WHEN event_type = 'purchase' THEN NULL ELSE 'Missing or invalid fields' END AS reason,
+ CASE WHEN event_type = 'error' THEN 'Missing or invalid fields' END AS reason,
  ts AS created_at, event_id
-FROM events WHERE event_type IN ('purchase', 'error') AND event_id % 5 = 0)"""
+FROM events)"""
 
-LABELS = {"sap_id": "SAP (?:Account )?ID:", "contact_name": "(?:Contact )?Name:",
-          "contact_email": "(?:Contact )?Email:", "contact_phone": "(?:Contact )?Phone:",
-          "request_type": "Request Type:"}
-STOPS = "|".join(LABELS.values()) + "|Thank you"
+FX_OUTGOING = """fx_outgoing AS (
+SELECT 'EMAIL-' || lpad(CAST(user_id AS STRING), 8, '0') AS email_id,
+ 'sender' || CAST(user_id AS STRING) || '@example.net' AS to_email,
+ 'Reminder ' || CAST(event_id % 5 AS STRING) AS subject, 'Message ' || CAST(event_id AS STRING) AS body,
+ 'reviewer' || CAST(event_id % 7 AS STRING) || '@example.com' AS created_by, ts AS created_at, 'pending' AS status
+FROM events)"""
+
+FX_CHOICES = """fx_choices AS (
+SELECT 'EMAIL-' || lpad(CAST(c_custkey AS STRING), 8, '0') AS email_id,
+ CASE WHEN c_custkey % 4 <> 0 THEN 'picker' || CAST(c_nationkey AS STRING) || '@example.com' END AS actor,
+ CASE WHEN c_custkey % 5 = 1 THEN 'About account ' || CAST(c_custkey AS STRING) END AS subject,
+ CASE WHEN c_custkey % 5 IN (1, 2) THEN 'Please call us, ' || lower(c_mktsegment) END AS body
+FROM customer WHERE c_custkey % 3 <> 0)"""
+
+# Extraction by positions of plain texts: after a field's first label, up to
+# the first text that can end a value.
+STARTS = {"sap_id": ["SAP ID:", "SAP Account ID:"], "contact_name": ["Name:"], "contact_email": ["Email:"],
+          "contact_phone": ["Phone:"], "request_type": ["Request Type:"]}
+ENDS = ["SAP ID:", "SAP Account ID:", "Contact Name:", "Name:", "Contact Email:", "Email:", "Contact Phone:",
+        "Phone:", "Request Type:", "Thank you"]
 
 
 def label(body: str, field: str) -> str:
-    pat = "(?s)" + LABELS[field] + r"[ \t]*(.*?)(?:\s*(?:" + STOPS + r")|[\n\r]|$)"
-    return f"nullif({strip(f'regexp_extract({body}, {sql_lit(pat)}, 1)')}, '')"
+    at = [(f"strpos({body}, '{x}')", len(x)) for x in STARTS[field]]
+    whens = " ".join(f"WHEN {p} > 0" + "".join(f" AND ({q} = 0 OR {p} < {q})" for q, _ in at if q != p)
+                     + f" THEN substring({body}, {p} + {n})" for p, n in at)
+    ends = ", ".join([f"nullif(strpos(r, '{e}'), 0)" for e in ENDS]
+                     + ["nullif(strpos(r, chr(10)), 0)", "nullif(strpos(r, chr(13)), 0)"])
+    value = f"CASE WHEN r IS NOT NULL THEN substring(r, 1, coalesce(list_min([{ends}]) - 1, length(r))) END"
+    return f"nullif({strip(f'list_transform([CASE {whens} END], lambda r: {value})[1]')}, '')"
 
 
 def sql_lit(s: str) -> str:
@@ -210,12 +232,13 @@ EXTRACTED_Q = (f"WITH {FX_FIELDS},\n{FX_EMAILS},\n{FX_DIRECTORY},\n{FX_ACTIONS},
                "pending AS (SELECT * FROM q WHERE NOT EXISTS "
                "(SELECT 1 FROM fx_actions a WHERE a.email_id = q.email_id))\n")
 
-DECISIONS = EXTRACTED_Q.rstrip("\n") + ",\n" + """pref AS (
-  SELECT p.*, coalesce(nullif(normalized_sap_id, ''), nullif(sap_id, ''), '') AS sap_value,
+DECIDE = """pref AS (
+  SELECT p.* EXCLUDE (sap_id_valid, name_valid, email_valid, phone_valid),
+    coalesce(nullif(normalized_sap_id, ''), nullif(sap_id, ''), '') AS sap_value,
     coalesce(nullif(normalized_name, ''), nullif(contact_name, ''), '') AS name_value,
     coalesce(nullif(contact_email, ''), '') AS email_value,
     coalesce(nullif(normalized_phone, ''), nullif(contact_phone, ''), '') AS phone_value
-  FROM pending p),
+  FROM {src} p),
 """ + rules_ctes("pref", "rv", {"sap": "sap_value", "name": "name_value", "email": "email_value",
                                 "phone": "phone_value"}, REVIEWER) + """,
 dec AS (
@@ -235,6 +258,37 @@ dec AS (
     ON rv.email_id = b.email_id)
 """
 
+
+
+def decided(src: str = "pending") -> str:
+    return DECIDE.replace("{src}", src)
+
+
+DECISIONS = EXTRACTED_Q.rstrip("\n") + ",\n" + decided()
+CHOSEN = (EXTRACTED_Q.rstrip("\n") + f",\n{FX_CHOICES},\n" + """picked AS (
+  SELECT p.*, c.actor AS chosen_actor, c.subject AS chosen_subject, c.body AS chosen_body
+  FROM pending p JOIN fx_choices c ON p.email_id = c.email_id),
+""" + decided("picked").rstrip("\n") + """,
+chosen AS (SELECT dec.*, p.chosen_actor, p.chosen_subject, p.chosen_body FROM dec JOIN picked p USING (email_id))
+""")
+ALL_DECISIONS = EXTRACTED_Q.rstrip("\n") + ",\n" + decided("q")
+
+CORRECTED = EXTRACTED_Q.rstrip("\n") + """,
+corr AS (SELECT 'EMAIL-' || lpad(CAST(c_custkey AS STRING), 8, '0') AS email_id,
+  CASE WHEN (c_custkey // 7) % 4 = 0 THEN 'SAP' || lpad(CAST(c_custkey AS STRING), 6, '0') END AS e_sap,
+  CASE WHEN (c_custkey // 7) % 4 = 1 THEN 'alex ' || lower(c_mktsegment) END AS e_name,
+  CASE WHEN (c_custkey // 7) % 4 = 2 THEN 'fixed' || CAST(c_custkey AS STRING) || '@example.net' END AS e_email,
+  CASE WHEN (c_custkey // 7) % 4 = 3 THEN '(212) 555-' || lpad(CAST(c_custkey % 10000 AS STRING), 4, '0') END AS e_phone
+  FROM customer WHERE c_custkey % 7 = 0),
+m AS (SELECT p.* EXCLUDE (sap_id, contact_name, contact_email, contact_phone), p.sap_id AS o_sap, p.contact_name AS o_name, p.contact_email AS o_email,
+  p.contact_phone AS o_phone,
+  coalesce(nullif(e_sap, ''), p.sap_id) AS sap_id, coalesce(nullif(e_name, ''), p.contact_name) AS contact_name,
+  coalesce(nullif(e_email, ''), p.contact_email) AS contact_email,
+  coalesce(nullif(e_phone, ''), p.contact_phone) AS contact_phone
+  FROM pending p LEFT JOIN corr c ON p.email_id = c.email_id)
+"""
+CORRECTED_DECISIONS = CORRECTED.rstrip("\n") + ",\n" + decided("m")
+
 SUBJECT = "'More details needed for your account update request'"
 
 
@@ -247,8 +301,8 @@ def followup_body(lines: str) -> str:
             f"'Before we can make the change, please check the following:' || {nl} || {nl} || "
             f"{lines} || {nl} || {nl} || "
             f"'You can reply to this message with the details laid out like this:' || {nl} || {nl} || "
-            f"'SAP Account ID: SAP123456' || {nl} || 'Contact Name: First Last' || {nl} || "
-            f"'Contact Email: name@example.com' || {nl} || 'Contact Phone: (555) 123-4567' || {nl} || {nl} || "
+            f"'SAP Account ID: SAP004711' || {nl} || 'Contact Name: Robin Vale' || {nl} || "
+            f"'Contact Email: robin.vale@mail.example' || {nl} || 'Contact Phone: (303) 555-0188' || {nl} || {nl} || "
             f"'We will finish the update as soon as we have them.' || {nl} || {nl} || "
             f"'Kind regards,' || {nl} || 'Customer Service'")
 
@@ -295,6 +349,28 @@ SELECT email_id,
   coalesce(json_extract_string(CASE WHEN ok THEN response END, '$.request_type'), 'account_update') AS request_type,
   CASE WHEN response IS NULL THEN 'no_response' WHEN NOT ok THEN 'unparseable_response' END AS extraction_error
 FROM p""",
+    "extractor_fields": f"""WITH {FX_FIELDS},\n{FX_EMAILS},
+r AS (SELECT email_id, body, contains(body, 'Cher') AS broken, contains(body, 'no form attached') AS late FROM fx_emails)
+SELECT email_id,
+  CASE WHEN NOT broken AND NOT late THEN nullif(regexp_extract(body, 'SAP[0-9]{{6}}'), '') END AS sap_id,
+  CAST(NULL AS VARCHAR) AS contact_name,
+  CASE WHEN NOT broken AND NOT late THEN nullif(regexp_extract(body, 'user[0-9]+@example\\.org'), '') END AS contact_email,
+  CASE WHEN NOT broken AND NOT late THEN nullif(regexp_extract(body, '[0-9]{{3}}\\.555\\.[0-9]{{4}}'), '') END AS contact_phone,
+  CASE WHEN NOT broken THEN 'account_update' END AS request_type,
+  CASE WHEN broken THEN 'ValueError: unreadable body' WHEN late THEN 'model timeout' END AS extraction_error
+FROM r""",
+    "null_flag_routing": DIRECT + """, f AS (SELECT email_id,
+  CASE WHEN c_custkey % 5 <> 0 THEN sap_id_valid END AS sap_id_valid,
+  CASE WHEN c_custkey % 5 <> 1 THEN name_valid END AS name_valid,
+  CASE WHEN c_custkey % 5 <> 2 THEN email_valid END AS email_valid,
+  CASE WHEN c_custkey % 5 <> 3 THEN phone_valid END AS phone_valid,
+  CASE WHEN c_custkey % 5 <> 4 THEN sap_exists END AS sap_exists
+  FROM q JOIN (SELECT email_id AS i, c_custkey FROM fx_fields) k ON q.email_id = k.i),
+s AS (SELECT *, CASE WHEN sap_id_valid AND name_valid AND email_valid AND phone_valid AND sap_exists THEN 'PASS'
+  WHEN sap_id_valid AND name_valid AND email_valid AND phone_valid AND NOT sap_exists THEN 'NEEDS_REVIEW'
+  ELSE 'FAIL' END AS validation_status FROM f)
+SELECT *, CASE validation_status WHEN 'PASS' THEN 'quick_approval' WHEN 'NEEDS_REVIEW' THEN 'detailed_review'
+  ELSE 'rejected' END AS queue_type FROM s""",
     "validate_email": _single("email", "contact_email", False),
     "validate_phone": _single("phone", "contact_phone", True),
     "validate_account_id": _single("sap", "sap_id", True),
@@ -371,20 +447,7 @@ FROM dec WHERE decision = 'followup'""",
   email_value AS contact_email, final_phone AS contact_phone, coalesce(email_body, '') AS source_email_body,
   {ACTOR} AS approved_by, {AS_OF} AS approved_at FROM dec
 WHERE decision = 'confirm' AND validation_status = 'PASS'""",
-    "merge_corrections": EXTRACTED_Q.rstrip("\n") + """,
-corr AS (SELECT 'EMAIL-' || lpad(CAST(c_custkey AS STRING), 8, '0') AS email_id,
-  CASE WHEN (c_custkey // 7) % 4 = 0 THEN 'SAP' || lpad(CAST(c_custkey AS STRING), 6, '0') END AS e_sap,
-  CASE WHEN (c_custkey // 7) % 4 = 1 THEN 'alex ' || lower(c_mktsegment) END AS e_name,
-  CASE WHEN (c_custkey // 7) % 4 = 2 THEN 'fixed' || CAST(c_custkey AS STRING) || '@example.net' END AS e_email,
-  CASE WHEN (c_custkey // 7) % 4 = 3 THEN '(212) 555-' || lpad(CAST(c_custkey % 10000 AS STRING), 4, '0') END AS e_phone
-  FROM customer WHERE c_custkey % 7 = 0),
-m AS (SELECT p.email_id, p.sap_id AS o_sap, p.contact_name AS o_name, p.contact_email AS o_email,
-  p.contact_phone AS o_phone,
-  coalesce(nullif(e_sap, ''), p.sap_id) AS sap_id, coalesce(nullif(e_name, ''), p.contact_name) AS contact_name,
-  coalesce(nullif(e_email, ''), p.contact_email) AS contact_email,
-  coalesce(nullif(e_phone, ''), p.contact_phone) AS contact_phone
-  FROM pending p LEFT JOIN corr c ON p.email_id = c.email_id)
-SELECT email_id, sap_id, contact_name, contact_email, contact_phone,
+    "merge_corrections": CORRECTED + """SELECT email_id, sap_id, contact_name, contact_email, contact_phone,
   concat_ws('|', CASE WHEN sap_id IS DISTINCT FROM o_sap THEN 'sap_id' END,
     CASE WHEN contact_name IS DISTINCT FROM o_name THEN 'contact_name' END,
     CASE WHEN contact_email IS DISTINCT FROM o_email THEN 'contact_email' END,
@@ -435,3 +498,65 @@ WHERE created_at > TIMESTAMP '2024-01-15 00:00:00' GROUP BY action""",
   CAST(len(list_filter(a, lambda x: regexp_full_match({strip('x')}, '{EMAIL_RE}'))) AS BIGINT) AS n_valid
 FROM (SELECT doc_id, regexp_extract_all(text, '{ADDR_RE}') AS a FROM documents) WHERE len(a) > 0""",
 }
+
+APPROVED_COLS = f"""email_id, final_sap_id AS sap_id, final_name AS contact_name,
+  email_value AS contact_email, final_phone AS contact_phone, coalesce(email_body, '') AS source_email_body,
+  {ACTOR} AS approved_by, {AS_OF} AS approved_at"""
+OUTGOING_COLS = (f"email_id, sender AS to_email, {SUBJECT} AS subject, {followup_body(ISSUE_LINES)} AS body, "
+                 f"{ACTOR} AS created_by, {AS_OF} AS created_at, 'pending' AS status")
+EXTRACTED_FULL = (f"WITH {FX_FIELDS},\n{FX_EMAILS},\n{FX_DIRECTORY},\n{EXTRACTED},\n"
+                  f"{queue_ctes('extracted_e', 'q')}\n")
+QUEUE_OUT = EXTRACTED_FULL + f"SELECT {QUEUE_COLS}, {positional()} AS errors, queued_at FROM q"
+
+
+def actions_sql(dec: str) -> str:
+    """Audit rows of both kinds over a decisions statement."""
+    return dec + f"""SELECT email_id, 'confirmed' AS action, {ACTOR} AS actor_email, CAST(NULL AS VARCHAR) AS old_values,
+  CAST(to_json({{'sap_id': final_sap_id, 'contact_name': final_name, 'contact_email': email_value,
+            'contact_phone': final_phone}}) AS VARCHAR) AS new_values,
+  CAST(NULL AS VARCHAR) AS reason, {AS_OF} AS created_at FROM dec WHERE decision = 'confirm'
+UNION ALL
+SELECT email_id, 'followup_sent', {ACTOR}, CAST(to_json({{'missing_fields': issues}}) AS VARCHAR),
+  CAST(to_json({{'followup_email': {{'to': sender, 'subject': {SUBJECT}}}}}) AS VARCHAR),
+  'Missing or invalid fields', {AS_OF} FROM dec WHERE decision = 'followup'"""
+
+
+ORACLE |= {
+    "variant_column_fields": ORACLE["variant_response_fields"].replace(
+        "WHEN NOT ok THEN 'unparseable_response'", "WHEN NOT ok THEN 'no_response'"),
+    "chosen_decisions": CHOSEN + f"SELECT email_id, decision, coalesce(chosen_actor, {ACTOR}) AS actor FROM chosen",
+    "edited_followups": CHOSEN + f"""SELECT email_id, sender AS to_email, coalesce(chosen_subject, {SUBJECT}) AS subject,
+  coalesce(chosen_body, {followup_body(ISSUE_LINES)}) AS body, coalesce(chosen_actor, {ACTOR}) AS created_by,
+  {AS_OF} AS created_at, 'pending' AS status FROM chosen WHERE decision = 'followup'""",
+    "corrected_approvals": CORRECTED_DECISIONS + f"SELECT {APPROVED_COLS} FROM dec WHERE decision = 'confirm'",
+    "auto_approved": CORRECTED_DECISIONS + f"""SELECT {APPROVED_COLS} FROM dec
+WHERE decision = 'confirm' AND validation_status = 'PASS'""",
+    "auto_approved_actions": CORRECTED_DECISIONS + f"""SELECT email_id, 'auto_approved' AS action, {ACTOR} AS actor_email,
+  CAST(NULL AS VARCHAR) AS old_values,
+  CAST(to_json({{'sap_id': final_sap_id, 'contact_name': final_name, 'contact_email': email_value,
+            'contact_phone': final_phone}}) AS VARCHAR) AS new_values,
+  'Passed all checks' AS reason, {AS_OF} AS created_at FROM dec
+WHERE decision = 'confirm' AND validation_status = 'PASS'""",
+    "latest_followup_text": f"""WITH {FX_OUTGOING}
+SELECT email_id, created_at, subject, body FROM fx_outgoing
+QUALIFY row_number() OVER (PARTITION BY email_id
+  ORDER BY created_at DESC, to_email DESC, subject DESC, body DESC) = 1""",
+    "followup_list_timed": f"""WITH {FX_OUTGOING}
+SELECT email_id, to_email, subject, created_by, created_at, status FROM fx_outgoing
+ORDER BY created_at DESC, email_id DESC, subject DESC, created_by DESC LIMIT 100""",
+    "review_record_packed": DIRECT + f"SELECT {QUEUE_COLS} FROM q",
+    "sink_directory": ORACLE["directory_distinct"],
+    "sink_review_queue": QUEUE_OUT,
+    "sink_catalog_queue": QUEUE_OUT,
+    "stream_queue": QUEUE_OUT,
+    "intake_counts": EXTRACTED_FULL + """SELECT measure, n FROM (
+  SELECT 'rows' AS measure, count(*) AS n FROM q
+  UNION ALL SELECT s, count(q.email_id) FROM (VALUES ('PASS'), ('NEEDS_REVIEW'), ('FAIL')) v(s)
+  LEFT JOIN q ON q.validation_status = s GROUP BY s)""",
+    "sink_approved_changes": ALL_DECISIONS + f"SELECT {APPROVED_COLS} FROM dec WHERE decision = 'confirm'",
+    "sink_outgoing_emails": ALL_DECISIONS + f"SELECT {OUTGOING_COLS} FROM dec WHERE decision = 'followup'",
+    "sink_review_actions": actions_sql(ALL_DECISIONS),
+    "sink_audit_csv": f"""WITH {FX_ACTIONS}
+SELECT email_id, coalesce(CASE action WHEN 'confirmed' THEN '✅ Confirmed'
+  WHEN 'followup_sent' THEN '📤 Follow-up Sent' END, action) AS action, actor_email, created_at, reason FROM fx_actions""",
+}

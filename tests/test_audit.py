@@ -63,3 +63,22 @@ def test_followup_from_error_array(spark):
     assert row.to_email == "s@x" and row.subject == D.DEFAULT_TEMPLATE.subject
     assert "  - Name too short\n  - Phone is empty\n" in row.body
     assert row.body.startswith("Hello ann,") and "account sap1." in row.body
+
+
+def test_exact_median_on_many_values(spark):
+    import statistics
+
+    vals = {"a": [float((i * 7919) % 10007) for i in range(3001)], "b": [1.0, 2.0, 3.0, 4.0], None: [5.0] * 9 + [1e9],
+            "c": [7.5]}
+    rows = [(g, v) for g, own in vals.items() for v in own] + [("a", None), ("d", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.m for r in A.exact_median(df, ["g"], "v", "m").collect()}
+    assert got == {g: statistics.median_low(own) for g, own in vals.items()}
+
+
+def test_latest_followup_is_total(spark):
+    rows = [("e1", "t@x", "s1", "b1", ts(1)), ("e1", "t@x", "s2", "b0", ts(1)), ("e1", "t@x", "s9", "b9", ts(0))]
+    df = spark.createDataFrame(rows, "email_id string, to_email string, subject string, body string, "
+                                     "created_at timestamp_ntz")
+    for order in (df, df.orderBy(F.desc("subject")), df.repartition(3)):
+        assert [(r.subject, r.body) for r in A.latest_followup(order).collect()] == [("s2", "b0")]

@@ -12,15 +12,15 @@ def test_cli_end_to_end(spark, tmpdir_path):
     fx.directory_ids(spark, SF001).write.parquet(d("ids"))
     stamp = ["--as-of", "2024-01-01 00:00:00"]
     assert cli.main(stamp + ["directory", "--ids", d("ids"), "--out", d("directory")],
-                    spark)["rows"] == 139
+                    spark)["rows"] == 145
     out = cli.main(stamp + ["intake", "--emails", d("emails"), "--directory", d("directory"),
                             "--out", d("queue")], spark)
-    assert (out["rows"], out["PASS"], out["NEEDS_REVIEW"], out["FAIL"]) == (150, 34, 3, 113)
+    assert (out["rows"], out["PASS"], out["NEEDS_REVIEW"], out["FAIL"]) == (150, 36, 1, 113)
     db = "cli_" + os.path.basename(tmpdir_path).replace("-", "_")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     review = ["review", "--queue", d("queue"), "--emails", d("emails"), "--warehouse", d("wh"),
               "--database", db, "--actor", "rev@example.com"]
-    assert cli.main(stamp + review, spark) == {"command": "review", "confirm": 34, "followup": 116}
+    assert cli.main(stamp + review, spark) == {"command": "review", "confirm": 36, "followup": 114}
     assert cli.main(stamp + review, spark) == {"command": "review"}
     kpi = cli.main(stamp + ["report", "kpi", "--queue", d("queue"), "--warehouse", d("wh"),
                             "--database", db, "--out", d("kpi")], spark)

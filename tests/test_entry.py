@@ -11,8 +11,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def test_entry_runs(spark):
     df = E.entry(spark)
     rows = {(r["validation_status"], r["queue_type"]): r["count"] for r in df.collect()}
-    assert rows == {("FAIL", "rejected"): 99, ("NEEDS_REVIEW", "detailed_review"): 4,
-                    ("PASS", "quick_approval"): 47}
+    assert rows == {("FAIL", "rejected"): 99, ("NEEDS_REVIEW", "detailed_review"): 1,
+                    ("PASS", "quick_approval"): 50}
 
 
 def test_every_query_has_an_oracle():
@@ -33,7 +33,9 @@ def test_oracle_agrees_at_smoke_scale(spark):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     oracle = E.oracle_sql()
     for name in ("routing_summary", "review_queue", "kpi_counts", "outgoing_emails",
-                 "followup_actions", "latest_followup", "turnaround", "merge_corrections"):
+                 "followup_actions", "latest_followup", "turnaround", "merge_corrections",
+                 "extractor_fields", "chosen_decisions", "edited_followups", "auto_approved",
+                 "latest_followup_text", "null_flag_routing", "intake_counts"):
         sdf = E.queries()[name](spark, SF001)
         res = con.sql(oracle[name])
         assert sorted(sdf.columns) == sorted(res.columns), name

@@ -12,14 +12,14 @@ from contactlane.plans import queries as QS
 from contactlane.sources import fixtures as fx
 
 EXPECTED = {
-    SF001: {"fields": 150, "directory": 139, "actions": (88, 15), "direct": (99, 4, 47),
-            "direct_flags": (111, 114, 123, 118, 102), "direct_pending": (94, 4, 37, 135),
-            "extracted": (113, 3, 34), "extracted_flags": (74, 76, 82, 79, 67),
-            "extracted_pending": (105, 3, 27, 135), "documents": 5},
-    SF01: {"fields": 1500, "directory": 1375, "actions": (809, 150), "direct": (936, 40, 524),
-           "direct_flags": (1125, 1153, 1234, 1184, 1034), "direct_pending": (837, 33, 480, 1350),
-           "extracted": (1122, 24, 354), "extracted_flags": (750, 769, 822, 790, 694),
-           "extracted_pending": (1009, 21, 320, 1350), "documents": 11},
+    SF001: {"fields": 150, "directory": 145, "actions": (1000, 15), "direct": (99, 1, 50),
+            "direct_flags": (111, 114, 123, 118, 106), "direct_pending": (94, 1, 40, 135),
+            "extracted": (113, 1, 36), "extracted_flags": (74, 76, 82, 79, 70),
+            "extracted_pending": (105, 1, 29, 135), "documents": 5},
+    SF01: {"fields": 1500, "directory": 1429, "actions": (10000, 150), "direct": (936, 25, 539),
+           "direct_flags": (1125, 1153, 1234, 1184, 1070), "direct_pending": (837, 23, 490, 1350),
+           "extracted": (1122, 16, 362), "extracted_flags": (750, 769, 822, 790, 714),
+           "extracted_pending": (1009, 15, 326, 1350), "documents": 11},
 }
 FLAGS = ("sap_id_valid", "name_valid", "email_valid", "phone_valid", "sap_exists")
 
@@ -76,16 +76,17 @@ def test_null_keys_kept_and_not_found(spark):
     rows = [("e1", "SAP000001"), (None, "SAP000002"), ("e3", None), (None, None)]
     df = spark.createDataFrame(rows, "email_id string, normalized_sap_id string")
     directory = spark.createDataFrame([("SAP000001",), ("SAP000001",), (None,)], "sap_id string")
-    for bmax in (None, 10):                                   # shuffled (salted) and broadcast
-        out = {(r[0], r[1]): r[2] for r in
-               Dir.with_directory_flag(df, directory, broadcast_max_rows=bmax).collect()}
+    acts = spark.createDataFrame([("e1",), (None,)], "email_id string")
+    for threshold in ("10MB", "-1"):                           # AQE may broadcast, or not
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        out = {(r[0], r[1]): r[2] for r in Dir.with_directory_flag(df, directory).collect()}
         assert out == {("e1", "SAP000001"): True, (None, "SAP000002"): False,
                        ("e3", None): False, (None, None): False}
-    acts = spark.createDataFrame([("e1",), (None,)], "email_id string")
-    for bmax in (None, 10):
-        pend = Q.pending(df, acts, broadcast_max_rows=bmax)
-        assert sorted((r[0] or "", r[1] or "") for r in pend.collect()) == [
+        assert sorted((r[0] or "", r[1] or "") for r in Q.pending(df, acts).collect()) == [
             ("", ""), ("", "SAP000002"), ("e3", "")]
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_search_semantics(spark):

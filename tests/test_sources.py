@@ -1,20 +1,45 @@
-"""Source/sink helpers: spreading small inputs, size proofs, materialising."""
-from contactlane.plans import joins
+"""Source/sink helpers: materialised folders, catalog tables."""
+import os
+
+import pytest
+
+from contactlane import session
 from contactlane.sources import tables
 
 
-def test_spread_only_touches_few_partition_inputs(spark):
-    target = spark.sparkContext.defaultParallelism
-    one = spark.range(0, 1000, 1, 1)
-    many = spark.range(0, 1000, 1, target * 2)
-    assert tables.spread(one).rdd.getNumPartitions() == target
-    assert tables.spread(many) is many
-    assert sorted(r.id for r in tables.spread(one).collect()) == list(range(1000))
+def test_materialized_folder_can_be_removed(spark):
+    out, path = tables.materialize_at(spark.range(5), "gone")
+    assert out.count() == 5
+    tables.remove(spark, path)
+    assert not os.path.exists(path.replace("file:", ""))
+
+
+def test_catalog_table(spark, tmpdir_path):
+    tables.save_table(spark.range(3).selectExpr("id", "id % 2 AS p"), "snap_t", f"{tmpdir_path}/one", partition_by=["p"])
+    tables.save_table(spark.range(7).selectExpr("id", "id % 2 AS p"), "snap_t", f"{tmpdir_path}/two", partition_by=["p"])
+    assert spark.table("snap_t").count() == 7
+    spark.sql("DROP TABLE snap_t")
+
+
+def test_only_local_sessions_get_a_folder_of_their_own():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "local-cluster[2,1,1024]"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
 
+    class Session:
+        sparkContext = Context()
 
-def test_row_count_proof(spark):
-    df = spark.range(0, 500, 1, 7)
-    assert joins.row_count_at_most(df, 500) and not joins.row_count_at_most(df, 499)
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
 
 
 def test_materialize_writes_under_checkpoint_dir(spark):
