@@ -418,8 +418,15 @@ def representatives(docs: DataFrame, text: str = "text", key: str = "doc_id", n:
     with the smallest ``key``, NULL last (of several with that key, the first
     by content). Rows with an empty set all stay."""
     _, labels = join_classes(docs, text, key, n, num, den)
-    row = F.struct(*docs.columns).alias("__row")
-    keyed = keyed_sets(docs.select(row, F.col(text).alias("__text")), "__text", n, num, den)
+
+    @F.arrow_udf("n_shingles long, set_key long")  # texts alone go to the Python workers
+    def keyed_text(texts: pa.Array) -> pa.Array:
+        sets = [(len(g), shingles.set_key(g)) for g, _ in shingles.batch_sets(texts, n)]
+        return pa.StructArray.from_arrays(
+            [pa.array([s[i] for s in sets], pa.int64()) for i in (0, 1)], names=["n_shingles", "set_key"])
+
+    keyed = docs.select(F.struct(*docs.columns).alias("__row"), keyed_text(F.col(text)).alias("__set")).select(
+        "__row", "__set.*")
     grouped = keyed.join(labels, keyed["set_key"] == labels["node"], "left").select(
         "__row", "n_shingles", F.coalesce("label", "set_key").alias("__class"))
     named = grouped.where("n_shingles > 0").withColumn("__key", F.col("__row")[key])

@@ -72,21 +72,19 @@ def text_stats(text: bytes) -> tuple[float, ...]:
 
 
 def with_stats(df: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
-    """``df`` with the statistics of ``text`` (doubles), batch by batch."""
-    drop = set(STATS) | (set() if keep_text else {text})
-    fields = [f for f in df.schema.fields if f.name not in drop]
-    names = [f.name for f in fields]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = np.array([text_stats((t.as_py() or "").encode()) for t in batch.column(text)],
-                            dtype=float).reshape(batch.num_rows, len(STATS))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in names] + [pa.array(rows[:, i]) for i in range(len(STATS))],
-                names=[*names, *STATS])
+    """``df`` with the statistics of ``text`` (doubles). Only the text goes to
+    the Python workers; other columns stay where they are."""
+    struct = T.StructType([T.StructField(s, T.DoubleType()) for s in STATS])
+
+    @F.arrow_udf(struct)
+    def counted(texts: pa.Array) -> pa.Array:
+        rows = np.array([text_stats((t.as_py() or "").encode()) for t in texts], dtype=float)
+        rows = rows.reshape(len(texts), len(STATS))
+        return pa.StructArray.from_arrays([pa.array(rows[:, i]) for i in range(len(STATS))], names=list(STATS))
 
     store.ship(df.sparkSession)
-    return df.mapInArrow(run, T.StructType(fields + [T.StructField(s, T.DoubleType()) for s in STATS]))
+    keep = [c for c in df.columns if c not in STATS and (keep_text or c != text)]
+    return df.select(*keep, counted(F.col(text)).alias("__stats")).select(*keep, "__stats.*")
 
 
 # A rule: conditions (statistic, True for "<=" or False for ">", threshold).
