@@ -171,21 +171,27 @@ def source_sizes(docs: DataFrame, source: str = "source", size: str = "size") ->
 
 
 def mix(docs: DataFrame, quotas: dict[str | None, int], sources: str = "sources", key: str = "doc_id",
-        size: str = "size", most: int = REPEATS, seed: str = SEED) -> DataFrame:
+        size: str = "size", most: int = REPEATS, seed: str = SEED, slim: DataFrame | None = None) -> DataFrame:
     """``docs`` with ``taken``: the words that the mix takes from each row.
 
     ``sources`` is an array of the sources that a row belongs to; ``quotas``
     maps each source to the words wanted. A row is taken ``taken / size`` times;
-    at most one row of a pattern is taken in part.
+    at most one row of a pattern is taken in part. ``slim``, the same rows with
+    these columns alone, spares counting the sizes of wide rows once more.
     """
     spark = docs.sparkSession
     own = [c for c in docs.columns if c != "taken"]
-    work = docs.select(*own).withColumns({
-        "__pattern": F.to_json(F.array_sort(F.array_distinct(F.col(sources)))),
-        "__order": F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")))),
-    })
-    work = work.withColumn("__bucket", F.conv(F.substring("__order", 1, BUCKET_HEX), 16, 10).cast("int"))
-    by_pattern = bounded_rows(work.groupBy("__pattern").agg(
+
+    def ordered(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumns({
+            "__pattern": F.to_json(F.array_sort(F.array_distinct(F.col(sources)))),
+            "__order": F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")))),
+        })
+        return rows.withColumn("__bucket", F.conv(F.substring("__order", 1, BUCKET_HEX), 16, 10).cast("int"))
+
+    work = ordered(docs.select(*own))
+    counted = ordered(slim if slim is not None else docs.select(sources, key, size))
+    by_pattern = bounded_rows(counted.groupBy("__pattern").agg(
         F.sum(size).alias("n"), F.first(F.array_distinct(F.col(sources))).alias("members")), "patterns")
     patterns = [(tuple(r["members"] or ()), int(r["n"] or 0)) for r in by_pattern]
     wanted = {s: quotas.get(s, 0) for members, _ in patterns for s in members}
@@ -195,13 +201,15 @@ def mix(docs: DataFrame, quotas: dict[str | None, int], sources: str = "sources"
          for r, (_, n), f in zip(by_pattern, patterns, flows)],
         "__pattern string, __passes long, __rest long")
     # Where the partial pass ends: the bucket in which the running size passes the rest.
-    totals = work.groupBy("__pattern", "__bucket").agg(F.sum(size).alias("n"))
+    totals = counted.groupBy("__pattern", "__bucket").agg(F.sum(size).alias("n"))
     upto = W.partitionBy("__pattern").orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
     ends = totals.withColumn("__before", F.coalesce(F.sum("n").over(upto), F.lit(0))).join(
         plan, "__pattern").where((F.col("__before") <= F.col("__rest"))
                                  & (F.col("__rest") < F.col("__before") + F.col("n")))
     ends = ends.select("__pattern", "__passes", "__rest", F.col("__bucket").alias("__end"), "__before")
+    # At most one row for each of MAX_PATTERNS patterns: small enough for every task.
     # A pattern without an end row has no words at all; its rows take nothing.
+    ends = F.broadcast(ends)
     placed = work.join(ends, work["__pattern"].eqNullSafe(ends["__pattern"]), "left").drop(ends["__pattern"])
     size_col = F.coalesce(F.col(size), F.lit(0)).cast("long")
     passes = F.coalesce("__passes", F.lit(0))

@@ -19,9 +19,18 @@ _ROOTS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
 
+# Rows in one Arrow batch of texts, unless the session sets its own number:
+# Spark's default holds tens of MB of texts several times over in each worker.
+BATCH_ROWS, BATCH_CONF = "2000", "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_DEFAULT = "10000"
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once per application
-    (Spark's own file distribution; the zip itself is read by the driver only)."""
+    (Spark's own file distribution; the zip itself is read by the driver only),
+    and keep their Arrow batches small."""
+    if spark.conf.get(BATCH_CONF, BATCH_DEFAULT) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_CONF, BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

@@ -50,13 +50,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     come near their target weights."""
     rows = docs.select(F.struct(*docs.columns).alias("__row"), "doc_id", F.col("source").alias("source"),
                        F.array("source").alias("sources"), mixing.word_count(F.col("text")).alias("size"))
-    sizes, path = store.stored_at(rows.select("doc_id", "source", "sources", "size"), "mix-sizes")
+    sizes = store.stored(rows.select("doc_id", "source", "sources", "size"), "mix-sizes")
     sources = mixing.source_sizes(sizes)
     weights = [queries.MIX_WEIGHTS[i % len(queries.MIX_WEIGHTS)] for i in range(len(sources))]
     targets = mixing.share_targets([n for _, n in sources], weights)
     quotas = {s: math.floor(t + 0.5) for (s, _), t in zip(sources, targets)}
-    store.remove(spark, path)
-    return mixing.repeated(mixing.mix(rows, quotas)).select("__row.*")
+    return mixing.repeated(mixing.mix(rows, quotas, slim=sizes)).select("__row.*")
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
