@@ -417,28 +417,31 @@ def representatives(docs: DataFrame, text: str = "text", key: str = "doc_id", n:
     """The rows of ``docs`` that stay when one row of each class does: the one
     with the smallest ``key``, NULL last (of several with that key, the first
     by content). Rows with an empty set all stay."""
-    _, labels = join_classes(docs, text, key, n, num, den)
-
-    @F.arrow_udf("n_shingles long, set_key long")  # texts alone go to the Python workers
+    rows, labels = join_classes(docs, text, key, n, num, den)
+    # Decided on ids and set keys alone; only classes of several rows need it.
+    placed = rows.where("n_shingles > 0").join(labels, rows["set_key"] == labels["node"], "left").select(
+        "set_key", F.col(key).alias("__key"), F.coalesce("label", "set_key").alias("__class"))
+    counts = placed.groupBy("__class", "__key").agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy("__class").agg(F.sum("n").alias("__rows"), F.min(F.struct(
+        F.col("__key").isNull().alias("none"), F.col("__key").alias("key"), "n")).alias("__best"))
+    decided = store.stored(placed.select("set_key", "__class").distinct().join(
+        best.where("__rows > 1"), "__class").select("set_key", "__class", "__best"), "decided")
+    bitmap = wanted_bitmap(decided.select(F.col("set_key").alias("k")))
+
+    @F.arrow_udf("maybe boolean, set_key long")  # texts alone go to the Python workers
     def keyed_text(texts: pa.Array) -> pa.Array:
+        bits = np.unpackbits(bitmap).view(bool)
         sets = [(len(g), shingles.set_key(g)) for g, _ in shingles.batch_sets(texts, n)]
+        maybe = [size > 0 and bool(bits[(k & (1 << 64) - 1) >> (64 - BITMAP_BITS)]) for size, k in sets]
         return pa.StructArray.from_arrays(
-            [pa.array([s[i] for s in sets], pa.int64()) for i in (0, 1)], names=["n_shingles", "set_key"])
+            [pa.array(maybe, pa.bool_()), pa.array([k for _, k in sets], pa.int64())], names=["maybe", "set_key"])
 
+    # Rows whose class surely has no other row pass by; only the others' texts move.
     keyed = docs.select(F.struct(*docs.columns).alias("__row"), keyed_text(F.col(text)).alias("__set")).select(
         "__row", "__set.*")
-    grouped = keyed.join(labels, keyed["set_key"] == labels["node"], "left").select(
-        "__row", "n_shingles", F.coalesce("label", "set_key").alias("__class"))
-    named = grouped.where("n_shingles > 0").withColumn("__key", F.col("__row")[key])
-    counts = named.groupBy("__class", "__key").agg(F.count(F.lit(1)).alias("__n"))
-    least = counts.groupBy("__class").agg(F.min(F.struct(
-        F.col("__key").isNull().alias("none"), F.col("__key").alias("key"), F.col("__n").alias("n"))).alias("__best"))
-    # joined by another form of the key: an exchange of its own lets Spark split a large class
-    least = least.select(F.struct("__class").alias("__of"), "__best")
-    first = named.join(least, (F.struct("__class") == F.col("__of"))
-                       & F.col("__key").eqNullSafe(F.col("__best.key")))
-    single = first.where("__best.n = 1").select("__row")
-    several = first.where("__best.n > 1").groupBy("__class").agg(
-        F.min_by("__row", F.to_json("__row")).alias("__row")).select("__row")
-    empty = grouped.where("n_shingles = 0").select("__row")
-    return single.union(several).union(empty).select("__row.*")
+    joined = keyed.where("maybe").join(decided, "set_key", "left")
+    kept = joined.where(F.col("__class").isNull() | F.col("__row")[key].eqNullSafe(F.col("__best.key")))
+    alone = F.col("__class").isNull() | (F.col("__best.n") == 1)
+    several = kept.where(~alone).groupBy("__class").agg(F.min_by("__row", F.to_json("__row")).alias("__row"))
+    return keyed.where("NOT maybe").select("__row").union(kept.where(alone).select("__row")).union(
+        several.select("__row")).select("__row.*")

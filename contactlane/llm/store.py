@@ -21,7 +21,7 @@ _SHIPPED: set[str] = set()
 
 # Rows in one Arrow batch of texts, unless the session sets its own number:
 # Spark's default holds tens of MB of texts several times over in each worker.
-BATCH_ROWS, BATCH_CONF = "2000", "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS, BATCH_CONF = "1000", "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_DEFAULT = "10000"
 
 
