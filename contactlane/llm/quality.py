@@ -23,8 +23,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -139,6 +137,10 @@ def simplified(rule: Rule) -> Rule:
 
 def fit(labelled: DataFrame, label: str = "label", key: str = "doc_id", rows: int = FIT_ROWS) -> RuleModel:
     """Fit on a table with the statistics, a 0/1 ``label`` and an id."""
+    # Spark ML is for the driver alone; workers that count statistics don't load it.
+    from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
     known = labelled.where(F.col(label).isin(0, 1))
     seen = {r[0]: r[1] for r in known.groupBy(F.col(label).cast("int")).count().collect()}
     n, ones = sum(seen.values()), seen.get(1, 0)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-PIECE = 1 << 19
+PIECE = 1 << 17
 _RNG = np.random.default_rng(20240229)
 _VALUE = _RNG.integers(1, 1 << 63, size=256, dtype=np.uint64)
 _VALUE[ord("A"): ord("Z") + 1] = _VALUE[ord("a"): ord("z") + 1]

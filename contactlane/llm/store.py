@@ -19,10 +19,11 @@ _ROOTS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
 
-# Rows in one Arrow batch of texts, unless the session sets its own number:
-# Spark's default holds tens of MB of texts several times over in each worker.
+# Rows and bytes in one Arrow batch, unless the session sets its own: by Spark's
+# defaults a batch of long texts is held several times over in each worker.
 BATCH_ROWS, BATCH_CONF = "1000", "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_DEFAULT = "10000"
+BATCH_BYTES, BYTES_CONF = str(8 << 20), "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
@@ -31,6 +32,7 @@ def ship(spark: SparkSession) -> None:
     and keep their Arrow batches small."""
     if spark.conf.get(BATCH_CONF, BATCH_DEFAULT) == BATCH_DEFAULT:
         spark.conf.set(BATCH_CONF, BATCH_ROWS)
+        spark.conf.set(BYTES_CONF, BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
