@@ -7,9 +7,10 @@ is an inner hash of another one is a prefix of it. An anti-join keeps maximal
 conversations, the smallest id of equal ones, and only those are rendered.
 DataFrame functions only.
 
-Conversations are worked on in sections of ``SECTION`` turn numbers, with
-offsets joined in from the sections' totals, so that no conversation has to fit
-in one task; a rendered conversation of several sections has one row for each,
+Conversations are worked on in sections of ``SECTION`` turn numbers, and where
+turn numbers repeat a section is cut again every ``SECTION`` rows (dealt by
+ranges, numbered with the ranges' offsets). Offsets are joined in from the
+sections' totals, so that no conversation has to fit in one task; a rendered conversation of several sections has one row for each,
 ``part`` 0, 1, ... in order, which together are its text.
 
 Defined results: NULL roles and texts count as empty; NULL conversation ids
@@ -36,6 +37,42 @@ def _section(turn: str) -> Column:
     return F.coalesce(F.floor(F.col(turn) / SECTION), F.lit(-(1 << 62))).cast("long").alias("section")
 
 
+def _sectioned(rows: DataFrame) -> DataFrame:
+    """``rows`` (with ``conv, turn, role, text``) with ``section``: the section of
+    the turn number and, in sections of more than ``SECTION`` rows, the piece."""
+    rows = rows.withColumn("number", _section("turn").cast("long"))
+    names = rows.columns
+    section = lambda piece: F.struct("number", piece.cast("long").alias("piece")).alias("section")
+    own = [c for c in names if c != "number"]
+    large = store.stored(rows.groupBy(F.col("conv").alias("conv2"), F.col("number").alias("number2")).agg(
+        F.count(F.lit(1)).alias("n")).where(F.col("n") > SECTION).drop("n"), "chat-large")
+    if large.isEmpty():
+        return rows.select(*own, section(F.lit(0)))
+    same = rows["conv"].eqNullSafe(large["conv2"]) & (rows["number"] == large["number2"])
+    small = rows.join(large, same, "left_anti").select(*own, section(F.lit(0)))
+    # equal rows are one with a count, so that ranges can cut between any two
+    counted = rows.join(large, same, "left_semi").groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
+    order = [F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
+    dealt = store.stored(counted.repartitionByRange("conv", "number", *order).withColumn(
+        "range", F.spark_partition_id()), "chat-ranges")
+    upto = W.partitionBy("conv", "number", "range").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    earlier = W.partitionBy("conv", "number").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    before = dealt.groupBy("conv", "number", "range").agg(F.sum("copies").alias("n")).select(
+        F.col("conv").alias("conv3"), F.col("number").alias("number3"), F.col("range").alias("range3"),
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    placed = dealt.withColumn("upto", F.sum("copies").over(upto)).join(
+        before, F.col("conv").eqNullSafe(F.col("conv3")) & (F.col("number") == F.col("number3"))
+        & (F.col("range") == F.col("range3")))
+    # positions begin to end - 1, from 0; the copies of each piece, then each copy
+    placed = placed.withColumn("end", F.col("upto") + F.col("before")).withColumn(
+        "begin", F.col("end") - F.col("copies"))
+    whole = lambda c: F.floor(c / SECTION).cast("long")
+    placed = placed.withColumn("piece", F.explode(F.sequence(whole(F.col("begin")), whole(F.col("end") - 1))))
+    times = F.least("end", (F.col("piece") + 1) * SECTION) - F.greatest("begin", F.col("piece") * SECTION)
+    placed = placed.withColumn("copy", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
+    return small.unionByName(placed.select(*own, section(F.col("piece"))))
+
+
 def _running(df: DataFrame, totals: list[Column], names: list[str]) -> DataFrame:
     """``df`` (with ``conv, section``) joined with the sum of ``totals`` over the
     earlier sections of its conversation."""
@@ -52,10 +89,8 @@ def prefix_hashes(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", r
     """``conv, section, pos, hash1, hash2`` for each turn: its position from 1 and
     the hash of the conversation up to it (two independent halves)."""
     empty = lambda c: F.coalesce(F.col(c), F.lit(""))
-    rows = turns.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"),
-                        _section(turn),
-                        empty(role).alias("role"), F.sha2(empty(text), 256).alias("content"),
-                        empty(text).alias("text"))
+    rows = _sectioned(turns.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), empty(role).alias("role"),
+                                   empty(text).alias("text"))).withColumn("content", F.sha2("text", 256))
     # ties are ordered by the text itself; only short keys go on from here
     inside = W.partitionBy("conv", "section").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     rows = rows.withColumn("local", F.row_number().over(inside)).drop("text")
@@ -75,7 +110,10 @@ def prefix_hashes(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", r
 def maximal(turns: DataFrame, **names: str) -> DataFrame:
     """``conv, n_turns`` of the conversations that are no proper prefix of
     another one; of equal conversations the smallest id (NULL before others)."""
-    prefixes = store.stored(prefix_hashes(turns, **names), "chat-prefixes")
+    return _maximal(store.stored(prefix_hashes(turns, **names), "chat-prefixes"))
+
+
+def _maximal(prefixes: DataFrame) -> DataFrame:
     ends = prefixes.groupBy("conv").agg(F.max("pos").alias("pos"))
     whole = prefixes.join(ends.withColumnRenamed("conv", "conv2"),
                           F.col("conv").eqNullSafe(F.col("conv2")) & (prefixes["pos"] == ends["pos"])
@@ -100,21 +138,26 @@ def rendered_turn(role: Column, text: Column) -> Column:
 def format_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
                          text: str = "text") -> DataFrame:
     """``conv_id, part, n_turns, rendered`` of the maximal conversations."""
-    kept = maximal(turns, conv=conv, turn=turn, role=role, text=text)
+    prefixes = store.stored(prefix_hashes(turns, conv=conv, turn=turn, role=role, text=text), "chat-prefixes")
+    kept = _maximal(prefixes)
     empty = lambda c: F.coalesce(F.col(c), F.lit(""))
-    rows = turns.select(F.col(conv).alias("own"), F.col(turn).alias("turn"),
-                        _section(turn),
-                        empty(role).alias("role"), empty(text).alias("text"))
-    rows = rows.join(kept, F.col("own").eqNullSafe(F.col("conv")))
+    rows = turns.select(F.col(conv).alias("own"), F.col(turn).alias("turn"), empty(role).alias("role"),
+                        empty(text).alias("text"))
+    rows = rows.join(kept, F.col("own").eqNullSafe(F.col("conv"))).drop("own")
+    rows = _sectioned(rows.select("conv", "turn", "role", "text", "n_turns"))
     order = lambda a, b: (
         F.when(a["turn"].isNull() & b["turn"].isNotNull(), -1)
         .when(a["turn"].isNotNull() & b["turn"].isNull(), 1)
         .when(a["turn"] < b["turn"], -1).when(a["turn"] > b["turn"], 1)
         .when(a["role"] < b["role"], -1).when(a["role"] > b["role"], 1)
         .when(a["text"] < b["text"], -1).when(a["text"] > b["text"], 1).otherwise(0))
-    parts = rows.groupBy("own", "section", "n_turns").agg(
+    parts = rows.groupBy("conv", "section", "n_turns").agg(
         F.array_sort(F.collect_list(F.struct("turn", "role", "text")), order).alias("turns"))
-    number = F.row_number().over(W.partitionBy("own").orderBy("section")) - 1
-    return parts.select(F.col("own").alias("conv_id"), number.cast("long").alias("part"), "n_turns",
+    # parts are numbered apart from their texts
+    number = F.row_number().over(W.partitionBy("conv").orderBy("section")) - 1
+    numbers = prefixes.select("conv", "section").distinct().select(
+        F.col("conv").alias("conv4"), F.col("section").alias("section4"), number.cast("long").alias("part"))
+    parts = parts.join(numbers, F.col("conv").eqNullSafe(F.col("conv4")) & (F.col("section") == F.col("section4")))
+    return parts.select(F.col("conv").alias("conv_id"), "part", "n_turns",
                         F.array_join(F.transform("turns", lambda t: rendered_turn(t["role"], t["text"])), "")
                         .alias("rendered"))

@@ -58,3 +58,20 @@ def test_query_equals_sql(spark):
     assert rows == sorted(con.execute(ORACLE["op6_chat_format"]).fetchall())
     plan = REGISTRY["op6_chat_format"](spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_repeated_turn_numbers_come_in_bounded_parts(spark):
+    n = chat.SECTION + 700
+    # distinct texts under one turn number, one row repeated beyond a section, NULL turns
+    df = spark.range(n).selectExpr("cast(null as long) conv_id", "0L turn", "'user' role",
+                                   "lpad(cast(id as string), 6, '0') text")
+    df = df.union(spark.range(n).selectExpr("null", "1L", "'user'", "'same'"))
+    df = df.union(spark.range(n).selectExpr("null", "cast(null as long)", "'user'", "lpad(cast(id as string), 6, '0')"))
+    df = df.union(spark.createDataFrame([(5, 0, "user", "x")], "a long, b long, c string, d string"))
+    rows = sorted((r for r in chat.format_conversations(df).collect() if r["conv_id"] is None),
+                  key=lambda r: r["part"])
+    assert [r["part"] for r in rows] == list(range(len(rows))) and {r["n_turns"] for r in rows} == {3 * n}
+    assert max(r["rendered"].count(chat.END) for r in rows) <= chat.SECTION
+    each = [f"{i:06d}" for i in range(n)]
+    assert "".join(r["rendered"] for r in rows) == "".join(
+        f"<|im_start|>user\n{t}<|im_end|>\n" for t in each + each + ["same"] * n)
