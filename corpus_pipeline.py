@@ -21,12 +21,15 @@ from contactlane.llm import bpe, mixing, ngram_join, pii, quality, queries, stor
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: documents that the quality classifier rejects go. It is
-    fitted on the labelled documents that aren't held out."""
+    fitted on the labelled documents that aren't held out; where that gives no
+    rules (no usable labels, labels of one value, few rows), all documents stay."""
     labels = queries.quality_labels(spark, sf_dir)
     known = docs.where(queries.crc_remainder("doc_id", 4) != 2).select("doc_id", "text").join(labels, "doc_id")
     stats, path = store.stored_at(quality.with_stats(known, keep_text=False), "quality-stats")
     model = quality.fit(stats)
     store.remove(spark, path)
+    if not model.rules:
+        return docs
     rows = quality.with_stats(docs.select(F.struct(*docs.columns).alias("__row"), F.col("text")), keep_text=False)
     return rows.where(model.score() >= queries.PREDICT_AT).select("__row.*")
 

@@ -1,5 +1,6 @@
 """The corpus pipeline: stages one by one, and the whole run."""
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
@@ -61,3 +62,13 @@ def test_run(spark):
     assert rows and {r["doc_id"] for r in rows} <= known
     assert all(r["n_tokens"] == len(r["ids"]) for r in rows)
     assert not any(base_spans(library.decode(r["ids"])) for r in rows)
+
+
+def test_quality_stage_without_usable_labels_keeps_all(spark, monkeypatch):
+    few = docs(spark).limit(50).cache()
+    none = spark.createDataFrame([], "doc_id long, label int")
+    one = few.select("doc_id", F.lit(0).alias("label"))
+    for labels in (none, one):
+        monkeypatch.setattr(P.queries, "quality_labels", lambda s, d, labels=labels: labels)
+        kept = P.drop_low_quality(spark, few, SF)
+        assert kept.columns == few.columns and kept.count() == few.count()
