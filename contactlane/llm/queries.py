@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, lm, mixing, ngram_join, pii, quality, store, topk, url_filter, vectors
+from . import ann, bpe, chat, lm, mixing, ngram_join, packing, pii, quality, store, topk, url_filter, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -148,3 +148,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.fit(stats.where(~held_out).join(quality_labels(spark, sf_dir), "doc_id"))
     return stats.select("doc_id", held_out.alias("held_out"), model.score().alias("score")).withColumn(
         "predicted", F.when(F.col("score") >= PREDICT_AT, 1).otherwise(0))
+
+
+@query
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 1024 tokens."""
+    pieces = packing.sequences(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                               window=1024, end_id=0)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
