@@ -98,3 +98,73 @@ scored AS (
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
        vec_id, score
 FROM scored QUALIFY rank <= 5"""
+
+# crc32 bit by bit: a list entry of 256 or more brings in the next byte.
+_CRC = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+  regexp_extract_all(coalesce(CAST(doc_id AS VARCHAR), ''), '.'),
+  lambda c: list_prepend(CAST(256 + ascii(c) AS BIGINT), [CAST(0 AS BIGINT) FOR i IN range(8)])))),
+  lambda crc, e: CASE WHEN e >= 256 THEN xor(crc, e - 256)
+                      ELSE xor(crc >> 1, CAST(3988292384 AS BIGINT) * (crc & 1)) END)"""
+
+
+def _field(x: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({x} AS VARCHAR)) AS VARCHAR) || ':' || CAST({x} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+# Nodes level by level, per source and over the subroots; a proof is each level's
+# siblings, and the fold walks the levels with the tampered leaf.
+ORACLE["op13_merkle"] = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, {_leaf('text')} AS leaf,
+         CASE WHEN xor({_CRC}, CAST(4294967295 AS BIGINT)) % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")}
+              ELSE {_leaf('text')} END AS claimed
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM docs),
+trees AS (
+  SELECT source, 0 AS level, rank AS idx, leaf AS digest, count(*) OVER (PARTITION BY source) AS n FROM leaves
+  UNION ALL
+  SELECT source, level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (any_value(n) + 2) // 3
+  FROM trees WHERE n > 1 GROUP BY source, level, idx // 3),
+subroots AS (
+  SELECT source, level AS height, digest AS subroot,
+         row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS rank FROM trees WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, rank AS idx, subroot AS digest, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (any_value(n) + 2) // 3
+  FROM tops WHERE n > 1 GROUP BY level, idx // 3),
+ids AS (
+  SELECT l.*, s.height, s.subroot, s.rank AS srank, row_number() OVER () AS row
+  FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source),
+steps AS (
+  SELECT i.row, t.level, t.idx AS at, string_agg(o.digest, '' ORDER BY o.idx) FILTER (o.idx < t.idx) AS pre,
+         string_agg(o.digest, '' ORDER BY o.idx) FILTER (o.idx > t.idx) AS post
+  FROM ids i
+  JOIN trees t ON t.source IS NOT DISTINCT FROM i.source AND t.n > 1 AND t.idx = i.rank // CAST(pow(3, t.level) AS BIGINT)
+  JOIN trees o ON o.source IS NOT DISTINCT FROM i.source AND o.level = t.level AND o.idx // 3 = t.idx // 3
+  GROUP BY ALL
+  UNION ALL
+  SELECT i.row, i.height + t.level, t.idx AS at, string_agg(o.digest, '' ORDER BY o.idx) FILTER (o.idx < t.idx),
+         string_agg(o.digest, '' ORDER BY o.idx) FILTER (o.idx > t.idx)
+  FROM ids i JOIN tops t ON t.n > 1 AND t.idx = i.srank // CAST(pow(3, t.level) AS BIGINT)
+  JOIN tops o ON o.level = t.level AND o.idx // 3 = t.idx // 3
+  GROUP BY ALL),
+walks AS (
+  SELECT row, claimed AS node, list(coalesce(pre, '') ORDER BY level) FILTER (level IS NOT NULL) AS pre,
+         list(coalesce(post, '') ORDER BY level) FILTER (level IS NOT NULL) AS post,
+         sha256(coalesce(string_agg(coalesce(pre, '') || coalesce(post, ''), '' ORDER BY level), '')) AS proof_sha256
+  FROM ids LEFT JOIN steps USING (row) GROUP BY row, claimed),
+folds AS (
+  SELECT row, node, pre, post, 0 AS done FROM walks
+  UNION ALL
+  SELECT row, sha256(pre[done + 1] || node || post[done + 1]), pre, post, done + 1 FROM folds
+  WHERE done < len(coalesce(pre, [])))
+SELECT i.doc_id, i.leaf, i.subroot, r.digest AS root, w.proof_sha256, f.node AS folded_root,
+       f.node = r.digest AS verified
+FROM ids i JOIN walks w USING (row) JOIN folds f ON f.row = i.row AND f.done = len(coalesce(f.pre, []))
+JOIN (SELECT digest FROM tops WHERE n = 1) r ON true"""

@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, lm, mixing, ngram_join, packing, pii, quality, store, topk, url_filter, vectors
+from . import ann, bpe, chat, lm, merkle, mixing, ngram_join, packing, pii, quality, store, topk, url_filter, \
+    vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -157,3 +158,20 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                window=1024, end_id=0)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset")
+
+
+@query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and check of every document; half of them are held
+    against a text without its line ends."""
+    docs = table(spark, sf_dir, "documents")
+
+    def digest(text):
+        return merkle.digest_of([F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text])
+
+    now = F.when(crc_remainder("doc_id", 2) == 0, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(
+        F.col("text"))
+    proofs = merkle.manifest(docs, digest(F.col("text")), digest(now), tree="source", key="doc_id")
+    return proofs.select("doc_id", "leaf", "subroot", "root",
+                         F.sha2(merkle.siblings_text(F.col("proof")), 256).alias("proof_sha256"),
+                         "folded_root", "verified")
