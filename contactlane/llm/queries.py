@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, lm, merkle, mixing, ngram_join, packing, pii, quality, store, topk, url_filter, \
-    vectors
+from . import ann, bpe, chat, hard_negatives, lm, merkle, mixing, ngram_join, packing, pii, quality, \
+    store, topk, url_filter, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -160,6 +160,16 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 100th vector."""
+    rows = table(spark, sf_dir, "embeddings").where(vectors.usable(F.col("embedding")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(
+        rows.select("vec_id", label.alias("label"), topk.scaled(F.col("embedding")).alias("vec")),
+        F.col("vec_id") % 100 == 0, positives=5, negatives=10, low=30, high=90)
+
+
 @query
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots, proof and check of every document; half of them are held

@@ -1,0 +1,71 @@
+"""Hard negatives against all pairs."""
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from contactlane.llm import hard_negatives as H
+from contactlane.llm.queries import REGISTRY
+
+SF = "/root/testdata/sf0.01"
+NAMES = ("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def brute(rows, is_anchor, positives=5, negatives=10, low=30, high=90):
+    """rows: distinct (id, label, vec)."""
+    out = []
+    for a, label, v in rows:
+        if not is_anchor(a):
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(v, w)), i, own) for i, own, w in rows if i != a and len(w) == len(v))
+        for p, i, _ in [s for s in scored if s[2] == label][:positives]:
+            inside = [s for s in scored if s[2] != label and low * -p <= 100 * -s[0] <= high * -p][:negatives]
+            out += [(a, i, r + 1, j, -p, -n) for r, (n, j, _) in enumerate(inside)]
+    return sorted(out)
+
+
+def result(df):
+    assert df.columns == list(NAMES)
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.mark.parametrize("spread,block_rows", [(1, 37), (3, 500), (40, 64), (1 << 30, 90)])
+def test_equals_all_pairs(spark, spread, block_rows):
+    rng = np.random.default_rng(spread % 91)
+    rows = [(i - 20, int(rng.integers(0, 4)), [int(x) for x in rng.integers(-spread, spread + 1, size=4)])
+            for i in range(300)]
+    rows += [(1000 + i, 1, [1, 1, 0, 0]) for i in range(120)]  # one hot vector
+    rows += [(2000, 1, [1]), (2010, 1, [2]), (2011, 2, [1]), (2020, 3, []), (2021, 3, []), (2022, 1, [])]
+    df = spark.createDataFrame(rows, "vec_id long, label int, vec array<long>").repartition(3)
+    got = H.mine(df, F.col("vec_id") % 10 == 0, block_rows=block_rows)
+    assert result(got) == brute(rows, lambda i: i % 10 == 0)
+
+
+def test_rows_that_take_no_part_and_repeated_rows(spark):
+    rows = [(0, 1, [4, 1]), (0, 1, [4, 1]), (1, 1, [5, 0]), (2, 2, [2, 0]), (3, 2, [4, -3]), (3, 2, [4, -3]),
+            (4, None, [2, 0]), (5, 2, None), (6, 2, [2, None]), (None, 2, [2, 1]), (7, 3, [0, 0])]
+    df = spark.createDataFrame(rows, "vec_id long, label int, vec array<long>").withColumns(
+        {"score": F.lit("clash"), "block": F.lit(1.5), "rank": F.lit(0)})
+    clean = [(0, 1, [4, 1]), (1, 1, [5, 0]), (2, 2, [2, 0]), (3, 2, [4, -3]), (7, 3, [0, 0])]
+    assert result(H.mine(df, F.col("vec_id") == 0)) == brute(clean, lambda i: i == 0) != []
+    assert H.mine(df.limit(0), F.lit(True)).count() == 0
+    assert H.mine(df, F.lit(None).cast("boolean")).count() == 0
+    with pytest.raises(ValueError):
+        H.mine(df, F.lit(True), low=50, high=20)
+
+
+def test_keys_sort_like_their_parts():
+    rnd = random.Random(3)
+    ends = (-(1 << 63) + 1, -1, 0, 1, (1 << 63) - 1)
+    parts = [(rnd.choice(ends), rnd.choice(ends), rnd.choice(ends), rnd.choice((0, 1)), rnd.choice(ends))
+             for _ in range(500)]
+    by_key = sorted(parts, key=lambda p: H.pack(p[3], p[0], p[1], p[2], p[4]))
+    assert by_key == sorted(parts, key=lambda p: (p[0], p[1], -p[2], p[3], p[4]))
+
+
+def test_query_equals_all_pairs(spark):
+    table = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    rows = [(r["vec_id"], (r["label"] + 1) % 10 if r["vec_id"] % 7 == 0 else r["label"],
+             [int(np.floor(256 * float(x))) for x in r["embedding"]]) for r in table]
+    assert result(REGISTRY["op12_hard_negatives"](spark, SF)) == brute(rows, lambda i: i % 100 == 0)
