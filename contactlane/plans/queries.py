@@ -23,9 +23,9 @@ from ..operators import queue as Q
 from ..operators import routing as G
 from ..operators import validate as V
 from ..sources import fixtures as fx
-from ..sources import tables
+from ..sources import runs, tables
 from ..streaming.intake_stream import start_intake_stream
-from . import composed_sql, intake
+from . import composed_sql, intake, review_runs
 
 ACTOR = "reviewer@example.com"
 SEARCH_TEXT = "SAP0012"
@@ -425,18 +425,28 @@ def sink_folder(spark: SparkSession, name: str) -> str:
     return f"{tables.materialized_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def run_store(spark: SparkSession, name: str) -> runs.RunStore:
+    return runs.RunStore(spark, sink_folder(spark, name))
+
+
 def reviewed_table(spark: SparkSession, d: str, table: str) -> DataFrame:
     """One of the review's output tables after two runs over an empty log (the
     second adds nothing)."""
-    db = f"sink_{uuid.uuid4().hex[:12]}"
-    path = sink_folder(spark, "review")
-    spark.sql(f"CREATE DATABASE {db} LOCATION '{path}/db'")
-    tables.ensure_tables(spark, path, database=db)
-    names = [f"{db}.{t}" for t in ("approved_changes", "outgoing_emails", "review_actions")]
-    queue = tables.materialize(queue_extracted(spark, d), "review_queue")
+    store = run_store(spark, "review")
+    review_runs.run_intake(store, fx.emails(spark, d), directory(spark, d), as_of())
     for _ in range(2):
-        intake.run_review(queue, fx.emails(spark, d), ACTOR, as_of(), *names)
-    return spark.table(f"{db}.{table}")
+        review_runs.run_review(store, fx.emails(spark, d), ACTOR, as_of())
+    return store.read(table)
+
+
+@query
+def queue_as_of_run(spark, d):
+    """The queue of the first of two intake runs; the second had no directory."""
+    store = run_store(spark, "queue-runs")
+    emails = fx.emails(spark, d)
+    first = review_runs.run_intake(store, emails, directory(spark, d), as_of())["commit"]
+    review_runs.run_intake(store, emails, directory(spark, d).where("false"), as_of())
+    return store.read("review_queue", upto=first).withColumn("errors", errors_text("errors"))
 
 
 @query
