@@ -88,14 +88,27 @@ def write_snapshot(df: DataFrame, path: str, schema: T.StructType | None = None,
 
 def save_table(df: DataFrame, table: str, location: str, schema: T.StructType | None = None,
                partition_by: list[str] | None = None) -> None:
-    """Write a full snapshot as the catalog table ``table`` with its files at the
-    new ``location`` (an older table of that name is replaced in the catalog)."""
+    """Write a full snapshot to the new ``location`` and then let the catalog table
+    ``table`` point there. A write that fails leaves an older table as it was. One
+    without partitions and of the same columns just gets the new location;
+    else the table is replaced in the catalog once the files are there (for
+    snapshots that are never missing, see ``runs.RunStore``)."""
     out = conform(df, schema) if schema is not None else df
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
-    writer = out.write.mode("errorifexists").option("path", location)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    spark, by = df.sparkSession, partition_by or []
+    writer = out.write.mode("errorifexists")
+    (writer.partitionBy(*by) if by else writer).parquet(location)
+    columns = [f for f in out.schema if f.name not in by] + [out.schema[c] for c in by]
+    same = not by and spark.catalog.tableExists(table) and [
+        (f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in columns]
+    if same and not any(c.isPartition for c in spark.catalog.listColumns(table)):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in by)})" if by else ""
+        spark.sql(f"CREATE TABLE {table} ({schemas.ddl(T.StructType(columns))}) USING parquet{part} LOCATION '{location}'")
+    if by:
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    spark.catalog.refreshTable(table)
 
 
 # Stamps in CSV files keep their microseconds.

@@ -2,6 +2,8 @@
 import os
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from contactlane import session
 from contactlane.sources import tables
@@ -48,3 +50,18 @@ def test_materialize_writes_under_checkpoint_dir(spark):
     paths = out.inputFiles()
     assert paths and all(base.replace("file:", "") in p for p in paths)
     assert out.count() == 10
+
+
+def test_save_table_keeps_the_old_table_until_the_new_is_written(spark, tmpdir_path):
+    rows = spark.range(5).selectExpr("id", "id % 2 AS p")
+    for by, name in ((None, "swap_a"), (["p"], "swap_b")):
+        tables.save_table(rows, name, f"{tmpdir_path}/{name}1", partition_by=by)
+        before = spark.table(name)
+        with pytest.raises(PySparkException):
+            tables.save_table(rows.withColumn("id", F.raise_error(F.lit("no")).cast("long")), name,
+                              f"{tmpdir_path}/{name}2", partition_by=by)
+        assert spark.table(name).count() == 5
+        tables.save_table(rows.where("id < 2"), name, f"{tmpdir_path}/{name}3", partition_by=by)
+        assert spark.table(name).count() == 2 and (by or before.count() == 5)
+        tables.save_table(spark.range(1).selectExpr("'x' AS other"), name, f"{tmpdir_path}/{name}4")
+        assert spark.table(name).columns == ["other"]
