@@ -25,7 +25,7 @@ from ..operators import validate as V
 from ..sources import fixtures as fx
 from ..sources import runs, tables
 from ..streaming.intake_stream import start_intake_stream
-from . import composed_sql, intake, review_runs
+from . import composed_sql, extraction_store, intake, log_state, review_runs
 
 ACTOR = "reviewer@example.com"
 SEARCH_TEXT = "SAP0012"
@@ -425,8 +425,8 @@ def sink_folder(spark: SparkSession, name: str) -> str:
     return f"{tables.materialized_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def run_store(spark: SparkSession, name: str) -> runs.RunStore:
-    return runs.RunStore(spark, sink_folder(spark, name))
+def run_store(spark: SparkSession, name: str, known: dict[str, runs.RunTable] | None = None) -> runs.RunStore:
+    return runs.RunStore(spark, sink_folder(spark, name), known)
 
 
 def reviewed_table(spark: SparkSession, d: str, table: str) -> DataFrame:
@@ -449,6 +449,54 @@ def queue_as_of_run(spark, d):
     return store.read("review_queue", upto=first).withColumn("errors", errors_text("errors"))
 
 
+@query
+def extraction_reused(spark, d):
+    """Fields from the result store after two runs: the second only tries the
+    bodies again that the extractor failed on."""
+    store = run_store(spark, "extractions", {extraction_store.RESULTS: extraction_store.RESULT_TABLE})
+    emails = fx.emails(spark, d).select("email_id", "sender", "body")
+    for _ in range(2):
+        extraction_store.run_extraction(store, emails, field_reader)
+    return extraction_store.with_results(store, emails).select(
+        "email_id", *X.EXTRACTION_FIELDS, "extraction_error", "attempts")
+
+
+LOG_PIECES = 3
+
+
+def piecewise_log(spark: SparkSession, d: str, after_each) -> runs.RunStore:
+    """The action log committed in ``LOG_PIECES`` runs whose times interleave;
+    ``after_each`` is called after every one."""
+    store = run_store(spark, "log", log_state.TABLES)
+    actions = fx.actions(spark, d).withColumns({"old_values": F.lit(None).cast("string"),
+                                                "new_values": F.lit(None).cast("string")})
+    for piece in range(LOG_PIECES):
+        run = store.begin("log")
+        run.write(log_state.LOG, actions.where(F.col("event_id") % LOG_PIECES == piece))
+        run.commit()
+        after_each(store)
+    return store
+
+
+@query
+def action_state(spark, d):
+    store = piecewise_log(spark, d, log_state.update_state)
+    return log_state.flat_state(store.read(log_state.STATE))
+
+
+@query
+def pending_by_state(spark, d):
+    """The pending list against the state's ids, not the log."""
+    store = piecewise_log(spark, d, log_state.update_state)
+    return Q.pending_items(queue_extracted(spark, d), store.read(log_state.STATE))
+
+
+@query
+def alerts_since_mark(spark, d):
+    store = piecewise_log(spark, d, log_state.alert)
+    return store.read(log_state.ALERTS).select("action", "n_new", "latest_at", "from_commit", "to_commit")
+
+
 @query
 def sink_directory(spark, d):
     path = sink_folder(spark, "directory")

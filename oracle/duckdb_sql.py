@@ -359,6 +359,33 @@ SELECT email_id,
   CASE WHEN NOT broken THEN 'account_update' END AS request_type,
   CASE WHEN broken THEN 'ValueError: unreadable body' WHEN late THEN 'model timeout' END AS extraction_error
 FROM r""",
+    "extraction_reused": f"""WITH {FX_FIELDS},\n{FX_EMAILS},
+r AS (SELECT email_id, body, contains(body, 'Cher') AS broken, contains(body, 'no form attached') AS late FROM fx_emails)
+SELECT email_id,
+  CASE WHEN NOT broken AND NOT late THEN nullif(regexp_extract(body, 'SAP[0-9]{{6}}'), '') END AS sap_id,
+  CAST(NULL AS VARCHAR) AS contact_name,
+  CASE WHEN NOT broken AND NOT late THEN nullif(regexp_extract(body, 'user[0-9]+@example\\.org'), '') END AS contact_email,
+  CASE WHEN NOT broken AND NOT late THEN nullif(regexp_extract(body, '[0-9]{{3}}\\.555\\.[0-9]{{4}}'), '') END AS contact_phone,
+  CASE WHEN NOT broken THEN 'account_update' END AS request_type,
+  CASE WHEN broken THEN 'ValueError: unreadable body' WHEN late THEN 'model timeout' END AS extraction_error,
+  CASE WHEN broken OR late THEN 2 ELSE 1 END AS attempts
+FROM r""",
+    "action_state": f"""WITH {FX_ACTIONS},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY email_id ORDER BY created_at, action, actor_email) AS up,
+             row_number() OVER (PARTITION BY email_id ORDER BY created_at DESC, action DESC, actor_email DESC) AS down
+           FROM fx_actions WHERE email_id IS NOT NULL)
+SELECT email_id, count(*) AS n_actions,
+  max(created_at) FILTER (up = 1) AS first_action_at, max(action) FILTER (up = 1) AS first_action,
+  max(actor_email) FILTER (up = 1) AS first_actor,
+  max(created_at) FILTER (down = 1) AS last_action_at, max(action) FILTER (down = 1) AS last_action,
+  max(actor_email) FILTER (down = 1) AS last_actor
+FROM ranked GROUP BY email_id""",
+    # Three commits of the log with an alert after each: 1, 3 and 5 are the log's.
+    "alerts_since_mark": f"""WITH {FX_ACTIONS}
+SELECT action, count(*) AS n_new, max(created_at) AS latest_at,
+  CASE event_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 4 END::BIGINT AS from_commit,
+  CASE event_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 3 ELSE 5 END::BIGINT AS to_commit
+FROM fx_actions GROUP BY action, event_id % 3""",
     "null_flag_routing": DIRECT + """, f AS (SELECT email_id,
   CASE WHEN c_custkey % 5 <> 0 THEN sap_id_valid END AS sap_id_valid,
   CASE WHEN c_custkey % 5 <> 1 THEN name_valid END AS name_valid,
@@ -408,6 +435,7 @@ FROM q WHERE queue_type IN ('detailed_review', 'rejected')""",
     "auto_approve_view": DIRECT + """SELECT email_id, validation_status, normalized_sap_id, normalized_name,
   normalized_phone AS contact_phone, contact_email, queued_at FROM q WHERE queue_type = 'quick_approval'""",
     "pending_items": EXTRACTED_Q + f"SELECT {PENDING_COLS} FROM pending",
+    "pending_by_state": EXTRACTED_Q + f"SELECT {PENDING_COLS} FROM pending",
     "pending_search": EXTRACTED_Q + f"""SELECT {PENDING_COLS} FROM pending
 WHERE contains(email_id, 'SAP0012') OR contains(sender, 'SAP0012') OR contains(sap_id, 'SAP0012')
    OR contains(normalized_sap_id, 'SAP0012')""",

@@ -1,0 +1,116 @@
+"""State and alerts fed from new commits only."""
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from contactlane.operators import audit as A
+from contactlane.plans import log_state as L
+from contactlane.sources import fixtures as fx
+from contactlane.sources import runs as R
+
+
+def log(spark):
+    return fx.actions(spark, SF001).withColumns({"old_values": F.lit(None).cast("string"),
+                                                 "new_values": F.lit(None).cast("string")})
+
+
+def add(store, rows):
+    run = store.begin("log")
+    run.write(L.LOG, rows)
+    return run.commit()
+
+
+def same(a, b):
+    return sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_state_equals_full_pass_after_any_split(spark, tmpdir_path, seed):
+    store, rnd, rows = R.RunStore(spark, tmpdir_path, L.TABLES), random.Random(seed), log(spark)
+    assert L.update_state(store) is None
+    pieces = rnd.randint(2, 5)
+    part = F.pmod(F.xxhash64("event_id", F.lit(seed)), F.lit(pieces))
+    for k in range(pieces):
+        add(store, rows.where(part == k))
+        if rnd.random() < 0.6:
+            L.update_state(store)
+    L.update_state(store)
+    state = store.read(L.STATE)
+    assert same(L.flat_state(state), L.flat_state(L.state_of(rows)))
+    firsts = {r["email_id"]: (r["first_action_at"], r["n_actions"]) for r in A.first_action(rows).collect()}
+    assert firsts == {r["email_id"]: (r["first_action_at"], r["n_actions"]) for r in L.flat_state(state).collect()}
+    assert L.update_state(store) is None                          # nothing new: no commit
+
+
+def test_only_new_folders_are_read(spark, tmpdir_path):
+    store, rows = R.RunStore(spark, tmpdir_path, L.TABLES), log(spark)
+    add(store, rows.where("event_id % 2 = 0"))
+    L.update_state(store)
+    last = add(store, rows.where("event_id % 2 = 1"))
+    run = store.begin("state")
+    new, after = L.new_actions(run, L.STATE)
+    assert after == 1 and all(f"run={store.commits()[last - 1].run}" in f for f in new.inputFiles())
+
+
+def test_ids_that_are_null_and_empty_pieces(spark, tmpdir_path):
+    store = R.RunStore(spark, tmpdir_path, L.TABLES)
+    schema = "email_id string, action string, actor_email string, old_values string, new_values string, " \
+             "reason string, created_at timestamp_ntz"
+    add(store, spark.createDataFrame([], schema))
+    assert L.update_state(store) == 2 and store.read(L.STATE).count() == 0
+    rows = spark.sql("SELECT CAST(NULL AS STRING) email_id, 'x' action, 'a' actor_email, '' old_values, '' new_values, "
+                     "CAST(NULL AS STRING) reason, TIMESTAMP_NTZ '2024-01-05 00:00:00' created_at")
+    add(store, rows.union(rows.withColumn("email_id", F.lit("e"))).union(
+        rows.withColumns({"email_id": F.lit("e"), "created_at": F.expr("TIMESTAMP_NTZ '2024-01-02 00:00:00'")})))
+    L.update_state(store)
+    got = L.flat_state(store.read(L.STATE)).collect()
+    assert [(r["email_id"], r["n_actions"], str(r["first_action_at"])) for r in got] == [("e", 2, "2024-01-02 00:00:00")]
+
+
+def test_two_updates_at_once_count_nothing_twice(spark, tmpdir_path, monkeypatch):
+    store, rows = R.RunStore(spark, tmpdir_path, L.TABLES), log(spark)
+    add(store, rows)
+    commit, inner = R.Run.commit, []
+
+    def overtaken(self, *args, **more):
+        if self.kind == "state" and not inner:
+            inner.append(True)
+            L.update_state(R.RunStore(spark, tmpdir_path, L.TABLES))
+        return commit(self, *args, **more)
+
+    monkeypatch.setattr(R.Run, "commit", overtaken)
+    assert L.update_state(store) is None                          # the other one has done it all
+    assert same(L.flat_state(store.read(L.STATE)), L.flat_state(L.state_of(rows)))
+
+
+def test_every_action_is_in_one_alert_batch(spark, tmpdir_path, monkeypatch):
+    store, rows = R.RunStore(spark, tmpdir_path, L.TABLES), log(spark)
+    assert L.alert(store) is None
+    add(store, rows.where("event_id % 3 = 0"))
+    write = R.Run.write
+
+    def failing(self, table, frame):
+        if table == L.ALERTS:
+            write(self, table, frame)
+            raise OSError("the mail gateway is down")
+        write(self, table, frame)
+
+    monkeypatch.setattr(R.Run, "write", failing)
+    with pytest.raises(OSError):
+        L.alert(store)
+    monkeypatch.undo()
+    assert store.read(L.ALERTS).count() == 0
+    add(store, rows.where("event_id % 3 = 1"))
+    assert L.alert(store) == 3                                    # both pieces: the failed batch moved nothing
+    assert L.alert(store) is None
+    add(store, rows.where("event_id % 3 = 2"))
+    assert L.alert(store) == 5 and L.alert(store, "other") == 6
+    alerts = store.read(L.ALERTS)
+    total = {(r["consumer"], r["action"]): r["n"] for r in
+             alerts.groupBy("consumer", "action").agg(F.sum("n_new").alias("n")).collect()}
+    want = {r["action"]: r["count"] for r in rows.groupBy("action").count().collect()}
+    assert total == {(c, a): n for c in ("default", "other") for a, n in want.items()}
+    spans = {tuple(r) for r in alerts.where("consumer = 'default'").select("from_commit", "to_commit").distinct().collect()}
+    assert spans == {(1, 2), (3, 4)}
