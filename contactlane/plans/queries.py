@@ -25,10 +25,11 @@ from ..operators import validate as V
 from ..sources import fixtures as fx
 from ..sources import runs, tables
 from ..streaming.intake_stream import start_intake_stream
-from . import composed_sql, extraction_store, intake, log_state, review_runs
+from . import composed_sql, extraction_store, intake, log_state, review_runs, search_index
 
 ACTOR = "reviewer@example.com"
 SEARCH_TEXT = "SAP0012"
+SEARCH_PATTERN = "SAP00_2%1"
 SINCE = "2024-01-15 00:00:00"
 TOPK = 100
 
@@ -461,6 +462,23 @@ def extraction_reused(spark, d):
         "email_id", *X.EXTRACTION_FIELDS, "extraction_error", "attempts")
 
 
+def indexed_store(spark: SparkSession, d: str) -> runs.RunStore:
+    store = run_store(spark, "search", search_index.TABLES)
+    review_runs.run_intake(store, fx.emails(spark, d), directory(spark, d), as_of())
+    search_index.build_index(store)
+    return store
+
+
+@query
+def pending_search_indexed(spark, d):
+    return search_index.pending_search(indexed_store(spark, d), fx.actions(spark, d), SEARCH_TEXT)
+
+
+@query
+def pending_like_indexed(spark, d):
+    return search_index.pending_search(indexed_store(spark, d), fx.actions(spark, d), SEARCH_PATTERN, mode="like")
+
+
 LOG_PIECES = 3
 
 

@@ -439,6 +439,12 @@ FROM q WHERE queue_type IN ('detailed_review', 'rejected')""",
     "pending_search": EXTRACTED_Q + f"""SELECT {PENDING_COLS} FROM pending
 WHERE contains(email_id, 'SAP0012') OR contains(sender, 'SAP0012') OR contains(sap_id, 'SAP0012')
    OR contains(normalized_sap_id, 'SAP0012')""",
+    "pending_search_indexed": EXTRACTED_Q + f"""SELECT {PENDING_COLS} FROM pending
+WHERE contains(email_id, 'SAP0012') OR contains(sender, 'SAP0012') OR contains(sap_id, 'SAP0012')
+   OR contains(normalized_sap_id, 'SAP0012')""",
+    "pending_like_indexed": EXTRACTED_Q + f"""SELECT {PENDING_COLS} FROM pending
+WHERE email_id LIKE '%SAP00_2%1%' OR sender LIKE '%SAP00_2%1%' OR sap_id LIKE '%SAP00_2%1%'
+   OR normalized_sap_id LIKE '%SAP00_2%1%'""",
     "pending_topk": EXTRACTED_Q + f"SELECT {PENDING_COLS} FROM pending "
                                   "ORDER BY validation_status DESC, email_id LIMIT 100",
     "kpi_counts": EXTRACTED_Q + """SELECT count(*) AS total,
