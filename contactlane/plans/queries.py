@@ -574,6 +574,18 @@ def stream_queue(spark, d):
     return tables.read_queue(spark, out).withColumn("errors", errors_text("errors"))
 
 
+@query
+def stream_resent(spark, d):
+    """Every message comes twice, in later files; the queue has it once."""
+    source, out = sink_folder(spark, "incoming"), sink_folder(spark, "stream-queue")
+    emails = fx.emails(spark, d).select("email_id", "sender", "body", "sap_id")
+    emails.repartition(2, "email_id").write.parquet(source)
+    emails.repartition(2, "sender").write.mode("append").parquet(source)
+    start_intake_stream(spark, source, directory(spark, d), out, sink_folder(spark, "stream-state"),
+                        as_of=as_of(), max_files_per_trigger=1, resent_within="1 day").awaitTermination()
+    return tables.read_queue(spark, out).withColumn("errors", errors_text("errors"))
+
+
 # -- documents ------------------------------------------------------------------
 
 @query

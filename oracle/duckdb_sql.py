@@ -583,6 +583,7 @@ ORDER BY created_at DESC, email_id DESC, subject DESC, created_by DESC LIMIT 100
     "sink_review_queue": QUEUE_OUT,
     "sink_catalog_queue": QUEUE_OUT,
     "queue_as_of_run": QUEUE_OUT,
+    "stream_resent": QUEUE_OUT,
     "stream_queue": QUEUE_OUT,
     "intake_counts": EXTRACTED_FULL + """SELECT measure, n FROM (
   SELECT 'rows' AS measure, count(*) AS n FROM q
