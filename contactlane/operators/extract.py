@@ -49,49 +49,76 @@ BAD_RESPONSE = "unparseable_response"
 _STOP = "|".join(LABELS.values()) + "|" + CLOSING_PHRASE
 
 
-def labelled_value_sql(body: str, field: str) -> str:
-    """The stripped value after ``field``'s first label, NULL when absent or empty.
+def label_forms(pattern: str) -> list[str]:
+    """The texts a label pattern stands for: plain text with optional groups."""
+    before, found, rest = pattern.partition("(?:")
+    if not found:
+        return [pattern]
+    optional, _, after = rest.partition(")?")
+    return [before + x + y for x in (optional, "") for y in label_forms(after)]
 
-    Two cuts, each one pass over the text: the text after the first label, then
-    what stands before the next label, the closing phrase or a line break.
-    Nothing is retried, so long runs of blanks or half labels cost no more than
-    other text.
-    """
-    after = f"get(split({body}, {sql_string(LABELS[field])}, 2), 1)"
-    value = f"get(split({after}, {sql_string(_STOP + '|' + LINE_BREAK)}, 2), 0)"
-    return f"nullif({tx.strip(value)}, '')"
+
+# The field of each label text, and one pattern for everything that ends a value.
+LABEL_FIELDS = {form: field for field, pattern in LABELS.items() for form in label_forms(pattern)}
+# The look-ahead spares the alternatives wherever no label can begin.
+_BEGIN = "".join(sorted({form[0] for form in (*LABEL_FIELDS, CLOSING_PHRASE)})) + LINE_BREAK.strip("[]")
+_MARK = f"(?=[{_BEGIN}])(?:{_STOP}|{LINE_BREAK})"
+
+
+def parts_sql(body: str) -> str:
+    """The texts between labels, closing phrases and line breaks."""
+    return f"split({body}, {sql_string(_MARK)})"
+
+
+def marks_sql(body: str) -> str:
+    """What stands between those texts, as the names of fields (NULL for what is not
+    a label): the ``i``-th comes before the text of index ``i`` (from 1)."""
+    names = ", ".join(f"{sql_string(form)}, {sql_string(field)}" for form, field in LABEL_FIELDS.items())
+    return (f"transform(regexp_extract_all({body}, {sql_string(_MARK)}, 0), "
+            f"m -> try_element_at(map({names}), m))")
+
+
+def value_sql(parts: str, marks: str, field: str) -> str:
+    """The stripped text after ``field``'s first label, NULL when absent or empty."""
+    at = f"CAST(nullif(array_position({marks}, {sql_string(field)}), 0) AS INT)"
+    return f"nullif({tx.strip(f'get({parts}, {at})')}, '')"
 
 
 def extract_struct_sql(body: str) -> str:
-    """SQL of the 7-field extraction struct for one body expression."""
-    values = {f: labelled_value_sql(body, f) for f in EXTRACTION_FIELDS}
-    found = " OR ".join(f"{values[f]} IS NOT NULL" for f in FIELDS)
-    return ("named_struct("
-            + ", ".join(f"'{f}', {values[f]}" for f in FIELDS)
-            + f", 'request_type', coalesce({values['request_type']}, "
-            f"{sql_string(DEFAULT_REQUEST_TYPE)})"
+    """SQL of the 7-field extraction struct for one body expression. The body is taken
+    apart once, whatever is read from the struct later."""
+    values = {f: value_sql("x.parts", "x.marks", f) for f in EXTRACTION_FIELDS}
+    found = " OR ".join(f"y.{f} IS NOT NULL" for f in FIELDS)
+    pieces = f"array(named_struct('parts', {parts_sql(body)}, 'marks', {marks_sql(body)}))"
+    fields = f"transform({pieces}, x -> named_struct({', '.join(f'{sql_string(f)}, {v}' for f, v in values.items())}))"
+    return (f"get(transform({fields}, y -> named_struct("
+            + ", ".join(f"'{f}', y.{f}" for f in FIELDS)
+            + f", 'request_type', coalesce(y.request_type, {sql_string(DEFAULT_REQUEST_TYPE)})"
             + f", 'raw', {body}"
             + f", 'error', CASE WHEN {body} IS NULL THEN {sql_string(NO_RESPONSE)} "
-            f"WHEN NOT ({found}) THEN {sql_string(NO_FIELDS)} END)")
+            f"WHEN NOT ({found}) THEN {sql_string(NO_FIELDS)} END)), 0)")
 
 
 def extract_labelled(df: DataFrame, body: str = "body") -> DataFrame:
     """Add the four contact fields, ``request_type`` and ``extraction_error``.
 
-    Each label regex runs once per row: values are extracted in one
-    projection, the defaults and the outcome are derived from them in the next.
+    One pass cuts the body at every label, closing phrase and line break, one
+    collects what it was cut at; each field is the text after its first label.
+    Nothing is retried, so long runs of blanks or half labels cost no more than
+    other text.
     """
-    values = {f"_x_{f}": F.expr(labelled_value_sql(ident(body), f)) for f in EXTRACTION_FIELDS}
     found = F.lit(False)
     for f in FIELDS:
         found = found | F.col(f"_x_{f}").isNotNull()
     error = (F.when(F.col(body).isNull(), F.lit(NO_RESPONSE))
              .when(~found, F.lit(NO_FIELDS)))
-    out = df.withColumns(values).withColumns(
+    out = df.withColumns({"_x_parts": F.expr(parts_sql(ident(body))), "_x_marks": F.expr(marks_sql(ident(body)))})
+    out = out.withColumns({f"_x_{f}": F.expr(value_sql("_x_parts", "_x_marks", f)) for f in EXTRACTION_FIELDS})
+    out = out.withColumns(
         {f: F.col(f"_x_{f}") for f in FIELDS}
         | {"request_type": F.coalesce(F.col("_x_request_type"), F.lit(DEFAULT_REQUEST_TYPE)),
            "extraction_error": error})
-    return out.drop(*values)
+    return out.drop("_x_parts", "_x_marks", *[f"_x_{f}" for f in EXTRACTION_FIELDS])
 
 
 def extracted_view(df: DataFrame, body: str = "body") -> DataFrame:

@@ -12,7 +12,9 @@ def review_records_sql(emails_table: str, directory_table: str, prefix: str = "f
     is looked up, then the record is routed and packed; the packed record is
     unpacked into the review columns. The lookup is a join with the distinct
     ids; a message without a valid id gets a key of its own that no account
-    has, so that such messages spread over all partitions."""
+    has, so that such messages spread over all partitions. The key is a struct,
+    so the distinct ids are dealt out once more for the join, and Spark can split
+    an account that holds a large share of the messages."""
     f = prefix
     return f"""
 WITH checked AS (
@@ -21,10 +23,11 @@ WITH checked AS (
          {f}validate_email(x.contact_email) AS v_mail, {f}validate_phone(x.contact_phone) AS v_tel
   FROM (SELECT email_id, sender, {f}extract_email(body) AS x FROM {emails_table})
 ),
-accounts AS (SELECT DISTINCT upper(sap_id) AS account FROM {directory_table} WHERE sap_id IS NOT NULL),
+accounts AS (SELECT named_struct('id', account) AS account
+             FROM (SELECT DISTINCT upper(sap_id) AS account FROM {directory_table} WHERE sap_id IS NOT NULL)),
 known AS (SELECT c.*, account IS NOT NULL AS in_directory
           FROM checked c LEFT JOIN accounts
-            ON account = coalesce(upper(v_id.normalized), concat('no id ', xxhash64(email_id, sender))))
+            ON account = named_struct('id', coalesce(upper(v_id.normalized), concat('no id ', xxhash64(email_id, sender)))))
 SELECT rec.email_id, rec.sender, rec.validation_status, rec.queue_type, rec.normalized_sap_id,
        rec.normalized_name, rec.contact_email, rec.normalized_phone, rec.sap_exists
 FROM (

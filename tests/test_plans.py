@@ -134,3 +134,39 @@ def test_rules_run_in_whole_stage_codegen(spark):
     nodes = [ln.strip() for ln in final.splitlines() if "Project [" in ln]
     assert len(nodes) >= 4
     assert all(ln.lstrip(":+- ").startswith("*(") for ln in nodes), nodes[:3]
+
+
+def test_bodies_are_cut_once(spark):
+    """The label pattern runs twice a body -- to cut it and to name the cuts -- however
+    many fields are read, in the frame and in the SQL function."""
+    from pyspark.sql import functions as F
+
+    from contactlane.operators import extract as X
+
+    emails = fx.emails(spark, SF001).select("email_id", "body")
+    struct = emails.select(F.expr(X.extract_struct_sql("body")).alias("x")).select("x.*")
+    for df in (X.extract_labelled(emails), struct):
+        optimized = df._jdf.queryExecution().optimizedPlan().toString()
+        assert optimized.count("regexp_extract_all(") == 1 and optimized.count("split(") == 1
+
+
+def test_hot_account_of_the_sql_statement_is_split(spark):
+    from pyspark.sql import functions as F
+
+    from contactlane.plans import composed_sql
+
+    body = F.concat(F.lit("Name: A B SAP ID: "), F.when(F.col("id") % 3 == 0, "SAP000001").otherwise(
+        F.concat(F.lit("SAP"), F.lpad(F.col("id").cast("string"), 6, "0"))), F.lit(" Thank you"))
+    emails = spark.range(30000).select(F.concat(F.lit("e"), "id").alias("email_id"), F.lit("s").alias("sender"),
+                                       body.alias("body"))
+    directory = spark.range(5000).select(F.concat(F.lit("SAP"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("sap_id"))
+    kept = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    try:
+        for k, v in SKEW_CONF.items():
+            spark.conf.set(k, v)
+        out = composed_sql.review_records(spark, emails, directory)
+        assert len(out.collect()) == 30000
+        assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
