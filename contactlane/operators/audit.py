@@ -7,13 +7,14 @@ combine map-side, instead of ranking a whole key's rows in one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.joins import lookup
-from ..sources.tables import export_csv
+from ..sources.tables import export_csv, materialize
+from .quantiles import exact_quantiles
 
 # Display labels of audit actions (others shown as stored).
 ACTION_LABELS = {"confirmed": "✅ Confirmed", "followup_sent": "📤 Follow-up Sent"}
@@ -71,51 +72,28 @@ def first_action(actions: DataFrame, tie: str = "action") -> DataFrame:
         F.count(F.lit(1)).alias("n_actions"))
 
 
-MEDIAN_BUCKETS = 4096
+def exact_median(df: DataFrame, by: Sequence[str], value: str, out: str) -> DataFrame:
+    """``by..., out``: the lower median of the non-NULL ``value`` per group, exactly."""
+    return exact_quantiles(df, by, value, {out: 0.5})
 
 
-def exact_median(df: DataFrame, by: Sequence[str], value: str, out: str) -> DataFrame:
-    """``by..., out``: the lower median of the non-NULL ``value`` per group, exactly.
-
-    A histogram of ``MEDIAN_BUCKETS`` equal ranges per group finds the range
-    that holds the median; only that range's distinct values are ordered.
-    """
-    own = [F.col(c).alias(f"_m_{c}") for c in by]
-    rows = df.where(F.col(value).isNotNull()).select(*own, F.col(value).alias("_v"))
-    keys = [f"_m_{c}" for c in by]
-    group = F.struct(*keys)
-    ends = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
-                                   F.max("_v").alias("_hi"))
-    ends = ends.select(group.alias("_g2"), "_n", "_lo", "_hi")
-    rows = rows.select(group.alias("_g"), "_v").groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    rows = rows.join(ends, F.col("_g").eqNullSafe(F.col("_g2"))).drop("_g2")
-    width = (F.col("_hi") - F.col("_lo")) / MEDIAN_BUCKETS
-    bucket = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width),
-                                       F.lit(MEDIAN_BUCKETS - 1))).otherwise(F.lit(0))
-    rows = rows.withColumn("_b", bucket)
-    upto = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    sums = rows.groupBy("_g", "_b", "_n").agg(F.sum("_c").alias("_in"))
-    sums = sums.withColumn("_before", F.coalesce(F.sum("_in").over(upto), F.lit(0)))
-    half = F.ceil(F.col("_n") / 2)
-    hit = sums.where((F.col("_before") < half) & (half <= F.col("_before") + F.col("_in"))).select(
-        F.col("_g").alias("_g2"), F.col("_b").alias("_b2"), "_before")
-    inside = rows.join(hit, F.col("_g").eqNullSafe(F.col("_g2")) & (F.col("_b") == F.col("_b2")))
-    running = Window.partitionBy("_g").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    inside = inside.withColumn("_upto", F.col("_before") + F.sum("_c").over(running)).where(F.col("_upto") >= half)
-    found = inside.groupBy("_g").agg(F.min("_v").alias(out))
-    return found.select(*[F.col(f"_g._m_{c}").alias(c) for c in by], out)
+# Shares of the items, and the columns their seconds come in.
+QUANTILES = {"p50_seconds": 0.5}
+TAIL_QUANTILES = {"p50_seconds": 0.5, "p90_seconds": 0.9, "p99_seconds": 0.99}
 
 
 def turnaround(queue: DataFrame, actions: DataFrame, tie: str = "action",
-               by: Sequence[str] = ("validation_status",)) -> DataFrame:
+               by: Sequence[str] = ("validation_status",),
+               quantiles: Mapping[str, float] = QUANTILES) -> DataFrame:
     """R2: per status (or ``by``, e.g. status and ``first_actor``), how many
     items were acted on and how long after queueing the first action came
-    (seconds; the median is exact)."""
+    (seconds; the quantiles are exact). The times are written once under the
+    checkpoint folder, and everything else reads them there."""
     firsts = first_action(actions, tie).withColumnRenamed("email_id", "_fa_id")
     joined = lookup(queue.select("email_id", "validation_status", "queued_at"), firsts,
                     "email_id", "_fa_id")
     secs = F.expr("timestampdiff(MICROSECOND, queued_at, first_action_at)") / F.lit(1e6)
-    timed = joined.withColumn("_secs", secs).select(*by, "_secs", "n_actions")
+    timed = materialize(joined.withColumn("_secs", secs).select(*by, "_secs", "n_actions"), "turnaround")
     out = timed.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_items"),
         F.count("_secs").alias("n_actioned"),
@@ -123,13 +101,12 @@ def turnaround(queue: DataFrame, actions: DataFrame, tie: str = "action",
         F.round(F.avg("_secs"), 3).alias("avg_seconds"),
         F.round(F.min("_secs"), 3).alias("min_seconds"),
         F.round(F.max("_secs"), 3).alias("max_seconds"))
-    median = exact_median(timed, by, "_secs", "p50_seconds").select(
-        *[F.col(c).alias(f"_p_{c}") for c in by], "p50_seconds")
+    found = exact_quantiles(timed, by, "_secs", quantiles).select(
+        *[F.col(c).alias(f"_p_{c}") for c in by], *[F.round(q, 3).alias(q) for q in quantiles])
     same = F.lit(True)
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
-    return out.join(median, same, "left").drop(*[f"_p_{c}" for c in by]).withColumn(
-        "p50_seconds", F.round("p50_seconds", 3))
+    return out.join(found, same, "left").drop(*[f"_p_{c}" for c in by])
 
 
 def new_since(df: DataFrame, ts: str, since: Column, by: Sequence[str],

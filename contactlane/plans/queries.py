@@ -414,6 +414,12 @@ def turnaround_by_actor(spark, d):
                         by=("validation_status", "first_actor"))
 
 
+@query
+def turnaround_quantiles(spark, d):
+    return A.turnaround(queue_extracted(spark, d), fx.actions(spark, d), tie="event_id",
+                        quantiles=A.TAIL_QUANTILES)
+
+
 @query
 def new_since(spark, d):
     return A.new_since(fx.actions(spark, d), "created_at",

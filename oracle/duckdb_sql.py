@@ -510,6 +510,18 @@ SELECT validation_status, count(*) AS n_items, count(secs) AS n_actioned,
   CAST(sum(n_actions) AS BIGINT) AS n_actions,
   round(avg(secs), 3) AS avg_seconds, round(min(secs), 3) AS min_seconds,
   round(max(secs), 3) AS max_seconds, round(quantile_disc(secs, 0.5), 3) AS p50_seconds
+FROM j GROUP BY validation_status""",
+    "turnaround_quantiles": EXTRACTED_Q.rstrip("\n") + """,
+fa AS (SELECT email_id, min(created_at) AS first_at, count(*) AS n_actions FROM fx_actions
+       WHERE email_id IS NOT NULL GROUP BY email_id),
+j AS (SELECT q.validation_status, fa.n_actions,
+        (epoch_us(fa.first_at) - epoch_us(q.queued_at)) / 1e6 AS secs
+      FROM q LEFT JOIN fa ON q.email_id = fa.email_id)
+SELECT validation_status, count(*) AS n_items, count(secs) AS n_actioned,
+  CAST(sum(n_actions) AS BIGINT) AS n_actions,
+  round(avg(secs), 3) AS avg_seconds, round(min(secs), 3) AS min_seconds,
+  round(max(secs), 3) AS max_seconds, round(quantile_disc(secs, 0.5), 3) AS p50_seconds,
+  round(quantile_disc(secs, 0.9), 3) AS p90_seconds, round(quantile_disc(secs, 0.99), 3) AS p99_seconds
 FROM j GROUP BY validation_status""",
     "turnaround_by_actor": EXTRACTED_Q.rstrip("\n") + """,
 fa AS (SELECT email_id, min(created_at) AS first_at, count(*) AS n_actions FROM fx_actions
