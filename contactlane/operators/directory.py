@@ -24,7 +24,9 @@ def build_directory(ids: DataFrame, id_col: str = "sap_id", as_of=None) -> DataF
 
 def with_directory_flag(df: DataFrame, directory: DataFrame,
                         key: str = "normalized_sap_id", out: str = "sap_exists",
-                        directory_key: str = "sap_id") -> DataFrame:
+                        directory_key: str = "sap_id", filtered: bool = False) -> DataFrame:
     """``df`` plus ``out``: the (normalised) id is in the directory. Row count
-    is preserved; a NULL id gives ``false``."""
-    return joins.exists_flag(df, directory, key, directory_key, out)
+    is preserved; a NULL id gives ``false``. ``filtered``: ids that a bitmap of the
+    directory rules out are not shuffled (for a stored ``df``, which is read twice)."""
+    flag = joins.exists_flag_filtered if filtered else joins.exists_flag
+    return flag(df, directory, key, directory_key, out)

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import materialize
+
 # Columns that may hold long texts; the salt of a NULL key never reads them.
 LONG_COLUMNS = ("body", "email_body", "message_body", "source_email_body", "raw", "response", "text")
 SALT_COLUMNS = 4
@@ -80,6 +82,53 @@ def exists_flag(left: DataFrame, keys: DataFrame, left_key: str, key: str, out:
     return joined.withColumn(out, F.coalesce(F.col("_ex_hit"), F.lit(False))).drop("_ex_hit")
 
 
+# A filter of so many 64-bit words at most is sent to every executor (some 40 MB).
+FILTER_WORDS = 1 << 20
+BITS_PER_KEY = 16
+
+
+def key_filter(keys: DataFrame, key: str) -> tuple[DataFrame, int] | None:
+    """A bitmap of the hashes of ``keys[key]`` as ``word, bits`` rows, and its number of
+    bits -- set from the number of distinct keys; ``None`` where it would take
+    more than ``FILTER_WORDS`` words."""
+    n = keys.agg(F.approx_count_distinct(key)).first()[0]
+    size = 1 << max(10, (BITS_PER_KEY * n - 1).bit_length())
+    if size // 64 > FILTER_WORDS:
+        return None
+    at = _bit_of(F.col(key), size)
+    words = keys.where(F.col(key).isNotNull()).groupBy(F.shiftright(at, 6).alias("_f_word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(63).cast("int"))).alias("_f_bits"))
+    return words, size
+
+
+def _bit_of(key: Column, size: int) -> Column:
+    return F.xxhash64(key).bitwiseAND(F.lit(size - 1).cast("long"))
+
+
+def exists_flag_filtered(left: DataFrame, keys: DataFrame, left_key: str, key: str, out: str) -> DataFrame:
+    """:func:`exists_flag` that shuffles possible hits only.
+
+    A bitmap of the keys' hashes tells sure misses where they are read; only
+    the other rows (all hits and a few per cent of the misses) are joined. ``left``
+    is read twice, so it should be a stored table or a plain scan; it pays where
+    many keys are unknown. Without a filter of bounded size it is the plain join.
+    """
+    known = materialize(keys.select(F.col(key).cast(left.schema[left_key].dataType).alias(key))
+                        .where(F.col(key).isNotNull()).distinct(), "lookup-keys")
+    made = key_filter(known, key)
+    if made is None:
+        return exists_flag(left, known, left_key, key, out)
+    words, size = made
+    at = _bit_of(F.col(left_key), size)
+    probed = left.withColumn("_f_at", F.when(F.col(left_key).isNotNull(), at)).join(
+        F.broadcast(words), F.shiftright("_f_at", 6) == F.col("_f_word"), "left")
+    maybe = F.coalesce(F.expr("bit_get(_f_bits, CAST(_f_at & 63 AS INT)) = 1"), F.lit(False))
+    probed = probed.withColumn("_f_maybe", maybe)
+    hits = exists_flag(probed.where("_f_maybe").select(*left.columns), known, left_key, key, out)
+    misses = probed.where("NOT _f_maybe").select(*left.columns, F.lit(False).alias(out))
+    return hits.unionByName(misses)
+
+
 def anti_join(left: DataFrame, keys: DataFrame, left_key: str, key: str) -> DataFrame:
     """Rows of ``left`` whose key is not among ``keys[key]`` (NULL keys are kept)."""
     seen = _distinct_keys(left, keys, left_key, key, "_aj_rkey")

@@ -196,6 +196,13 @@ def directory_exists_join(spark, d):
         "email_id", "normalized_sap_id", "sap_exists")
 
 
+@query
+def directory_exists_filtered(spark, d):
+    """The lookup of checked records that were written once, sure misses unshuffled."""
+    checked = tables.materialize(V.validate_fields(fx.fields(spark, d)).select("email_id", "normalized_sap_id"), "checked")
+    return Dir.with_directory_flag(checked, directory(spark, d), filtered=True)
+
+
 @query
 def directory_exists_sqlfunc(spark, d):
     directory(spark, d).createOrReplaceTempView("_q_directory")

@@ -414,6 +414,7 @@ FROM v""",
                           f"'ACTIVE' AS account_status, {AS_OF} AS last_updated FROM fx_emails "
                           "WHERE sap_id IS NOT NULL",
     "directory_exists_join": DIRECT + "SELECT email_id, normalized_sap_id, sap_exists FROM q",
+    "directory_exists_filtered": DIRECT + "SELECT email_id, normalized_sap_id, sap_exists FROM q",
     "directory_exists_sqlfunc": DIRECT + "SELECT email_id, normalized_sap_id, sap_exists FROM q",
     "routed": DIRECT + "SELECT email_id, sap_id_valid, name_valid, email_valid, phone_valid, sap_exists, "
                        "validation_status, queue_type FROM q",

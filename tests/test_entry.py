@@ -44,3 +44,16 @@ def test_oracle_agrees_at_smoke_scale(spark):
         d_idx = [res.columns.index(c) for c in order]
         d = sorted(repr(tuple(_norm(r[i]) for i in d_idx)) for r in res.fetchall())
         assert s == d, name
+
+
+def test_missing_llm_dependencies_leave_the_other_queries():
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+    from contactlane.plans.queries import REGISTRY
+
+    code = ("import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as E; "
+            "print(len(E.queries()), len(E.oracle_sql()))")
+    out = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert out.stdout.split() == [str(len(REGISTRY))] * 2, out.stderr[-500:]
