@@ -301,7 +301,15 @@ def _chunked(members: DataFrame) -> DataFrame:
     """``members`` (``leader, k, n``) with the number of chunks of its shard."""
     shards = members.groupBy("leader").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / CHUNK_SETS), F.ceil(F.sum("n") / CHUNK_GRAMS)).cast("int").alias("chunks"))
-    return members.join(shards, "leader")
+    return _with_shard(members, shards)
+
+
+def _with_shard(rows: DataFrame, shards: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``shards`` (one row for each ``leader``). Joined by
+    another form of the key: an exchange of its own lets Spark split a large shard."""
+    other = [c for c in shards.columns if c != "leader"]
+    return rows.join(shards.select(F.struct("leader").alias("__of"), *other),
+                     F.struct("leader") == F.col("__of")).drop("__of")
 
 
 def _own_chunk() -> F.Column:
@@ -321,6 +329,7 @@ def shard_links(docs: DataFrame, text: str, n: int, num: int, den: int, members:
         F.array(_own_chunk()))
     inside = chunked.withColumn("chunk", F.explode(everywhere)).withColumn("asks", F.lit(True))
     links = store.stored(search_chunks(inside.join(sets, "k"), num, den), "links")
+    store.release(docs.sparkSession)
     # Across chunks: sets that aren't connected with their leader ask the other chunks.
     large = chunked.where("chunks > 1")
     if large.isEmpty():
@@ -330,9 +339,10 @@ def shard_links(docs: DataFrame, text: str, n: int, num: int, den: int, members:
         "part", F.coalesce("label", "part")).drop("label")
     led = now.where("k = leader").select("leader", F.col("part").alias("led"))
     now = store.stored(now.join(led, "leader"), "parts")
+    store.release(docs.sparkSession)
     asking = now.where("part <> led")
     askers = asking.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / CHUNK_SETS).cast("int").alias("blocks"))
-    across = now.join(askers, "leader")
+    across = _with_shard(now, askers)
     held = across.withColumn("own", _own_chunk()).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("asks", F.lit(False))
     asked = across.where("part <> led").withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
@@ -369,17 +379,30 @@ def shard_members(rows: DataFrame, num: int, den: int) -> DataFrame:
 def join_classes(docs: DataFrame, text: str, key: str, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """``(rows, labels)``: ``key, n_shingles, set_key`` of every row, and the
     component ``node, label`` of every set key that links with another one."""
-    slim = docs.select(key, text)
-    rows = store.stored(keyed_sets(slim, text, n, num, den, word_levels(slim, text)), "set-keys")
+    spark = docs.sparkSession
+    with store.scope(spark) as temporary:
+        rows, labels = _join(docs.select(key, text), text, n, num, den)
+        rows, path = store.stored_at(rows.drop("lead"), "sets-of-rows")
+        labels, labels_path = store.stored_at(labels, "labels")
+        temporary -= {path, labels_path}
+    return rows, labels
+
+
+def _join(docs: DataFrame, text: str, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    spark = docs.sparkSession
+    rows = store.stored(keyed_sets(docs, text, n, num, den, word_levels(docs, text)), "set-keys")
     members = shard_members(rows, num, den)
+    store.release(spark)
     # First the shard of each set's smallest leader, and the leaders themselves.
     first = members.groupBy("k").agg(F.min("leader").alias("leader"), F.first("n").alias("n"))
     heads = first.select("leader").distinct().join(members.where("k = leader"), "leader")
     first = store.stored(first.select("leader", "k", "n").union(heads.select("leader", "k", "n")).distinct(),
                          "first-shards")
-    none = docs.sparkSession.createDataFrame([], "node long, label long")
-    links = store.stored(shard_links(docs, text, n, num, den, first, none), "links")
-    labels = store.stored(components(links), "labels")
+    none = spark.createDataFrame([], "node long, label long")
+    with store.scope(spark) as temporary:
+        links = store.stored(shard_links(docs, text, n, num, den, first, none), "links")
+        labels, labels_path = store.stored_at(components(links), "labels")
+        temporary -= {labels_path}
     # Then shards whose sets are of several components by now.
     part = members.join(labels.withColumnRenamed("node", "k"), "k", "left").withColumn(
         "part", F.coalesce("label", "k"))
@@ -391,10 +414,12 @@ def join_classes(docs: DataFrame, text: str, key: str, n: int, num: int, den: in
     rest = store.stored(members.join(open_shards, "leader", "left_semi").join(done, "leader", "left_anti"),
                         "open-shards")
     if not rest.isEmpty():
-        more = store.stored(shard_links(docs, text, n, num, den, rest, labels), "links")
-        if not more.isEmpty():
-            labels = store.stored(components(more.union(labels.select("node", "label"))), "labels")
-    return rows.drop("lead"), labels
+        with store.scope(spark) as temporary:
+            more = store.stored(shard_links(docs, text, n, num, den, rest, labels), "links")
+            if not more.isEmpty():
+                labels, labels_path = store.stored_at(components(more.union(labels.select("node", "label"))), "labels")
+                temporary -= {labels_path}
+    return rows, labels
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 5, num: int = 80,

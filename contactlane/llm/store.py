@@ -8,15 +8,19 @@ was running. The folder of a session is removed when the driver exits.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _ROOTS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+_SCOPES: list[set[str]] = []
 
 
 # Rows and bytes in one Arrow batch, unless the session sets its own: by Spark's
@@ -85,10 +89,37 @@ def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
+    for scope in _SCOPES:
+        scope.add(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+@contextlib.contextmanager
+def scope(spark: SparkSession) -> Iterator[set[str]]:
+    """What is stored inside is removed at the end, but for the paths taken out of
+    the set that this gives, and the shuffle files of its steps are let go."""
+    own: set[str] = set()
+    _SCOPES.append(own)
+    try:
+        yield own
+    finally:
+        _SCOPES.remove(own)
+        for path in own:
+            remove(spark, path)
+        release(spark)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of plans that nothing refers to any more.
+    It does so when the driver collects its garbage, which can take half an hour
+    on its own; after a large step the files would lie beside the next one's."""
+    gc.collect()  # Python's handles on the plans go first
+    spark.sparkContext._jvm.System.gc()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a stored table that no later plan reads."""
+    for scope in _SCOPES:
+        scope.discard(path)
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)

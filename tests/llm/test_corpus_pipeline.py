@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
+from contactlane.llm import queries
 from test_ngram_join import brute
 from test_pii import base_spans
 
@@ -69,6 +70,6 @@ def test_quality_stage_without_usable_labels_keeps_all(spark, monkeypatch):
     none = spark.createDataFrame([], "doc_id long, label int")
     one = few.select("doc_id", F.lit(0).alias("label"))
     for labels in (none, one):
-        monkeypatch.setattr(P.queries, "quality_labels", lambda s, d, labels=labels: labels)
+        monkeypatch.setattr(queries, "quality_labels", lambda s, d, labels=labels: labels)
         kept = P.drop_low_quality(spark, few, SF)
         assert kept.columns == few.columns and kept.count() == few.count()
