@@ -3,69 +3,18 @@
 ``STAGES`` lists ``(name, function)``; each function takes
 ``(spark, docs, sf_dir)`` and returns a DataFrame that is written as Parquet
 and read again as the next stage's ``docs``. All stages but the last return the
-columns of ``documents``; each row passes as one struct, so that extra columns
-of any name come through.
+columns of ``documents``; the functions are those of ``contactlane.llm.stages``.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from contactlane.llm import bpe, mixing, ngram_join, pii, quality, queries, store
-
-
-def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: documents that the quality classifier rejects go. It is
-    fitted on the labelled documents that aren't held out; where that gives no
-    rules (no usable labels, labels of one value, few rows), all documents stay."""
-    labels = queries.quality_labels(spark, sf_dir)
-    known = docs.where(queries.crc_remainder("doc_id", 4) != 2).select("doc_id", "text").join(labels, "doc_id")
-    stats, path = store.stored_at(quality.with_stats(known, keep_text=False), "quality-stats")
-    model = quality.fit(stats)
-    store.remove(spark, path)
-    if not model.rules:
-        return docs
-    rows = quality.with_stats(docs.select(F.struct(*docs.columns).alias("__row"), F.col("text")), keep_text=False)
-    return rows.where(model.score() >= queries.PREDICT_AT).select("__row.*")
-
-
-def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: one document of each class stays (five-word shingles,
-    Jaccard similarity of 0.8 or more)."""
-    return ngram_join.representatives(docs, n=5, num=80, den=100)
-
-
-def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: personal data is replaced by tags; ``n_chars`` follows."""
-    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col("text").alias("__new"))
-    changed = pii.redact(rows, text="__new").select("__row.*", "__new")
-    return changed.withColumns({"text": F.col("__new"), "n_chars": F.length("__new").cast("long")}).select(
-        *docs.columns)
-
-
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: documents taken (whole, up to three times) so that the sources
-    come near their target weights."""
-    rows = docs.select(F.struct(*docs.columns).alias("__row"), "doc_id", F.col("source").alias("source"),
-                       F.array("source").alias("sources"), mixing.word_count(F.col("text")).alias("size"))
-    sizes = store.stored(rows.select("doc_id", "source", "sources", "size"), "mix-sizes")
-    sources = mixing.source_sizes(sizes)
-    weights = [queries.MIX_WEIGHTS[i % len(queries.MIX_WEIGHTS)] for i in range(len(sources))]
-    targets = mixing.share_targets([n for _, n in sources], weights)
-    quotas = {s: math.floor(t + 0.5) for (s, _), t in zip(sources, targets)}
-    return mixing.repeated(mixing.mix(rows, quotas, slim=sizes)).select("__row.*")
-
-
-def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: token ids of every text."""
-    slim = docs.select("doc_id", "lang", "source", "text")
-    return bpe.encode(slim, public_tokenizers.path("byte_bpe_50k.json"), keep_text=False).select(
-        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+from contactlane.llm import store
+from contactlane.llm.stages import (drop_low_quality, encode_tokens, mix_sources, one_of_near_duplicates,
+                                    redact_pii)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -85,7 +34,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     done = None
     for name, stage in STAGES:
-        docs, path = store.stored_at(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with store.scope(spark) as temporary:
+            docs, path = store.stored_at(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            temporary.discard(path)
         if done:
             store.remove(spark, done)
         done = path
