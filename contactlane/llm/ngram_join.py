@@ -52,6 +52,9 @@ SIEVES = 2
 BITMAP_BITS = 22
 # Sets and n-grams in one chunk of a shard.
 CHUNK_SETS, CHUNK_GRAMS = 256, 1_000_000
+# Up to so many places of sets in chunks (some 50 bytes each) are sent to the sets;
+# beyond that the sets are shuffled to their places and then to their chunks.
+BROADCAST_PLACES = 500_000
 # Weight of a binary probe against a heap step when lists are split.
 PROBE_WEIGHT = 0.01
 
@@ -312,6 +315,12 @@ def _with_shard(rows: DataFrame, shards: DataFrame) -> DataFrame:
                      F.struct("leader") == F.col("__of")).drop("__of")
 
 
+def _with_sets(places: DataFrame, sets: DataFrame) -> DataFrame:
+    """``places`` (``leader, chunk, k, part, asks``) with the sets' ``grams``."""
+    places = store.stored(places.select("leader", "chunk", "k", "part", "asks"), "places")
+    return sets.join(F.broadcast(places) if places.count() <= BROADCAST_PLACES else places, "k")
+
+
 def _own_chunk() -> F.Column:
     return F.pmod(F.xxhash64("k", "leader"), F.col("chunks")).cast("int")
 
@@ -328,7 +337,7 @@ def shard_links(docs: DataFrame, text: str, n: int, num: int, den: int, members:
     everywhere = F.when(F.col("k") == F.col("leader"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(
         F.array(_own_chunk()))
     inside = chunked.withColumn("chunk", F.explode(everywhere)).withColumn("asks", F.lit(True))
-    links = store.stored(search_chunks(inside.join(sets, "k"), num, den), "links")
+    links = store.stored(search_chunks(_with_sets(inside, sets), num, den), "links")
     store.release(docs.sparkSession)
     # Across chunks: sets that aren't connected with their leader ask the other chunks.
     large = chunked.where("chunks > 1")
@@ -349,7 +358,7 @@ def shard_links(docs: DataFrame, text: str, n: int, num: int, den: int, members:
     asked = asked.withColumn("own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn(
         "asks", F.lit(True))
     both = held.unionByName(asked).withColumn("chunk", F.col("own") * F.col("blocks") + F.col("block"))
-    return links.union(search_chunks(both.join(sets, "k"), num, den))
+    return links.union(search_chunks(_with_sets(both, sets), num, den))
 
 
 def shard_members(rows: DataFrame, num: int, den: int) -> DataFrame:
