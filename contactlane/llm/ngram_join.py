@@ -36,6 +36,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -364,8 +365,11 @@ def shard_links(docs: DataFrame, text: str, n: int, num: int, den: int, members:
 def shard_members(rows: DataFrame, num: int, den: int) -> DataFrame:
     """``leader, k, n``: the shards, from ``rows`` (``set_key, n_shingles, lead``)."""
     posted = rows.select(F.col("set_key").alias("k"), F.explode("lead").alias("gram"))
-    many = posted.groupBy("gram").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo < hi").select("gram")
-    shared, path = store.stored_at(posted.join(many, "gram").distinct(), "shared-grams")
+    # one exchange: the n-grams of all sets are the most that this join moves
+    own = W.partitionBy("gram")
+    many = posted.withColumns({"lo": F.min("k").over(own), "hi": F.max("k").over(own)}).where("lo < hi")
+    shared, path = store.stored_at(many.select("k", "gram").distinct(), "shared-grams")
+    store.release(rows.sparkSession)
     sizes = rows.where(F.size("lead") > 0).select(F.col("set_key").alias("k"), F.col("n_shingles").alias("n"))
     sizes = sizes.dropDuplicates(["k"])
     need = 1 + F.floor(F.ceil(F.col("n") * num / den) / EXTRA)
