@@ -103,8 +103,8 @@ def scope(spark: SparkSession) -> Iterator[set[str]]:
     try:
         yield own
     finally:
-        _SCOPES.remove(own)
-        for path in own:
+        _SCOPES[:] = [s for s in _SCOPES if s is not own]
+        for path in sorted(own):
             remove(spark, path)
         release(spark)
 
