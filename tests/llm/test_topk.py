@@ -56,3 +56,34 @@ def test_query_equals_brute_force(spark):
     table = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
     rows = [(r["vec_id"], [int(np.floor(256 * float(x))) for x in r["embedding"]]) for r in table]
     assert grouped(REGISTRY["op5_topk"](spark, SF).collect()) == brute(rows, 5, 50)
+
+
+def test_queries_reach_few_cells_of_clustered_rows(spark, monkeypatch):
+    """Far clusters are not asked; the result is exact all the same."""
+    monkeypatch.setattr(topk, "SHARD_ROWS", 40)
+    rng = np.random.default_rng(3)
+    axes = np.eye(8) * 1000
+    rows = [(i, [int(x) for x in axes[i % 8] + rng.integers(-9, 10, size=8)]) for i in range(480)]
+    sent, search = [], topk._search_shards
+
+    def counted(index, asked, k):
+        sent.append(asked.count())
+        return search(index, asked, k)
+
+    monkeypatch.setattr(topk, "_search_shards", counted)
+    df = spark.createDataFrame(rows, "vec_id long, vec array<long>")
+    assert grouped(topk.top_k(df, F.col("vec_id") % 10 == 0, 5).collect()) == brute(rows, 5, 10)
+    shards = 12
+    assert len(sent) == 3 and sent[0] == 48
+    assert sum(sent) < 48 * shards / 2
+
+
+def test_a_third_of_the_rows_equal_and_clashing_columns(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 50)
+    rng = np.random.default_rng(5)
+    rows = [(i, [7, -3, 2] if i % 3 == 0 else [int(x) for x in rng.integers(-9, 10, size=3)]) for i in range(330)]
+    df = spark.createDataFrame(rows, "vec_id long, vec array<long>")
+    clash = {c: F.lit("clash") for c in ("id", "asks", "shard", "home", "floor", "dim", "pivot", "splits", "score",
+                                         "rank", "query_id", "radius", "norm")}
+    got = topk.top_k(df.withColumns(clash), F.col("vec_id") % 20 == 0, 5).collect()
+    assert grouped(got) == brute(rows, 5, 20)
