@@ -60,7 +60,7 @@ def test_query_equals_brute_force(spark):
 
 def test_queries_reach_few_cells_of_clustered_rows(spark, monkeypatch):
     """Far clusters are not asked; the result is exact all the same."""
-    monkeypatch.setattr(topk, "SHARD_ROWS", 40)
+    monkeypatch.setattr(topk, "SHARD_ROWS", 8)
     rng = np.random.default_rng(3)
     axes = np.eye(8) * 1000
     rows = [(i, [int(x) for x in axes[i % 8] + rng.integers(-9, 10, size=8)]) for i in range(480)]
@@ -73,9 +73,9 @@ def test_queries_reach_few_cells_of_clustered_rows(spark, monkeypatch):
     monkeypatch.setattr(topk, "_search_shards", counted)
     df = spark.createDataFrame(rows, "vec_id long, vec array<long>")
     assert grouped(topk.top_k(df, F.col("vec_id") % 10 == 0, 5).collect()) == brute(rows, 5, 10)
-    shards = 12
+    shards = 480 // 8  # at least
     assert len(sent) == 3 and sent[0] == 48
-    assert sum(sent) < 48 * shards / 2
+    assert sum(sent) < 48 * shards / 3
 
 
 def test_a_third_of_the_rows_equal_and_clashing_columns(spark, monkeypatch):
