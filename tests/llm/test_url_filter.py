@@ -95,3 +95,27 @@ def test_no_python_in_the_plan(spark):
     assert out.where(F.col("verdict").isNull()).count() == 0
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rules_need_rows_and_hold_on_others(spark):
+    """Hosts seen a few times are not learned by heart; a bad host's unseen pages are blocked."""
+    urls = [(i, f"http://{'bad' if i % 4 == 0 else f'h{i % 50}'}.org/a/{i}/p.html") for i in range(400)]
+    urls += [(1000 + i, f"http://rare{i}.org/a/{1000 + i}/p.html") for i in range(30)]
+    labels = [(i, i % 4 == 0 and i % 40 != 0) for i in range(200)] + [(1000 + i, i < 15) for i in range(30)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    known = spark.createDataFrame(labels, "doc_id long, bad boolean")
+    rows = {r["page_id"]: r for r in U.judge_urls(pages, known, (), 0.001, 0.5).collect()}
+    assert {i for i, r in rows.items() if r["verdict"] == "block"} == set(range(0, 400, 4))
+    few = U.judge_urls(pages, known.where("doc_id % 12 = 0 AND doc_id < 200"), (), 0.001, 0.5)
+    assert few.where("verdict = 'block'").count() == 0
+
+
+def test_hot_and_missing_urls_and_empty_pages(spark):
+    schema = "page_id long, url string, host string, tokens string, matched string, confidence string"
+    rows = [(i, None if i % 3 == 0 else "http://hot.org/7" if i % 3 == 1 else f"http://c{i}.org/9", "x", "x", "x", "x")
+            for i in range(3000)]
+    labels = spark.createDataFrame([(7, True), (9, False), (None, True)], "doc_id long, bad boolean")
+    out = U.judge_urls(spark.createDataFrame(rows, schema), labels, (), 0.001, 0.5).collect()
+    assert sorted(r["page_id"] for r in out) == list(range(3000))
+    assert all((r["verdict"] == "block") == (r["url"] == "http://hot.org/7") for r in out)
+    assert U.judge_urls(spark.createDataFrame([], schema), labels, (), 0.001, 0.5).count() == 0
