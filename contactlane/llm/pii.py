@@ -35,10 +35,20 @@ class Rule:
     hint: str | None          # cheap test a text must pass before the pattern runs
     base: bool                # always kept once confirmed; others need the threshold
     start: float = 1.0        # score before context
-    context: str | None = None  # words nearby that raise the score
+    context: str | None = None  # whole words nearby that raise the score
     check: str = "none"
+    against: str | None = None  # whole words nearby that lower it, if none raises it
 
 
+# Words beside a match that speak for a kind, or for some other number.
+CARD_WORDS = ("cards?|visa|mastercard|master|credit|creditcard|karte|kreditkarte|kartennummer|carte|carte bleue|"
+              "tarjeta")
+PHONE_WORDS = ("phones?|tel|telephone|telefon|telefonnummer|telefono|teléfono|téléphone|calls?|call|calling|mobile|"
+               "cell|handy|móvil|portable|fax|dial|whatsapp")
+BANK_WORDS = "iban|banks?|bank account|accounts?|konto|bankkonto|kontonummer|compte|cuenta"
+TAX_WORDS = "ssn|social security|tax id|taxpayer"
+NUMBER_WORDS = "orders?|serial|tracking|sku|isbn|imei|versions?|build|code|ref|reference|ticket|part no|item|model"
+
 # The patterns of the four listed kinds (made linear) and of the
 # kinds that the method adds.
 RULES = (
@@ -48,19 +58,21 @@ RULES = (
     Rule("card", r"[0-9](?:[\x20-]?[0-9])++", None, True, check="card"),
     Rule("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", True, check="phone"),
     Rule("card", r"(?<![0-9])(?:[0-9]{4}[\x20-]?+){3}[0-9]{4}(?![0-9])", None, False, 0.7,
-         "card|visa|master|credit|karte|carte|tarjeta", "luhn16"),
+         CARD_WORDS, "luhn16", NUMBER_WORDS),
     Rule("phone", r"\+[0-9]{1,3}[\x20.-]?+(?:\([0-9]{1,4}\)|[0-9]{1,4})[\x20.-]?+[0-9]{2,4}[\x20.-]?+[0-9]{3,4}(?![0-9])",
-         "+", False, 0.7, "phone|tel|call|mobile|fax", "phone"),
+         "+", False, 0.7, PHONE_WORDS, "phone", NUMBER_WORDS),
     Rule("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?+[A-Z0-9]{4}){2,7}(?:\x20?+[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-         None, False, 0.7, "iban|bank|account|konto|compte|cuenta", "mod97"),
+         None, False, 0.7, BANK_WORDS, "mod97", NUMBER_WORDS),
     Rule("ssn", r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
-         "-", False, 0.4, "ssn|social security|tax id|taxpayer"),
+         "-", False, 0.4, TAX_WORDS, against=NUMBER_WORDS),
     Rule("local_phone", r"(?<![0-9+().])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
-         None, False, 0.4, "phone|tel|call|mobile|fax"),
+         None, False, 0.4, PHONE_WORDS, against=NUMBER_WORDS),
 )
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "local_phone")
 CONTEXT_BONUS = 0.3
+# The added rules, strongest check first (check digits, length, words alone).
+ADDED_ORDER = (6, 4, 5, 7, 8)
 THRESHOLD = 0.6
 
 
@@ -134,19 +146,41 @@ def _starts(blocks: Column, heads: Column) -> Column:
     return F.flatten(F.zip_with(blocks, F.slice(heads, 1, F.size(blocks)), inside))
 
 
+def _words(words: str) -> str:
+    """Pattern of any of ``words`` that isn't a part of a longer word."""
+    return rf"(?<![\p{{L}}\p{{N}}])(?:{words})(?![\p{{L}}\p{{N}}])"
+
+
 def _score(rule: Rule, before: Column, after: Column) -> Column:
-    """Start score, raised when a context word stands beside the match."""
+    """Start score, raised when a context word stands beside the match; lowered
+    when none does but a word for another kind of number."""
     if not rule.context:
         return F.lit(rule.start)
     around = F.lower(F.concat_ws(" ", before, after))
-    return F.lit(rule.start) + F.when(around.rlike(rule.context), CONTEXT_BONUS).otherwise(0.0)
+    change = F.when(around.rlike(_words(rule.context)), CONTEXT_BONUS)
+    if rule.against:
+        change = change.when(around.rlike(_words(rule.against)), -CONTEXT_BONUS)
+    return F.lit(rule.start) + change.otherwise(0.0)
+
+
+def _before(gap: Column) -> Column:
+    """The last ``CONTEXT`` characters of a piece; a word that is cut there is
+    marked, so that its rest isn't taken for a whole word."""
+    return F.when(F.length(gap) <= CONTEXT, gap).otherwise(
+        F.regexp_replace(F.right(gap, F.lit(CONTEXT + 1)), r"^[\p{L}\p{N}]", "x"))
+
+
+def _after(gap: Column) -> Column:
+    """The first ``CONTEXT`` characters, marked likewise."""
+    return F.when(F.length(gap) <= CONTEXT, gap).otherwise(
+        F.regexp_replace(F.left(gap, F.lit(CONTEXT + 1)), r"[\p{L}\p{N}]$", "x"))
 
 
 def _piece(rule: Rule) -> Callable[[Column], Column]:
     """Length of a piece between matches, with its ends where context counts."""
     def piece(g: Column) -> Column:
-        before = F.right(g, F.lit(CONTEXT)) if rule.context else F.lit("")
-        after = F.left(g, F.lit(CONTEXT)) if rule.context else F.lit("")
+        before = _before(g) if rule.context else F.lit("")
+        after = _after(g) if rule.context else F.lit("")
         return F.struct(F.length(g).alias("len"), before.alias("before"), after.alias("after"))
 
     return piece
@@ -176,8 +210,7 @@ def _replaced(rule: Rule, threshold: float) -> Callable[[Column, Column], Column
     def replaced(part: Column, after: Column) -> Column:
         ok = _confirmed(rule, part["hit"])
         if not rule.base:
-            ok = ok & (_score(rule, F.right(part["gap"], F.lit(CONTEXT)),
-                              F.left(after, F.lit(CONTEXT))) >= threshold)
+            ok = ok & (_score(rule, _before(part["gap"]), _after(after)) >= threshold)
         return F.concat(part["gap"], F.when(ok, tag).otherwise(part["hit"]))
 
     return replaced
@@ -188,7 +221,9 @@ def find_spans(df: DataFrame, text: str = "text", threshold: float = THRESHOLD)
     (code points, end exclusive), ordered by kind as listed in ``KINDS``, then
     by start. ``pii_base`` has the confirmed matches of the four base patterns;
     ``pii_spans`` has those and what the other rules add: confirmed, scored at
-    the threshold or more with the words around, and overlapping no base span.
+    the threshold or more with the words around, and overlapping no base span nor
+    another added one: of added spans that overlap, the kind with the stronger
+    check stays (``ADDED_ORDER``).
     """
     work = df.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
     work = work.withColumn("__digits", F.col("__text").rlike("[0-9]"))
@@ -223,20 +258,21 @@ def find_spans(df: DataFrame, text: str = "text", threshold: float = THRESHOLD)
     work = work.withColumns(spans).drop(*helpers, "__text", "__digits")
     base = [i for i in each if RULES[i].base]
     work = work.withColumn("pii_base", F.concat(*[F.col(f"__p{i}") for i in base]))
-    extra: dict[str, Column] = {}
-    for i in each:
-        if not RULES[i].base:
-            extra[f"__x{i}"] = F.when(F.size(f"__p{i}") == 0, empty).otherwise(
-                F.filter(f"__p{i}", lambda s: ~F.exists("pii_base", lambda b: (b["start"] < s["end"])
-                                                        & (s["start"] < b["end"]))))
-    work = work.withColumns(extra)
+    work = work.withColumn("__taken", F.col("pii_base"))
+    for i in ADDED_ORDER:
+        work = work.withColumn(f"__x{i}", F.when(F.size(f"__p{i}") == 0, empty).otherwise(
+            F.filter(f"__p{i}", lambda s: ~F.exists("__taken", lambda b: (b["start"] < s["end"])
+                                                    & (s["start"] < b["end"])))))
+        if i != ADDED_ORDER[-1]:
+            work = work.withColumn("__taken", F.when(F.size(f"__x{i}") == 0, F.col("__taken")).otherwise(
+                F.concat("__taken", f"__x{i}")))
     by_kind = []
     for kind in KINDS:
         parts = [F.col(f"__p{i}" if RULES[i].base else f"__x{i}") for i in each if RULES[i].kind == kind]
         by_kind.append(parts[0] if len(parts) == 1 else F.array_sort(
             F.concat(*parts), lambda a, b: a["start"] - b["start"]))
     return work.withColumn("pii_spans", F.concat(*by_kind)).drop(
-        *[f"__p{i}" for i in each], *extra)
+        "__taken", *[f"__p{i}" for i in each], *[f"__x{i}" for i in ADDED_ORDER])
 
 
 def spans_text(spans: Column) -> Column:

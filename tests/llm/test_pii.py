@@ -114,3 +114,31 @@ def test_no_python_in_the_plan(spark):
     plan = REGISTRY["op8_pii"](spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert pii.find_spans(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_context_words_are_whole_words_and_can_lower(spark):
+    near = "a" * 37
+    rows = ["hotel 555-123-4567", "tel 555-123-4567", "TEL: 555-123-4567", "555-123-4567 recall", "555-123-4567 (call)",
+            "ho" + "tel " + near + "555-123-4567", "tel " + near[:36] + "555-123-4567",
+            "DE89370400440532013000", "serial DE89370400440532013000", "serial, bank DE89370400440532013000",
+            "phone code 555-123-4567"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r["doc_id"]: [s["kind"] for s in r["pii_spans"]] for r in pii.find_spans(df).collect()}
+    phone = ["local_phone"]
+    assert found == {0: [], 1: phone, 2: phone, 3: [], 4: phone, 5: [], 6: phone, 7: ["iban"], 8: [], 9: ["iban"],
+                     10: phone}
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    assert clean[0] == rows[0] and clean[1] == "tel [LOCAL_PHONE]" and clean[8] == rows[8]
+
+
+def test_no_two_spans_of_added_kinds_overlap(spark):
+    rows = ["account DE89 3704 0044 0532 0130 00 phone 370-400-4405",
+            "bank GB82 WEST 1234 5698 7654 32, call 123-456-9876, ssn 123-45-6789 4111 1111 1111 1111",
+            "iban card phone NO93 8601 1117 947 860 111 1794", "phone card 4111 1111 1111 1111 111 1111"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    for r in pii.find_spans(df).collect():
+        base = {tuple(s) for s in r["pii_base"]}
+        added = [s for s in r["pii_spans"] if tuple(s) not in base]
+        for i, a in enumerate(added):
+            others = added[:i] + [s for s in r["pii_base"]]
+            assert all(a["end"] <= b["start"] or b["end"] <= a["start"] for b in others), r["doc_id"]
