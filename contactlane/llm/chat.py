@@ -7,11 +7,13 @@ is an inner hash of another one is a prefix of it. An anti-join keeps maximal
 conversations, the smallest id of equal ones, and only those are rendered.
 DataFrame functions only.
 
-Conversations are worked on in sections of ``SECTION`` turn numbers, and where
-turn numbers repeat a section is cut again every ``SECTION`` rows (dealt by
-ranges, numbered with the ranges' offsets). Offsets are joined in from the
-sections' totals, so that no conversation has to fit in one task; a rendered conversation of several sections has one row for each,
-``part`` 0, 1, ... in order, which together are its text.
+Conversations are worked on in sections of ``SECTION`` turns by position, so
+turn numbers may be of any kind (counters, epoch seconds). A conversation of at
+most ``SECTION`` turns is one section; the turns of longer ones are dealt by
+ranges and numbered with the ranges' offsets. Offsets are joined in from the
+sections' totals, so that no conversation has to fit in one task; a rendered
+conversation of several sections has one row for each, ``part`` 0, 1, ... in
+order, which together are its text.
 
 Defined results: NULL roles and texts count as empty; NULL conversation ids
 are one conversation; NULL turn numbers come first, in a part of their own; turns with one number are
@@ -32,15 +34,10 @@ SECTION = 4096
 START, END = "<|im_start|>", "<|im_end|>"
 
 
-def _section(turn: str) -> Column:
-    """A turn's section; NULL turn numbers are one before all others."""
-    return F.coalesce(F.floor(F.col(turn) / SECTION), F.lit(-(1 << 62))).cast("long").alias("section")
-
-
 def _sectioned(rows: DataFrame) -> DataFrame:
-    """``rows`` (with ``conv, turn, role, text``) with ``section``: the section of
-    the turn number and, in sections of more than ``SECTION`` rows, the piece."""
-    rows = rows.withColumn("number", _section("turn").cast("long"))
+    """``rows`` (with ``conv, turn, role, text``) with ``section``: turns without a
+    number (-1) apart from the others (0), and the piece of ``SECTION`` rows."""
+    rows = rows.withColumn("number", F.when(F.col("turn").isNull(), -1).otherwise(0).cast("long"))
     names = rows.columns
     section = lambda piece: F.struct("number", piece.cast("long").alias("piece")).alias("section")
     own = [c for c in names if c != "number"]
@@ -114,16 +111,18 @@ def maximal(turns: DataFrame, **names: str) -> DataFrame:
 
 
 def _maximal(prefixes: DataFrame) -> DataFrame:
-    ends = prefixes.groupBy("conv").agg(F.max("pos").alias("pos"))
-    whole = prefixes.join(ends.withColumnRenamed("conv", "conv2"),
-                          F.col("conv").eqNullSafe(F.col("conv2")) & (prefixes["pos"] == ends["pos"])
-                          ).select("conv", prefixes["pos"], "hash1", "hash2")
+    # the last position is joined by section, so that the turns of one long
+    # conversation don't meet in one task
+    lasts = prefixes.groupBy("conv", "section").agg(F.max("pos").alias("last"))
+    lasts = lasts.select(F.col("conv").alias("conv2"), F.col("section").alias("section2"),
+                         F.max("last").over(W.partitionBy("conv")).alias("last"))
+    placed = prefixes.join(lasts, F.col("conv").eqNullSafe(F.col("conv2"))
+                           & (F.col("section") == F.col("section2"))).drop("conv2", "section2")
+    whole = placed.where("pos = last")
     kept = whole.groupBy("pos", "hash1", "hash2").agg(
         F.min("conv").alias("least"), F.max(F.col("conv").isNull()).alias("has_null"))
     kept = kept.select("pos", "hash1", "hash2", F.when(~F.col("has_null"), F.col("least")).alias("conv"))
-    inner = prefixes.join(ends.select(F.col("conv").alias("conv2"), F.col("pos").alias("last")),
-                          F.col("conv").eqNullSafe(F.col("conv2")) & (F.col("pos") < F.col("last"))
-                          ).select("pos", "hash1", "hash2").distinct()
+    inner = placed.where("pos < last").select("pos", "hash1", "hash2").distinct()
     return kept.join(inner, ["pos", "hash1", "hash2"], "left_anti").select(
         "conv", F.col("pos").cast("long").alias("n_turns"))
 

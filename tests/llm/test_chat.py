@@ -75,3 +75,20 @@ def test_repeated_turn_numbers_come_in_bounded_parts(spark):
     each = [f"{i:06d}" for i in range(n)]
     assert "".join(r["rendered"] for r in rows) == "".join(
         f"<|im_start|>user\n{t}<|im_end|>\n" for t in each + each + ["same"] * n)
+
+
+def test_turn_numbers_of_any_kind(spark):
+    """Sparse, negative and epoch-like numbers: one row up to ``SECTION`` turns, cut by position beyond."""
+    rows = [(1, t, "user", str(t), 1) for t in (1700000000, 1700009000, 1700020000)]
+    rows += [(2, t, "user", str(t), 1) for t in (-9_000_000_000, -5, 0, 10_000, 9_000_000_000)]
+    rows += [(3, t, "user", str(t), 1) for t in (1700000000, 1700009000)]
+    out = chat.format_conversations(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {(r["conv_id"], r["part"], r["n_turns"]) for r in out} == {(1, 0, 3), (2, 0, 5)} and len(out) == 2
+    assert next(r for r in out if r["conv_id"] == 1)["rendered"] == "".join(
+        f"<|im_start|>user\n{t}<|im_end|>\n" for t in (1700000000, 1700009000, 1700020000))
+    n = chat.SECTION + 10
+    df = spark.range(n).selectExpr("1L conv_id", "1700000000 + 3600 * id turn", "'user' role", "cast(id as string) text")
+    long = sorted(chat.format_conversations(df).collect(), key=lambda r: r["part"])
+    assert [(r["part"], r["n_turns"], r["rendered"].count(chat.END)) for r in long] == [
+        (0, n, chat.SECTION), (1, n, 10)]
+    assert "".join(r["rendered"] for r in long) == "".join(f"<|im_start|>user\n{i}<|im_end|>\n" for i in range(n))
