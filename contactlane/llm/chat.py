@@ -30,14 +30,15 @@ from pyspark.sql import functions as F
 from . import store
 
 SECTION = 4096
+NO_NUMBER = -(1 << 62)  # before all others
 # The markers of the chat format.
 START, END = "<|im_start|>", "<|im_end|>"
 
 
 def _sectioned(rows: DataFrame) -> DataFrame:
     """``rows`` (with ``conv, turn, role, text``) with ``section``: turns without a
-    number (-1) apart from the others (0), and the piece of ``SECTION`` rows."""
-    rows = rows.withColumn("number", F.when(F.col("turn").isNull(), -1).otherwise(0).cast("long"))
+    number (``NO_NUMBER``) apart from the others (0), and the piece of ``SECTION`` rows."""
+    rows = rows.withColumn("number", F.when(F.col("turn").isNull(), F.lit(NO_NUMBER)).otherwise(0).cast("long"))
     names = rows.columns
     section = lambda piece: F.struct("number", piece.cast("long").alias("piece")).alias("section")
     own = [c for c in names if c != "number"]
