@@ -14,8 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -155,33 +156,76 @@ _EXTRACTOR_OUT = T.StructType([T.StructField(f, T.StringType(), True) for f in E
                               + [T.StructField("extraction_error", T.StringType(), True)])
 
 
-def _aligned(result: pd.DataFrame, bodies: pd.Series) -> pd.DataFrame:
-    """The extractor's rows in the order of ``bodies``: one row for each body,
-    matched by the input's index; anything else is an error of the call."""
+def _aligned(result: pd.DataFrame, bodies: pd.Series) -> dict[str, np.ndarray]:
+    """The extractor's values by field, in the order of ``bodies``: one row for each
+    body, matched by the input's index; anything else is an error of the call."""
     if len(result) != len(bodies):
         raise ValueError(f"extractor returned {len(result)} rows for {len(bodies)} bodies")
     if not result.index.equals(bodies.index):
-        if not result.index.is_unique or len(result.index.difference(bodies.index)):
+        at = result.index.get_indexer(bodies.index) if result.index.is_unique else np.array([-1])
+        if (at < 0).any():
             raise ValueError("extractor returned rows with another index than its input")
-        result = result.reindex(bodies.index)
-    out = pd.DataFrame({f: result[f] if f in result else None for f in EXTRACTION_FIELDS}, index=bodies.index)
-    out["extraction_error"] = result["extraction_error"] if "extraction_error" in result else None
-    out["request_type"] = out["request_type"].where(out["request_type"].notna(), DEFAULT_REQUEST_TYPE)
-    return out.astype(object).where(out.notna(), None)
+        result = result.take(at)
+    out = {}
+    for f in _EXTRACTOR_OUT.names:
+        values = result[f].to_numpy(dtype=object) if f in result else np.full(len(bodies), None)
+        if values.ndim != 1:
+            raise ValueError(f"extractor returned several columns {f}")
+        out[f] = np.where(pd.isna(values), DEFAULT_REQUEST_TYPE if f == "request_type" else None, values)
+    return out
+
+
+# How much of what the groups before told of failures is kept for the next one.
+MEMORY = 0.95
 
 
 def _extracted(extractor: Callable[[pd.Series], pd.DataFrame], bodies: pd.Series) -> pd.DataFrame:
-    """Run the extractor; a failing call is halved until the failing rows are alone."""
-    try:
-        return _aligned(extractor(bodies), bodies)
-    except Exception as exc:  # noqa: BLE001 - reported per row
-        if len(bodies) > 1:
-            half = len(bodies) // 2
-            return pd.concat([_extracted(extractor, bodies.iloc[:half].reset_index(drop=True)),
-                              _extracted(extractor, bodies.iloc[half:].reset_index(drop=True))],
-                             ignore_index=True)
-        row = {f: None for f in EXTRACTION_FIELDS} | {"extraction_error": f"{type(exc).__name__}: {exc}"}
-        return pd.DataFrame([row], dtype=object)
+    """Run the extractor over all ``bodies`` at once, or where that fails, over groups
+    from the first row on. A failing group is halved until its first failing row is
+    alone; what is behind that row goes to the next groups, which are as large as
+    failures were apart. So a failing row costs about as many calls as it takes to
+    find it among its neighbours, however many rows fail."""
+    parts: list[dict[str, np.ndarray]] = []
+    error = None
+
+    def call(a: int, b: int) -> bool:
+        nonlocal error
+        own = bodies.iloc[a:b].reset_index(drop=True)
+        try:
+            parts.append(_aligned(extractor(own), own))
+        except Exception as exc:  # noqa: BLE001 - reported per row
+            error = f"{type(exc).__name__}: {exc}"
+            return False
+        return True
+
+    done, n, seen, failed = 0, len(bodies), 0.0, 0.0
+    while done < n:
+        size = n if failed == 0 else max(1, int(0.7 * seen / failed))
+        start, end = done, min(n, done + size)
+        if call(done, end):
+            done, bad = end, 0
+        else:
+            alone = end - done == 1  # whether the last call was for the first row alone
+            while end - done > 1:
+                middle = (done + end) // 2
+                if call(done, middle):
+                    done, alone = middle, False
+                else:
+                    end, alone = middle, middle - done == 1
+            bad = 0 if not alone and call(done, end) else 1
+            if bad:
+                parts.append({f: np.array([error if f == "extraction_error" else None], object)
+                              for f in _EXTRACTOR_OUT.names})
+            done = end
+        seen, failed = MEMORY * seen + done - start, MEMORY * failed + bad
+        failed = failed if failed > 0.01 else 0.0
+    return pd.DataFrame({f: np.concatenate([p[f] for p in parts]) for f in _EXTRACTOR_OUT.names}, dtype=object)
+
+
+def call_tasks(spark: SparkSession) -> int:
+    """Tasks that an extractor's calls are dealt to: not fewer than Spark deals
+    shuffles to, as one call can be slow, however few bytes the bodies are."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def extract_with(df: DataFrame, extractor: Callable[[pd.Series], pd.DataFrame],
@@ -192,8 +236,9 @@ def extract_with(df: DataFrame, extractor: Callable[[pd.Series], pd.DataFrame],
     The extractor answers with one row per body, under the body's index (in any
     order); an ``extraction_error`` it gives for a row is kept. A call that
     fails, or answers with too few, too many or foreign rows, is repeated in
-    halves, so only the rows at fault get ``extraction_error`` (the exception
-    text) and NULL fields.
+    halves and smaller groups, so only the rows at fault get ``extraction_error``
+    (the exception text) and NULL fields. The rows stay in their partitions: a
+    table of few files should be dealt to :func:`call_tasks` first.
     """
     out_schema = T.StructType(df.schema.fields + [f for f in _EXTRACTOR_OUT.fields
                                                   if f.name not in df.columns])

@@ -44,7 +44,8 @@ def extracted(emails: DataFrame,
     emails = first_n(emails, sample)
     if extractor is None:
         return X.extracted_view(emails)
-    out = X.extract_with(emails.select("email_id", "sender", "body"), extractor)
+    dealt = emails.select("email_id", "sender", "body").repartition(X.call_tasks(emails.sparkSession))
+    out = X.extract_with(dealt, extractor)
     return out.withColumnRenamed("body", "email_body")
 
 

@@ -124,7 +124,8 @@ def variant_response_fields(spark, d):
 
 @query
 def extractor_fields(spark, d):
-    return X.extract_with(fx.emails(spark, d).select("email_id", "sender", "body"), field_reader).select(
+    emails = fx.emails(spark, d).select("email_id", "sender", "body").repartition(X.call_tasks(spark))
+    return X.extract_with(emails, field_reader).select(
         "email_id", *X.EXTRACTION_FIELDS, "extraction_error")
 
 

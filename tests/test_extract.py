@@ -93,6 +93,54 @@ def test_extractors_own_errors_are_kept_and_failures_halved(spark):
     assert calls.value < 40
 
 
+def test_many_failing_rows_cost_few_calls(spark):
+    _fields, calls = _reader(), spark.sparkContext.accumulator(0)
+
+    def model(bodies):
+        calls.add(1)
+        if bodies.map(lambda b: int(b[-6:]) % 13 == 3).any():
+            raise ValueError("bad row")
+        return _fields(bodies).iloc[::-1]
+    out = X.extract_with(_frame(spark, 2600), model).collect()
+    assert [r.email_id for r in out] == [f"e{i}" for i in range(2600)] and _own(out)
+    assert [r.email_id for r in out if r.extraction_error] == [f"e{i}" for i in range(3, 2600, 13)]
+    assert calls.value < 5.5 * 200  # five calls find one row among 16; halving alone takes eight
+
+
+def test_a_passing_outage_costs_no_rows(spark):
+    """A call can fail for a reason that is gone when its rows are tried again."""
+    _fields = _reader()
+
+    def model(bodies, state={"calls": 0}):
+        state["calls"] += 1
+        if state["calls"] in (1, 2, 5):
+            raise OSError("no answer")
+        return _fields(bodies)
+    out = X.extract_with(_frame(spark, 100), model).collect()
+    assert len(out) == 100 and _own(out) and not any(r.extraction_error for r in out)
+
+
+def test_all_rows_failing_are_called_once_each(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def model(bodies):
+        calls.add(1)
+        raise ValueError(f"{len(bodies)} rows")
+    out = X.extract_with(_frame(spark, 300), model).collect()
+    assert [r.extraction_error for r in out] == ["ValueError: 1 rows"] * 300 and calls.value < 330
+
+
+def test_calls_are_dealt_over_the_cluster(spark):
+    from conftest import SF001
+    from contactlane.plans import intake, queries as QS
+    from contactlane.sources import fixtures as fx
+
+    tasks = X.call_tasks(spark)
+    assert tasks == 4 and QS.extractor_fields(spark, SF001).rdd.getNumPartitions() == tasks
+    emails = fx.emails(spark, SF001).select("email_id", "sender", "body")
+    assert intake.extracted(emails.coalesce(1), _reader()).rdd.getNumPartitions() == tasks
+
+
 def test_variant_responses_and_error_message(spark):
     rows = [("e1", '{"sap_id": "SAP000001"}', None), ("e2", None, "model timeout"), ("e3", '{"sap_id": 7}', "")]
     df = spark.createDataFrame(rows, "email_id string, j string, msg string").withColumn("response", F.try_parse_json("j"))
