@@ -85,8 +85,8 @@ def run_extraction(store: RunStore, emails: DataFrame, extractor: Callable[[pd.S
         try:
             if store.spark.read.parquet(path).isEmpty():
                 return None
-            # as many tasks as Spark deals shuffles to: one call can be slow
-            out = X.extract_with(bodies.repartition("body_hash"), extractor).select(
+            # dealt by number: by their hash, small bodies would be put together in few tasks
+            out = X.extract_with(bodies.repartition(X.call_tasks(store.spark)), extractor).select(
                 "body_hash", F.lit(version).alias("version"), (F.col("tried") + 1).alias("attempts"), *_FIELDS)
             run.write(RESULTS, out)
         finally:

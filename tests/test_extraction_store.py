@@ -89,3 +89,15 @@ def test_empty_input_and_a_failing_run(spark, tmpdir_path):
     with pytest.raises(Exception, match="bad file"):
         E.run_extraction(store, broken, extract)
     assert store.last() == 0 and store.clean(older_than_s=-1) == 0 and seen.value == 0
+
+
+def test_calls_are_dealt_over_the_cluster(spark, tmpdir_path):
+    store, emails = RunStore(spark, tmpdir_path, TABLES), fx.emails(spark, SF001).select("email_id", "sender", "body")
+    calls = spark.sparkContext.accumulator(0)
+
+    def extract(bodies: pd.Series) -> pd.DataFrame:
+        calls.add(1)
+        return pd.DataFrame({"sap_id": bodies})
+    assert E.run_extraction(store, emails, extract)["failed"] == 0
+    # small as they are, the bodies aren't put together in one task
+    assert calls.value == X.call_tasks(spark) == 4
