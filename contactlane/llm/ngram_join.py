@@ -105,12 +105,14 @@ class Shard:
     def __init__(self, sets: list[np.ndarray]):
         self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
         self.sets = sets
-        owner = np.repeat(np.arange(len(sets)), self.sizes)
         grams = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-        order = np.lexsort((owner, grams))
-        self.owner = owner[order]
-        self.grams, start = np.unique(grams[order], return_index=True)
-        self.start = np.append(start, len(grams))
+        order = np.argsort(grams, kind="stable")  # of one n-gram, the sets stay in their order
+        self.owner = np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)[order]
+        grams = grams[order]
+        new = np.ones(len(grams), bool)
+        new[1:] = grams[1:] != grams[:-1]
+        self.grams = grams[new]
+        self.start = np.append(np.flatnonzero(new), len(grams))
 
     def search(self, query: np.ndarray, wanted: np.ndarray, num: int, den: int) -> list[int]:
         """Sets among ``wanted`` (boolean by set) that link with ``query``."""
@@ -132,7 +134,7 @@ class Shard:
         found = merge_skip([own.tolist() for own in short], least - n_long)
         if not found:
             return []
-        cand = np.fromiter(found, np.int64, len(found))
+        cand = np.fromiter(found, np.int32, len(found))
         count = np.fromiter(found.values(), np.int64, len(found))
         need = -(-num * (size + self.sizes[cand]) // (num + den))
         for done, own in enumerate(long):

@@ -120,6 +120,25 @@ def test_components(spark):
     assert components(df.limit(0)).count() == 0
 
 
+def test_components_take_few_rounds(spark, monkeypatch):
+    from contactlane.llm import components as module, store
+    written, real = [], store.stored_at
+    monkeypatch.setattr(store, "stored_at", lambda df, name: written.append(name) or real(df, name))
+    chain = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    got = {r["node"]: r["label"] for r in components(chain.coalesce(1)).collect()}
+    assert got == {i: 0 for i in range(301)} and len(written) == 1
+    # the same over many tasks, each beginning anew after a few nodes
+    monkeypatch.setattr(module, "LOCAL_NODES", 8)
+    mixed = chain.where("a % 50 <> 7").withColumn("z", F.rand(3)).repartition(5).orderBy("z").select("a", "b")
+    mixed = mixed.union(mixed.select("b", "a")).union(spark.createDataFrame([(3, 3), (-4, 299)], "a long, b long"))
+    want = {}
+    for i in range(301):
+        want[i] = i if i % 50 == 8 or not i else want[i - 1]
+    last = want[299]
+    want = {i: -4 if x == last else x for i, x in want.items()} | {-4: -4}
+    assert {r["node"]: r["label"] for r in components(mixed).collect()} == want
+
+
 def test_null_and_repeated_ids(spark):
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (None, "a b c d e f"), (None, "only null"), (None, "only null"),
             (9, None), (8, "A B C D E F"), (8, "other words entirely here now")]
