@@ -6,8 +6,9 @@ boundary between the two parts is deleted, and the two neighbouring ranks are
 refreshed. Words of more than ``SHORT`` bytes, where repeated scans would be
 quadratic, keep the same order of merges with a heap over linked parts.
 
-Spark deals out the documents; each task encodes its Arrow batches, keeping
-the encodings of words it has met (at most ``CACHE_WORDS``).
+Spark deals out the documents; each task encodes its Arrow batches. A worker
+process keeps the encodings of words it has met (at most ``CACHE_WORDS``) until
+another operator's tasks let go of them.
 
 Defined results: NULL texts encode as empty (no ids); an empty text gives an
 empty array; NULL ids decode as empty; rows are independent, so repeated rows
@@ -20,7 +21,6 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -148,10 +148,9 @@ class Codec:
         return b"".join([of[i] for i in ids if i in of]).decode("utf-8", errors="replace")
 
 
-@lru_cache(maxsize=4)
 def codec(path: str) -> Codec:
-    """The codec of a file, built once per process."""
-    return Codec(path)
+    """The codec of a file, built once per process and kept while nothing else is."""
+    return store.kept(("codec", path), lambda: Codec(path))
 
 
 def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array, drop: tuple[str, ...]) -> pa.RecordBatch:

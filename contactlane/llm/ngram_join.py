@@ -175,6 +175,7 @@ def word_levels(docs: DataFrame, text: str) -> np.ndarray:
     """How frequent the words of each hash bucket are (powers of two), counted
     over all texts; ``WORD_BUCKETS`` rows reach the driver."""
     def load(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store.keep_nothing()
         total = np.zeros(WORD_BUCKETS, dtype=np.int64)
         shift = np.uint64(64 - WORD_BUCKETS.bit_length() + 1)
         for batch in batches:
@@ -203,6 +204,7 @@ def keyed_sets(docs: DataFrame, text: str, n: int, num: int, den: int,
         schema = schema.add("lead", T.ArrayType(T.LongType()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store.keep_nothing()
         sent: set[int] = set()
         for batch in batches:
             sizes, keys, leads = [], [], []
@@ -249,6 +251,7 @@ def wanted_sets(docs: DataFrame, text: str, n: int, wanted: DataFrame) -> DataFr
     bitmap = wanted_bitmap(wanted)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store.keep_nothing()
         bits = np.unpackbits(bitmap).view(bool)
         sent: set[int] = set()
         for batch in batches:
@@ -271,6 +274,7 @@ def search_chunks(rows: DataFrame, num: int, den: int) -> DataFrame:
     grams, part, asks``). Sets of one ``part`` count as connected; sets that
     ``asks`` query, the leader first."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store.keep_nothing()
         name, chunk = None, {}
         for batch in batches:
             cols = [c.to_pylist() for c in batch.columns]
@@ -413,7 +417,8 @@ def _join(docs: DataFrame, text: str, n: int, num: int, den: int) -> tuple[DataF
     heads = first.select("leader").distinct().join(members.where("k = leader"), "leader")
     first = store.stored(first.select("leader", "k", "n").union(heads.select("leader", "k", "n")).distinct(),
                          "first-shards")
-    none = spark.createDataFrame([], "node long, label long")
+    # (an empty range: local rows would start more Python workers beside those of the join)
+    none = spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("label"))
     with store.scope(spark) as temporary:
         links = store.stored(shard_links(docs, text, n, num, den, first, none), "links")
         labels, labels_path = store.stored_at(components(links), "labels")
@@ -470,6 +475,7 @@ def representatives(docs: DataFrame, text: str = "text", key: str = "doc_id", n:
 
     @F.arrow_udf("maybe boolean, set_key long")  # texts alone go to the Python workers
     def keyed_text(texts: pa.Array) -> pa.Array:
+        store.keep_nothing()
         bits = np.unpackbits(bitmap).view(bool)
         sets = [(len(g), shingles.set_key(g)) for g, _ in shingles.batch_sets(texts, n)]
         maybe = [size > 0 and bool(bits[(k & (1 << 64) - 1) >> (64 - BITMAP_BITS)]) for size, k in sets]

@@ -1,12 +1,16 @@
 """Similarity classes against all-pairs brute force."""
+import gc
 import random
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from contactlane.llm import bpe
 from contactlane.llm import ngram_join as J
 from contactlane.llm.components import components
 from contactlane.llm.queries import REGISTRY
@@ -170,3 +174,26 @@ def test_long_text(spark):
     df = spark.createDataFrame([(1, long), (2, long + " end"), (3, "w1 w2 w3 w4")], "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in J.classes(df, n=4, num=85).select("*", F.lit(1)).collect()}
     assert got == {1: 1, 2: 1, 3: 3}
+
+
+def test_workers_let_go_of_the_tokenizer(spark):
+    rows = [(i, f"some text of words {i % 40} that has {i % 7} copies") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8).cache()
+    bpe.encode(df, public_tokenizers.path("byte_bpe_50k.json")).count()
+
+    def codecs(batches):
+        for batch in batches:
+            n = sum(type(x).__name__ == "Codec" for x in gc.get_objects())
+            yield pa.RecordBatch.from_arrays([pa.array([n] * len(batch))], names=["n"])
+
+    assert J.representatives(df).count() == len({text for _, text in rows})
+    assert {r["n"] for r in df.select("doc_id").mapInArrow(codecs, "n long").collect()} == {0}
+
+
+def test_store_keeps_one_thing_at_a_time():
+    made = []
+    for name in ("a", "a", "b", "a"):
+        assert J.store.kept(name, lambda name=name: made.append(name) or name) == name
+    assert made == ["a", "b", "a"]
+    J.store.keep_nothing()
+    assert not J.store._KEPT
